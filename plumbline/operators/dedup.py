@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -32,9 +33,21 @@ def keep_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def upsert_by_key(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]
 ) -> DataFrame:
-    """Target and updates together, the newest row of every key.
+    """A keyed table after updates: the newest row of every key.
 
-    Where ``newest_first`` ties, an update replaces the target row.
+    Where ``newest_first`` ties, an update replaces the target row. Only rows
+    whose key is updated are compared. The other target rows pass through an
+    anti-join on the update keys, each of which occurs once; when these are few,
+    Spark broadcasts them and the target is not shuffled at all.
     """
-    both = target.withColumn(_AGE, F.lit(1)).unionByName(updates.withColumn(_AGE, F.lit(0)))
-    return keep_first(both, keys, [*newest_first, F.col(_AGE)]).drop(_AGE)
+    names = updates.select(*keys).distinct().alias("named")
+    same = reduce(
+        lambda a, b: a & b, [F.col(f"target.{k}").eqNullSafe(F.col(f"named.{k}")) for k in keys]
+    )
+    held = target.alias("target")
+    untouched = held.join(names, same, "left_anti")
+    touched = held.join(names, same, "left_semi").withColumn(_AGE, F.lit(1))
+    newest = keep_first(
+        touched.unionByName(updates.withColumn(_AGE, F.lit(0))), keys, [*newest_first, F.col(_AGE)]
+    )
+    return untouched.unionByName(newest.drop(_AGE))

@@ -64,7 +64,7 @@ def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "P", pending)
         .when(status == "O", cancelled),
         "customer_age": F.lit(18) + F.pmod(F.col("o_custkey"), F.lit(62)),
-        "batch_id": F.pmod(F.floor(key / RUN_OF_KEYS), F.lit(BATCHES)),
+        "batch_id": F.pmod(F.expr(f"o_orderkey div {RUN_OF_KEYS}"), F.lit(BATCHES)),
     }
     return read_table(spark, sf_dir, "orders").select(
         *[columns[f.name].cast(f.dataType).alias(f.name) for f in TRACKED_ORDERS.fields]

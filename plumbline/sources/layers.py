@@ -47,7 +47,7 @@ def write_layer(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
 
     Later steps read what was written, so they neither recompute the plan nor
     see other rows than the stored ones, and a lost executor costs only a
-    re-read.
+    re-read. The schema is known, so reading back starts no job to infer it.
     """
     df.write.mode(mode).format(fmt).save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    return df.sparkSession.read.format(fmt).schema(df.schema).load(path)

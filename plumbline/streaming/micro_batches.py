@@ -55,9 +55,14 @@ def store_epoch(df: DataFrame, root: str, name: str, epoch: int) -> DataFrame:
     return write_layer(df, f"{root}/{name}/{EPOCH}={epoch}")
 
 
-def read_epochs(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_epochs(
+    spark: SparkSession, root: str, name: str, schema: T.StructType | None = None
+) -> DataFrame:
     """A table stored by epoch, with the column ``epoch``."""
-    return spark.read.parquet(f"{root}/{name}").withColumn(EPOCH, F.col(EPOCH).cast("bigint"))
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(EPOCH, T.LongType())]))
+    return reader.parquet(f"{root}/{name}").withColumn(EPOCH, F.col(EPOCH).cast("bigint"))
 
 
 def run_available(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> None:
@@ -96,10 +101,11 @@ def stream_medallion(
     """Keep bronze, silver and gold up to date with the arriving files.
 
     An id that came in an earlier batch is a duplicate, whether its row was
-    valid or not. The ids seen are kept as a table with every id once, so the
-    anti-join has no hot keys on that side, and the batch is reduced to one row
-    per id before it. Gold is stored as mergeable parts per epoch and merged
-    when read: a batch costs its own rows, not the whole silver layer.
+    valid or not. The table ``unique`` holds the first row of every id, so the
+    anti-join, which reads its ids only, meets no hot key there, and the batch
+    is reduced to one row per id before it. Gold is stored as mergeable parts
+    per epoch and merged when read: a batch costs its own rows, not the whole
+    silver layer.
     """
 
     def work(batch: DataFrame, epoch: int) -> None:
@@ -107,12 +113,12 @@ def stream_medallion(
         bronze = store_epoch(stamp(batch, INGESTED_AT), root, "bronze", epoch)
         fresh = deduplicate_orders(bronze, key=key)
         if epoch > 0:
-            seen = read_epochs(spark, root, "ids").filter(F.col(EPOCH) < epoch).select(key)
+            kept = read_epochs(spark, root, "unique", fresh.schema)
+            seen = kept.filter(F.col(EPOCH) < epoch).select(key)
             fresh = fresh.alias("new").join(
                 seen.alias("old"), F.col(f"new.{key}").eqNullSafe(F.col(f"old.{key}")), "left_anti"
             )
-        fresh = store_epoch(fresh, root, "fresh", epoch)
-        store_epoch(fresh.select(key), root, "ids", epoch)
+        fresh = store_epoch(fresh, root, "unique", epoch)
         silver = store_epoch(valid_orders(fresh, as_of=as_of), root, "silver", epoch)
         for name, column in (("gold_category", "product_category"), ("gold_daily", "order_date")):
             store_epoch(revenue_parts(silver, column), root, name, epoch)
