@@ -607,7 +607,7 @@ SELECT batch_id, rule_no, dimension, value, rows, failing_rows, share, lift FROM
         "monitor_kpis": f"""WITH {HISTORY} SELECT count(*) AS total_checks, count(*) FILTER (WHERE status = 'PASS') AS passed_checks,
  count(*) FILTER (WHERE status = 'FAIL') AS failed_checks,
  {rounded("CAST(100 * count(*) FILTER (WHERE status = 'PASS') AS DOUBLE) / count(*)", 1)} AS pass_rate FROM history""",
-        "monitor_history": f"WITH {HISTORY} {HISTORY_ROWS}",
+        "monitor_history": f"""WITH {HISTORY} SELECT *, CASE status WHEN 'PASS' THEN 'green' ELSE 'red' END AS colour FROM ({HISTORY_ROWS})""",
         "monitor_pass_rate_trend": f"""WITH {HISTORY}, days AS (SELECT CAST({AS_OF} - CAST(i AS INTEGER) AS DATE) AS day FROM range(14) AS t(i))
 SELECT days.day AS day, count(history.status) AS checks,
  {rate("count(*) FILTER (WHERE history.status = 'PASS')", "count(history.status)")} AS pass_rate

@@ -36,8 +36,10 @@ from .operators.responses import (
 )
 from .operators.silver import reject_rate, reject_reasons, to_silver
 from .operators.suggest import rules_from_frame, rules_to_json, suggest_rules
+from .plans.expectations import Expectations
 from .plans.medallion import Layers, run_medallion
 from .plans.quality_loop import check_suggested_rules
 from .sources.layers import read_orders_csv, stamp, write_csv, write_layer
+from .sources.rules import read_rules, write_rules
 
 __all__ = [name for name in dir() if not name.startswith("_")]

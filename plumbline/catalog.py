@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.buckets import Bucket
-from .functions.text import severity_marker
+from .functions.text import severity_marker, status_colour
 from .operators import checks, drift, monitor, responses
 from .operators.dedup import keep_first, upsert_by_key
 from .operators.faults import (
@@ -528,7 +528,8 @@ def monitor_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def monitor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain_time(monitor.listing(_history(spark, sf_dir)))
+    listed = monitor.listing(_history(spark, sf_dir))
+    return _plain_time(listed).withColumn("colour", status_colour(F.col("status")))
 
 
 @query()

@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 LABEL_SEPARATOR = " | "
 
+# The characters Unicode and ASCII count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Markers shown beside a severity, and the one for any other text.
 SEVERITY_MARKERS = {"HIGH": "🔴", "MEDIUM": "🟡", "LOW": "🟢"}
 OTHER_MARKER = "⚪"
@@ -14,12 +21,13 @@ OTHER_MARKER = "⚪"
 
 def strip_space(text: Column) -> Column:
     """Drop white space of any kind, line ends included, at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def strip_fences(text: Column) -> Column:
     """Drop code-fence marks anywhere in a response and the space around it."""
-    return strip_space(F.regexp_replace(strip_space(text), "```(json)?", ""))
+    bare = F.replace(F.replace(text, F.lit("```json"), F.lit("")), F.lit("```"), F.lit(""))
+    return strip_space(bare)
 
 
 def label(*parts: Column) -> Column:
@@ -31,6 +39,11 @@ def label_part(text: Column, position: int) -> Column:
     return F.try_element_at(F.split(text, r" \| "), F.lit(position))
 
 
+def status_colour(status: Column) -> Column:
+    """The colour a check status is shown in."""
+    return F.when(status == "PASS", "green").otherwise("red")
+
+
 def severity_marker(severity: Column) -> Column:
     pairs = [F.lit(item) for pair in SEVERITY_MARKERS.items() for item in pair]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), severity), F.lit(OTHER_MARKER))

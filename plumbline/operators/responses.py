@@ -125,17 +125,17 @@ def _field(value: Column, name: str, kind: str) -> Column:
     return F.try_variant_get(value, f"$.{name}", kind)
 
 
-def _kind(value: Column, name: str) -> Column:
-    """Type name of a field, an empty text where it is absent."""
-    return F.coalesce(F.schema_of_variant(_field(value, name, "variant")), F.lit(""))
+def _is_text(value: Column, name: str) -> Column:
+    kind = F.schema_of_variant(_field(value, name, "variant"))
+    return F.coalesce(kind == "STRING", F.lit(False))
 
 
 def _is_object(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT<"), F.lit(False))
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
-def _is_text(value: Column, name: str) -> Column:
-    return _kind(value, name) == "STRING"
+def _has_object(value: Column, name: str) -> Column:
+    return _field(value, name, "map<string,variant>").isNotNull()
 
 
 def _first_problem(problems: list[tuple[Column, str]]) -> Column:
@@ -144,7 +144,7 @@ def _first_problem(problems: list[tuple[Column, str]]) -> Column:
 
 def _well_formed_rule(rule: Column) -> Column:
     texts = [_is_text(rule, f) for f in ("column", "rule_type", "reasoning")]
-    parts = [_is_object(rule), *texts, _kind(rule, "parameters").startswith("OBJECT<")]
+    parts = [_is_object(rule), *texts, _has_object(rule, "parameters")]
     return reduce(lambda a, b: a & b, parts)
 
 
@@ -161,7 +161,7 @@ def parse_rule_sets(responses: DataFrame, key: str, text: str) -> DataFrame:
         (answer.isNull(), "not JSON"),
         (~_is_object(answer), "not an object"),
         (~_is_text(answer, "dataset_name"), "dataset_name"),
-        (~_kind(answer, "rules").startswith("ARRAY<"), "rules"),
+        (rules.isNull(), "rules"),
         (~F.forall(rules, _well_formed_rule), "rule fields"),
         (~_is_text(answer, "summary"), "summary"),
     ]
