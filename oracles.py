@@ -446,24 +446,21 @@ def _one_sum(source: str, column: str) -> str:
     return f"(SELECT CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE) FROM {source})"
 
 
-# Rules suggested from clean orders, in (position, rule type) order, run on dirty ones.
 def _suggested_checks() -> str:
+    """Every rule that may be suggested from clean orders, kept if it is, run on dirty ones."""
+    bound = "(SELECT {0} FROM suggested WHERE \"column\" = '{1}' AND rule_type = 'value_range')"
+    listed = "(SELECT value FROM tops WHERE \"column\" = '{0}' AND value IS NOT NULL)"
     rules: list[tuple] = []
-    bounds = "(SELECT {0} FROM suggested WHERE \"column\" = '{1}' AND rule_type = 'value_range')"
-    lists = {**ACCEPTED}
     for column, kind in ORDER_KINDS.items():
-        found = {"not_null": _not_null(column)}
-        if kind == "text" and column in lists:
-            found["accepted_values"] = _accepted(column)
+        rules += [_not_null(column), _unique(column)]
+        if kind == "text":
+            rules.append(_failing("accepted_values", column, f"{column} NOT IN {listed.format(column)}"))
         if kind == "number":
-            low, high = bounds.format("min_value", column), bounds.format("max_value", column)
-            found["value_range"] = _failing(
-                "value_range", column, f"{column} < {low} OR {column} > {high}"
-            )
-        if column == "order_id":
-            found["unique"] = _unique(column)
-        rules += [found[k] for k in sorted(found)]
-    return suite("dirty", rules)
+            low, high = bound.format("min_value", column), bound.format("max_value", column)
+            rules.append(_failing("value_range", column, f"{column} < {low} OR {column} > {high}"))
+    return f"""SELECT * EXCLUDE (number) REPLACE (number AS rule_no) FROM ({suite("dirty", rules)}) AS results
+JOIN (SELECT "column", rule_type, CAST(row_number() OVER (ORDER BY position, rule_type) AS INTEGER) AS number FROM suggested) AS numbered
+USING ("column", rule_type)"""
 
 
 def sql() -> dict[str, str]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import named
 from ..functions.numeric import rate
 from ..schemas import CATEGORIES, DELIVERY_STATUSES, MAX_AGE, MIN_AGE, PAYMENT_METHODS
 
@@ -101,7 +102,7 @@ def problem_of(rule: Rule, columns: Sequence[str]) -> str | None:
 
 def failing(rule: Rule, kind: T.DataType) -> Column:
     """True on the rows that break a rule which judges single rows."""
-    column = F.col(f"`{rule.column}`")
+    column = named(rule.column)
     if rule.rule_type in ("not_null", "null_rate"):
         return column.isNull()
     if rule.rule_type == "value_range":
@@ -122,7 +123,7 @@ def failing(rule: Rule, kind: T.DataType) -> Column:
 
 
 def _distinct(rule: Rule) -> Column:
-    column = F.col(f"`{rule.column}`")
+    column = named(rule.column)
     return F.count_distinct(column) + F.coalesce(F.max(column.isNull().cast("bigint")), F.lit(0))
 
 
@@ -255,7 +256,7 @@ def check_schema(df: DataFrame, contract: T.StructType) -> DataFrame:
             problem = "extra"
         elif have != want:
             problem = "wrong_type"
-            column = F.col(f"`{name}`")
+            column = named(name)
             broken = column.isNotNull() & _converted(column, have, want).isNull()
             aggregates.append(F.count_if(broken).alias(f"unreadable_{i}"))
             unreadable = F.col(f"unreadable_{i}")

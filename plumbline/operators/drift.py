@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.columns import named
 from ..functions.numeric import rate, ratio, round_to
 from ..functions.text import percent, severity_marker
 from .checks import Rule, failing
@@ -67,13 +68,13 @@ def failing_segments(
     judged = [(n, r) for n, r in enumerate(rules, start=1) if r.rule_type != "unique"]
     flags = {f"fails_{n}": failing(r, df.schema[r.column].dataType) for n, r in judged}
     flat = df.select(
-        *[F.col(c).alias(f"by_{c}") for c in by],
+        *[named(c).alias(f"by_{c}") for c in by],
         *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
-        *[F.col(c).cast("string").alias(c) for c in dimensions],
+        *[named(c).cast("string").alias(c) for c in dimensions],
     )
     groups = [f"by_{c}" for c in by]
     counts = (
-        flat.unpivot([*groups, *flags], list(dimensions), "dimension", "value")
+        flat.unpivot([*groups, *flags], [named(c) for c in dimensions], "dimension", "value")
         .groupBy(*groups, "dimension", "value")
         .agg(F.count("*").alias("rows"), *[F.count_if(name).alias(name) for name in flags])
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import named
 from ..functions.numeric import rate, round_to
 from ..schemas import AUDIT_COLUMNS
 
@@ -42,7 +43,7 @@ def column_statistics(
     columns = profiled_columns(df, exclude)
     aggregates, rows = [F.count("*").alias("total_rows")], []
     for i, name in enumerate(columns):
-        column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+        column, kind = named(name), df.schema[name].dataType
         numeric = isinstance(kind, T.NumericType)
         dated = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
         number = column.cast("double")
@@ -107,7 +108,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         by_type[df.schema[name].dataType.simpleString()].append(name)
     counts = []
     for names in by_type.values():
-        long = df.select(*[F.col(f"`{n}`") for n in names]).unpivot([], names, "column", "value")
+        values = [named(n) for n in names]
+        long = df.select(*values).unpivot([], values, "column", "value")
         counts.append(
             long.groupBy("column", "value")
             .agg(F.count("*").alias("rows"))
