@@ -166,6 +166,16 @@ def _run_part(df: DataFrame, rules: list[tuple[int, Rule]], groups: Sequence[str
     return measured.select(*groups, "total_rows", F.inline(F.array(*results)))
 
 
+def _run_unique(df: DataFrame, number: int, rule: Rule, groups: Sequence[str]) -> DataFrame:
+    """A uniqueness rule on its own: equal values are merged before the shuffle."""
+    values = df.groupBy(*groups, named(rule.column).alias("__value")).agg(F.count("*").alias("__rows"))
+    measured = values.groupBy(*groups).agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("total_rows"), F.count("*").alias("__distinct")
+    )
+    result = _result(number, rule, F.col("__distinct"), None)
+    return measured.select(*groups, "total_rows", F.inline(F.array(result)))
+
+
 def run_suite(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -199,7 +209,7 @@ def run_suite(
     alone_numbers = {n for n, _ in alone}
     shared = [(n, r) for n, r in numbered if n not in alone_numbers]
     parts = [_run_part(df, shared, groups)] if shared else []
-    parts += [_run_part(df, [pair], groups) for pair in alone]
+    parts += [_run_unique(df, n, r, groups) for n, r in alone]
     results = reduce(DataFrame.unionByName, parts)
     return results.withColumns(
         {"dataset_name": F.lit(dataset_name), "checked_at": F.current_timestamp()}

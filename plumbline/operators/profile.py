@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
@@ -96,57 +95,66 @@ def column_statistics(
     )
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How often each value of each column occurs: ``column, value, rows``.
+def _counts(df: DataFrame, name: str) -> DataFrame:
+    """How often each value of one column occurs: ``value, rows``.
 
-    Columns of one type are unpivoted together, so each column is read once and
-    there is one shuffle per type. Rows are counted before the shuffle: a value
+    Only this column is read. Rows are counted before the shuffle, so a value
     held by a third of all rows is one row per task. NULL is a value.
     """
-    by_type: dict[str, list[str]] = defaultdict(list)
-    for name in columns:
-        by_type[df.schema[name].dataType.simpleString()].append(name)
-    counts = []
-    for names in by_type.values():
-        values = [named(n) for n in names]
-        long = df.select(*values).unpivot([], values, "column", "value")
-        counts.append(
-            long.groupBy("column", "value")
-            .agg(F.count("*").alias("rows"))
-            .select("column", F.col("value").cast("string").alias("value"), "rows")
-        )
-    return reduce(DataFrame.unionByName, counts)
+    return df.groupBy(named(name).alias("value")).agg(F.count("*").alias("rows"))
 
 
-def distinct_counts(df: DataFrame, *, exclude: Sequence[str] = AUDIT_COLUMNS) -> DataFrame:
-    """Exact number of distinct values per column; NULL counts as a value."""
-    return _distinct_counts(value_counts(df, profiled_columns(df, exclude)))
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def _distinct_counts(counts: DataFrame) -> DataFrame:
-    # Summing the rows keeps the counts of `value_counts` in the plan, so this
-    # and the top values share one shuffle.
-    per_column = counts.groupBy("column").agg(
-        F.count("*").alias("distinct_count"), F.sum("rows").alias("rows")
-    )
-    return per_column.filter(F.col("rows") > 0).select("column", "distinct_count")
+def distinct_counts(
+    df: DataFrame,
+    *,
+    exclude: Sequence[str] = AUDIT_COLUMNS,
+    counted: Sequence[str] = (),
+) -> DataFrame:
+    """Exact number of distinct values per column; NULL counts as a value.
+
+    Each column is a branch of its own, which reads and shuffles its distinct
+    values only. Counting all columns at once would multiply the rows by the
+    number of columns. Columns in ``counted`` are taken from their value counts,
+    so that they share the shuffle of their top values.
+    """
+
+    def of(name: str) -> DataFrame:
+        if name not in counted:
+            distinct = df.select(named(name)).distinct()
+            return distinct.agg(F.lit(name).alias("column"), F.count("*").alias("distinct_count"))
+        # Summing the rows keeps them in the plan, as the top values need them.
+        per_column = _counts(df, name).agg(
+            F.lit(name).alias("column"),
+            F.count("*").alias("distinct_count"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        )
+        return per_column.filter(F.col("rows") >= 0).select("column", "distinct_count")
+
+    return _union([of(name) for name in profiled_columns(df, exclude)])
 
 
 def top_values(df: DataFrame, k: int = 5, *, columns: Sequence[str] | None = None) -> DataFrame:
     """The ``k`` most frequent values of each text column: ``column, rank, value, rows``.
 
-    Equally frequent values are ranked in value order, NULL last.
+    Equally frequent values are ranked in value order, NULL last. Every task
+    keeps its best ``k`` values in a heap; only these are brought together.
     """
     names = _text_columns(df, profiled_columns(df)) if columns is None else columns
-    return _top(value_counts(df, names), k)
+    order = [F.desc("rows"), F.asc_nulls_last("value")]
 
+    def of(name: str) -> DataFrame:
+        best = _counts(df, name).orderBy(*order).limit(k)
+        return best.select(
+            F.lit(name).alias("column"), F.col("value").cast("string").alias("value"), "rows"
+        )
 
-def _top(counts: DataFrame, k: int) -> DataFrame:
-    # The limit on the rank is applied before the shuffle by column as well, so
-    # each task ships at most k rows per column.
-    order = W.partitionBy("column").orderBy(F.desc("rows"), F.asc_nulls_last("value"))
-    ranked = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("column", "rank", "value", "rows")
+    best = _union([of(name) for name in names])  # at most k rows per column
+    rank = F.row_number().over(W.partitionBy("column").orderBy(*order))
+    return best.select("column", rank.alias("rank"), "value", "rows")
 
 
 def profile(
@@ -162,22 +170,15 @@ def profile(
     and once, column by column, for the distinct counts. With
     ``approx_distinct`` and ``top_k=0`` the statistics pass is all there is.
     """
-    columns = profiled_columns(df, exclude)
-    texts = _text_columns(df, columns)
+    texts = _text_columns(df, profiled_columns(df, exclude)) if top_k else []
     result = column_statistics(df, exclude=exclude, approx_distinct=approx_distinct)
-    text_counts = value_counts(df, texts) if texts and (top_k or not approx_distinct) else None
     # The joined sides have one row per column of the schema.
     if not approx_distinct:
-        others = [c for c in columns if c not in texts]
-        counted = [value_counts(df, others)] if others else []
-        counted += [text_counts] if texts else []
-        distinct = reduce(DataFrame.unionByName, [_distinct_counts(c) for c in counted])
-        result = result.join(F.broadcast(distinct), "column", "left").withColumn(
-            "distinct_count", F.coalesce("distinct_count", F.lit(0).cast("bigint"))
-        )
-    if texts and top_k:
+        distinct = distinct_counts(df, exclude=exclude, counted=texts)
+        result = result.join(F.broadcast(distinct), "column")
+    if texts:
         ranked = F.array_sort(F.collect_list(F.struct("rank", "value")))
-        best = _top(text_counts, top_k).groupBy("column").agg(
+        best = top_values(df, top_k, columns=texts).groupBy("column").agg(
             F.transform(ranked, lambda r: r["value"]).alias("top_values")
         )
         result = result.join(F.broadcast(best), "column", "left")
