@@ -39,6 +39,7 @@ from .operators.suggest import rules_from_frame, rules_to_json, suggest_rules
 from .plans.expectations import Expectations
 from .plans.medallion import Layers, run_medallion
 from .plans.quality_loop import check_suggested_rules
+from .sources.history import read_history, write_history
 from .sources.layers import read_orders_csv, stamp, write_csv, write_layer
 from .sources.rules import read_rules, write_rules
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.numeric import merged_money_parts, money_parts, money_total
 
 
-def revenue_parts(silver: DataFrame, by: str) -> DataFrame:
+def revenue_parts(silver: DataFrame, *by: str) -> DataFrame:
     """Mergeable partial revenue per group: what one batch adds to gold."""
-    return silver.groupBy(by).agg(
+    return silver.groupBy(*by).agg(
         F.count("order_id").alias("orders"),
         *[part.alias(name) for name, part in money_parts("order_amount").items()],
     )

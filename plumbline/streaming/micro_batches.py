@@ -23,6 +23,7 @@ from ..schemas import INGESTED_AT, TRANSFORMED_AT
 from ..sources.layers import stamp, write_layer
 
 EPOCH = "epoch"
+GOLD_KEYS = ("product_category", "order_date")
 
 
 def read_arrivals(
@@ -95,17 +96,24 @@ def stream_checks(
     run_available(stream, f"{root}/checkpoint", work)
 
 
+def _rows_named(df: DataFrame, names: DataFrame, key: str, how: str) -> DataFrame:
+    """Rows whose key is (``left_semi``) or is not (``left_anti``) named; NULL equals NULL."""
+    same = F.col(f"rows.{key}").eqNullSafe(F.col(f"names.{key}"))
+    return df.alias("rows").join(names.alias("names"), same, how)
+
+
 def stream_medallion(
     stream: DataFrame, root: str, *, as_of: dt.date | None = None, key: str = "order_id"
 ) -> None:
     """Keep bronze, silver and gold up to date with the arriving files.
 
     An id that came in an earlier batch is a duplicate, whether its row was
-    valid or not. The table ``unique`` holds the first row of every id, so the
-    anti-join, which reads its ids only, meets no hot key there, and the batch
-    is reduced to one row per id before it. Gold is stored as mergeable parts
-    per epoch and merged when read: a batch costs its own rows, not the whole
-    silver layer.
+    valid or not. The table ``unique`` holds the first row of every id. Of its
+    id column, only the ids that occur in the batch are kept, by a join whose
+    other side is the batch and which needs no shuffle of the table while Spark
+    can broadcast that side; the batch is then compared with these few. Every id
+    occurs once on each side, so there is no hot key. Gold is stored as
+    mergeable parts per epoch and merged when read, not rebuilt from silver.
     """
 
     def work(batch: DataFrame, epoch: int) -> None:
@@ -115,13 +123,12 @@ def stream_medallion(
         if epoch > 0:
             kept = read_epochs(spark, root, "unique", fresh.schema)
             seen = kept.filter(F.col(EPOCH) < epoch).select(key)
-            fresh = fresh.alias("new").join(
-                seen.alias("old"), F.col(f"new.{key}").eqNullSafe(F.col(f"old.{key}")), "left_anti"
-            )
+            repeated = _rows_named(seen, bronze.select(key).distinct(), key, "left_semi")
+            fresh = _rows_named(fresh, repeated, key, "left_anti")
         fresh = store_epoch(fresh, root, "unique", epoch)
         silver = store_epoch(valid_orders(fresh, as_of=as_of), root, "silver", epoch)
-        for name, column in (("gold_category", "product_category"), ("gold_daily", "order_date")):
-            store_epoch(revenue_parts(silver, column), root, name, epoch)
+        # At most one row per category and day; both gold tables merge these.
+        store_epoch(revenue_parts(silver, *GOLD_KEYS), root, "gold", epoch)
 
     run_available(stream, f"{root}/checkpoint", work)
 
@@ -153,11 +160,11 @@ def stored_silver(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stored_revenue_by_category(spark: SparkSession, root: str) -> DataFrame:
-    return merge_revenue_by_category(read_epochs(spark, root, "gold_category"))
+    return merge_revenue_by_category(read_epochs(spark, root, "gold"))
 
 
 def stored_daily_orders(spark: SparkSession, root: str) -> DataFrame:
-    return merge_daily_orders(read_epochs(spark, root, "gold_daily"))
+    return merge_daily_orders(read_epochs(spark, root, "gold"))
 
 
 def drift_alerts(

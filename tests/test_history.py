@@ -11,14 +11,17 @@ from plumbline import (
     failing_segments,
     failure_severity,
     not_null,
+    read_history,
     order_suite,
     root_cause_report,
     root_cause_prompt,
     run_suite,
     unique,
+    write_history,
 )
 from plumbline.operators import monitor
 from plumbline.schemas import HISTORY
+from plumbline.session import work_path
 from plumbline.sources.bridge import FIRST_BATCH_DAY, drifting_orders
 
 DIMENSIONS = ["product_category", "delivery_status", "batch_id"]
@@ -75,6 +78,19 @@ def test_labels_come_apart_again(history):
     }
 
 
+def test_stored_history_replaces_a_batch_checked_again(spark, history):
+    path = work_path(spark, "history")
+    write_history(history, path)
+    again = history.filter("batch = 'batch_1'").withColumn("status", F.lit("PASS"))
+    write_history(again, path)
+    stored = read_history(spark, path)
+    assert stored.columns == history.columns
+    assert tuple(monitor.kpis(stored).collect()[0]) == (8, 7, 1, 87.5)
+    one = stored.filter("batch = 'batch_3'")
+    assert one.count() == 4 and len(one.inputFiles()) >= 1
+    assert "PartitionFilters: [isnotnull(batch" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_drift_of_the_missing_payment_methods(drifting):
     rules = [not_null("payment_method"), unique("order_id")]
     drift = batch_drift(run_suite(drifting, rules, by=["batch_id"]), first_day=FIRST_BATCH_DAY)

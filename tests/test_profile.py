@@ -59,6 +59,12 @@ def test_columns_with_odd_names_and_huge_values(spark):
     assert found["c d"]["distinct_count"] == 2
 
 
+def test_nested_columns(spark):
+    df = spark.sql("select array(1, 2) as a, map('k', 1) as m, struct(1 as x) as s, array(map(1, 2)) as am")
+    found = by_column(profile(df))
+    assert set(found) == {"a", "s"} and found["a"]["distinct_count"] == 1
+
+
 def test_approximate_profile_is_close_and_has_no_value_shuffle(spark, sf_dir):
     orders = dirty_orders(spark, sf_dir)
     exact = {r["column"]: r["distinct_count"] for r in distinct_counts(orders).collect()}
