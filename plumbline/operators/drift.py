@@ -67,14 +67,21 @@ def failing_segments(
     """
     judged = [(n, r) for n, r in enumerate(rules, start=1) if r.rule_type != "unique"]
     flags = {f"fails_{n}": failing(r, df.schema[r.column].dataType) for n, r in judged}
-    flat = df.select(
-        *[named(c).alias(f"by_{c}") for c in by],
-        *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
-        *[named(c).cast("string").alias(c) for c in dimensions],
-    )
     groups = [f"by_{c}" for c in by]
+    # One row per dimension, made by a generator: unpivoting keeps the ids of
+    # the other columns, which hides from Spark that the two uses below are one.
+    values = F.array(
+        *[
+            F.struct(F.lit(c).alias("dimension"), named(c).cast("string").alias("value"))
+            for c in dimensions
+        ]
+    )
     counts = (
-        flat.unpivot([*groups, *flags], [named(c) for c in dimensions], "dimension", "value")
+        df.select(
+            *[named(c).alias(f"by_{c}") for c in by],
+            *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
+            F.inline(values),
+        )
         .groupBy(*groups, "dimension", "value")
         .agg(F.count("*").alias("rows"), *[F.count_if(name).alias(name) for name in flags])
     )
@@ -85,13 +92,17 @@ def failing_segments(
         ]
     )
     long = counts.select(*groups, "dimension", "value", "rows", F.inline(per_rule))
-    totals = long.groupBy(*groups, "dimension", "rule_no").agg(
-        F.sum("rows").alias("all_rows"), F.sum("failing_rows").alias("all_failing")
-    )
+    totals = long.groupBy(
+        *[F.col(c).alias(f"all_{c}") for c in (*groups, "dimension", "rule_no")]
+    ).agg(F.sum("rows").alias("all_rows"), F.sum("failing_rows").alias("all_failing"))
     if not by:
         totals = F.broadcast(totals)  # one row per dimension and rule
-    keys = [*groups, "dimension", "rule_no"]
-    joined = long.filter(F.col("failing_rows") > 0).join(totals, keys)
+    # NULL-safe, so that a NULL group is kept. Both sides start from the same
+    # counts, whose shuffle is shared.
+    same = (F.col("dimension") == F.col("all_dimension")) & (F.col("rule_no") == F.col("all_rule_no"))
+    for column in groups:
+        same = same & F.col(column).eqNullSafe(F.col(f"all_{column}"))
+    joined = long.filter(F.col("failing_rows") > 0).join(totals, same)
     own = ratio(F.col("failing_rows"), F.col("rows"))
     overall = ratio(F.col("all_failing"), F.col("all_rows"))
     return joined.select(
@@ -133,8 +144,15 @@ def root_cause_report(failures: DataFrame, segments: DataFrame, batch: str = "ba
     leading = (
         segments.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") == 1)
-        .select(batch, "rule_no", "dimension", "value", "share")
+        .select(
+            F.col(batch).alias("place_batch"),
+            F.col("rule_no").alias("place_rule"),
+            "dimension",
+            "value",
+            "share",
+        )
     )
+    same = F.col(batch).eqNullSafe(F.col("place_batch")) & (F.col("rule_no") == F.col("place_rule"))
     segment = F.concat(F.col("dimension"), F.lit(" "), F.coalesce("value", F.lit("NULL")))
     change = F.when(
         F.col("previous_level").isNull(),
@@ -149,7 +167,7 @@ def root_cause_report(failures: DataFrame, segments: DataFrame, batch: str = "ba
         F.concat(F.lit("; "), segment, F.lit(" holds "), percent(F.col("share")), F.lit(" of the failing rows")),
     ).otherwise(F.lit(""))
     metric = F.when(F.col("rule_type") == "unique", "distinct share").otherwise("failing share")
-    return failures.join(leading, [batch, "rule_no"], "left").select(
+    return failures.join(leading, same, "left").select(
         batch,
         F.col("check_name").alias("failed_check"),
         "column",

@@ -130,6 +130,15 @@ def test_segments_add_up(drifting):
     }
 
 
+def test_segments_keep_a_group_without_name_and_share_one_shuffle(spark):
+    rows = [(None, "a", None), (None, "a", 1), (1, "b", None), (1, None, None), (1, "b", 1)]
+    df = spark.createDataFrame(rows, "batch_id long, kind string, x int")
+    segments = failing_segments(df, [not_null("x")], ["kind"], by=["batch_id"])
+    found = {(r["batch_id"], r["value"], r["failing_rows"], r["share"]) for r in segments.collect()}
+    assert found == {(None, "a", 1, 1.0), (1, "b", 1, 0.5), (1, None, 1, 0.5)}
+    assert "ReusedExchange" in segments._jdf.queryExecution().executedPlan().toString()
+
+
 def test_report_and_prompt(drifting):
     rules = order_suite()
     results = run_suite(drifting, rules, by=["batch_id"])
