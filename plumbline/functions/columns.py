@@ -1,11 +1,21 @@
-"""Columns by their literal name."""
+"""Columns by their literal name, and what their types allow."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def named(name: str) -> Column:
     """The column of this name, dots and back ticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def comparable(kind: T.DataType) -> bool:
+    """Whether values of this type can be told apart by grouping."""
+    if isinstance(kind, T.ArrayType):
+        return comparable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(comparable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import named
+from ..functions.columns import comparable, named
 from ..functions.numeric import rate
 from ..schemas import CATEGORIES, DELIVERY_STATUSES, MAX_AGE, MIN_AGE, PAYMENT_METHODS
 
@@ -87,38 +88,59 @@ def order_suite() -> list[Rule]:
     ]
 
 
-def problem_of(rule: Rule, columns: Sequence[str]) -> str | None:
-    """Why a rule cannot be run on these columns; None if it can."""
+def problem_of(rule: Rule, schema: T.StructType) -> str | None:
+    """Why a rule cannot be run on columns of this schema; None if it can."""
     if rule.rule_type not in CHECK_NAMES:
         return f"unknown rule type {rule.rule_type}"
-    if rule.column not in columns:
+    if rule.column not in schema.names:
         return f"unknown column {rule.column}"
-    if rule.rule_type == "accepted_values" and (rule.accepted is None or None in rule.accepted):
-        return "accepted must be a list without NULL"
+    kind = schema[rule.column].dataType
+    if rule.rule_type == "unique" and not comparable(kind):
+        return f"values of type {kind.simpleString()} cannot be compared"
+    if rule.rule_type == "accepted_values":
+        if rule.accepted is None or None in rule.accepted:
+            return "accepted must be a list without NULL"
+        if not isinstance(kind, T.AtomicType):
+            return f"no list of values for type {kind.simpleString()}"
+    if rule.rule_type == "value_range":
+        bounds = [b for b in (rule.min_value, rule.max_value) if b is not None]
+        unfit = [b for b in bounds if not _fits(b, kind)]
+        if unfit:
+            return f"bound {unfit[0]!r} does not fit type {kind.simpleString()}"
     if rule.rule_type == "null_rate" and rule.max_null_rate is None:
         return "max_null_rate is missing"
     return None
 
 
+def _fits(bound: Any, kind: T.DataType) -> bool:
+    number = isinstance(bound, Number) and not isinstance(bound, bool)
+    if isinstance(kind, T.NumericType):
+        return number
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return isinstance(bound, dt.date)
+    return isinstance(kind, T.StringType) and (number or isinstance(bound, str))
+
+
 def failing(rule: Rule, kind: T.DataType) -> Column:
     """True on the rows that break a rule which judges single rows."""
     column = named(rule.column)
     if rule.rule_type in ("not_null", "null_rate"):
         return column.isNull()
     if rule.rule_type == "value_range":
-        bounds = [b for b in (rule.min_value, rule.max_value) if b is not None]
-        if isinstance(kind, T.StringType) and any(isinstance(b, Number) for b in bounds):
-            column = column.try_cast("double")  # text that is no number passes like NULL
         inside = F.lit(True)
-        if rule.min_value is not None:
-            inside = inside & (column >= F.lit(rule.min_value))
-        if rule.max_value is not None:
-            inside = inside & (column <= F.lit(rule.max_value))
+        for bound, holds in ((rule.min_value, "__ge__"), (rule.max_value, "__le__")):
+            if bound is None:
+                continue
+            value = column
+            if isinstance(kind, T.StringType) and isinstance(bound, Number):
+                value = column.try_cast("double")  # text that is no number passes like NULL
+            inside = inside & getattr(value, holds)(F.lit(bound))
         return ~inside
     if rule.rule_type == "accepted_values":
-        if not isinstance(kind, T.StringType) and all(isinstance(v, str) for v in rule.accepted):
-            column = column.cast("string")
-        return ~column.isin(list(rule.accepted))
+        values = [F.lit(v) for v in rule.accepted]
+        if isinstance(kind, T.StringType) or any(isinstance(v, str) for v in rule.accepted):
+            column, values = column.cast("string"), [v.cast("string") for v in values]
+        return ~column.isin(values)
     raise ValueError(f"{rule.rule_type} does not judge single rows")
 
 
@@ -154,7 +176,7 @@ def _result(number: int, rule: Rule, measured: Column | None, message: str | Non
 def _run_part(df: DataFrame, rules: list[tuple[int, Rule]], groups: Sequence[str]) -> DataFrame:
     aggregates, results = [F.count("*").alias("total_rows")], []
     for number, rule in rules:
-        message = problem_of(rule, df.columns)
+        message = problem_of(rule, df.schema)
         if message is None:
             if rule.rule_type == "unique":
                 measure = _distinct(rule)
@@ -204,7 +226,7 @@ def run_suite(
     alone = [
         (n, r)
         for n, r in numbered
-        if r.rule_type == "unique" and problem_of(r, df.columns) is None and not single_scan
+        if r.rule_type == "unique" and problem_of(r, df.schema) is None and not single_scan
     ]
     alone_numbers = {n for n, _ in alone}
     shared = [(n, r) for n, r in numbered if n not in alone_numbers]

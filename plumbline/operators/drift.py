@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import named
 from ..functions.numeric import rate, ratio, round_to
 from ..functions.text import percent, severity_marker
-from .checks import Rule, failing
+from .checks import Rule, failing, problem_of
 
 
 def batch_drift(results: DataFrame, *, first_day: dt.date, batch: str = "batch_id") -> DataFrame:
@@ -63,9 +63,15 @@ def failing_segments(
     much more often those rows fail than all rows. Rows are counted per value
     before the shuffle, so what is shuffled grows with the number of values,
     not of rows. Rules on whole columns (uniqueness) have no failing rows and
-    are left out. Rows without ``by`` are compared over the whole frame.
+    are left out, as are rules that cannot run. Rows without ``by`` are compared over the whole frame.
     """
-    judged = [(n, r) for n, r in enumerate(rules, start=1) if r.rule_type != "unique"]
+    judged = [
+        (n, r)
+        for n, r in enumerate(rules, start=1)
+        if r.rule_type != "unique" and problem_of(r, df.schema) is None
+    ]
+    if not judged:
+        raise ValueError("none of the rules judges single rows")
     flags = {f"fails_{n}": failing(r, df.schema[r.column].dataType) for n, r in judged}
     groups = [f"by_{c}" for c in by]
     # One row per dimension, made by a generator: unpivoting keeps the ids of

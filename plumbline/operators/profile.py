@@ -10,22 +10,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import named
+from ..functions.columns import comparable, named
 from ..functions.numeric import rate, round_to
 from ..schemas import AUDIT_COLUMNS
 
 
-def _comparable(kind: T.DataType) -> bool:
-    """Whether values of this type can be told apart by grouping."""
-    if isinstance(kind, T.ArrayType):
-        return _comparable(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return all(_comparable(f.dataType) for f in kind.fields)
-    return not isinstance(kind, (T.MapType, T.VariantType))
-
-
 def profiled_columns(df: DataFrame, exclude: Sequence[str] = AUDIT_COLUMNS) -> list[str]:
-    return [f.name for f in df.schema.fields if f.name not in exclude and _comparable(f.dataType)]
+    return [f.name for f in df.schema.fields if f.name not in exclude and comparable(f.dataType)]
 
 
 def _text_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -10,6 +11,11 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="plumbline-")
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared folder the session names.
 
@@ -21,6 +27,5 @@ def work_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/plumbline/{label}-{uuid.uuid4().hex}"

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from plumbline import (
@@ -71,6 +73,26 @@ def test_accepted_text_on_a_number_column(spark):
     assert outcome(df, accepted_values("n", ["1", "two"])) == (False, 0.5, 0.0)
 
 
+def test_numbers_accepted_in_a_text_column(spark):
+    df = spark.createDataFrame([("1",), ("x",)], "t string")
+    assert outcome(df, accepted_values("t", [1, 2])) == (False, 0.5, 0.0)
+
+
+def test_rules_that_do_not_fit_a_type_are_reported(spark):
+    df = spark.sql("select date'2024-01-01' as d, map(1, 2) as m, 5 as n, 'a' as t, true as b")
+    unfit = [value_range("d", 0), value_range("n", "a"), unique("m"), accepted_values("m", ["x"]), value_range("b", 0, 1)]
+    fit = [
+        value_range("d", dt.date(2024, 1, 1), dt.datetime(2024, 2, 1)),
+        value_range("t", "a", "b"),
+        accepted_values("d", ["2024-01-01"]),
+        not_null("m"),
+        accepted_values("b", [True]),
+    ]
+    rows = run_suite(df, unfit + fit).orderBy("rule_no").collect()
+    assert [r["message"] is None for r in rows] == [False] * 5 + [True] * 5
+    assert [r["success"] for r in rows] == [False] * 5 + [True] * 5
+
+
 def test_unique_tolerates_one_null(spark):
     one = spark.createDataFrame([(1,), (None,), (3,)], "id int")
     two = spark.createDataFrame([(1,), (1,), (None,), (None,)], "id int")

@@ -139,6 +139,14 @@ def test_segments_keep_a_group_without_name_and_share_one_shuffle(spark):
     assert "ReusedExchange" in segments._jdf.queryExecution().executedPlan().toString()
 
 
+def test_segments_leave_out_rules_without_failing_rows(spark):
+    df = spark.createDataFrame([("a", None), ("a", 1)], "kind string, x int")
+    rules = [unique("x"), not_null("gone"), not_null("x")]
+    assert [r["rule_no"] for r in failing_segments(df, rules, ["kind"]).collect()] == [3]
+    with pytest.raises(ValueError):
+        failing_segments(df, rules[:2], ["kind"])
+
+
 def test_report_and_prompt(drifting):
     rules = order_suite()
     results = run_suite(drifting, rules, by=["batch_id"])
