@@ -7,9 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column name as an SQL identifier, dots and back ticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def named(name: str) -> Column:
-    """The column of this name, dots and back ticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """The column of this name."""
+    return F.col(quoted(name))
 
 
 def comparable(kind: T.DataType) -> bool:

@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import comparable, named
+from ..functions.columns import comparable, quoted, text_literal
 from ..functions.numeric import rate, round_to
 from ..schemas import AUDIT_COLUMNS
 
+# Statistics of a column and their types in the result.
+_PARTS = {
+    "nulls": "BIGINT",
+    "min": "DOUBLE",
+    "max": "DOUBLE",
+    "mean": "DOUBLE",
+    "stddev": "DOUBLE",
+    "first_day": "DATE",
+    "last_day": "DATE",
+    "distinct_count": "BIGINT",
+}
+
 
 def profiled_columns(df: DataFrame, exclude: Sequence[str] = AUDIT_COLUMNS) -> list[str]:
     return [f.name for f in df.schema.fields if f.name not in exclude and comparable(f.dataType)]
@@ -30,49 +40,35 @@ def column_statistics(
 
     Every task sends one row, whatever the data looks like. Numeric columns get
     min, max, mean and sample standard deviation to two places, and their exact
-    bounds; date and time columns their first and last day. ``approx_distinct`` adds a sketched distinct count,
-    which fits into the same pass.
+    bounds; date and time columns their first and last day. ``approx_distinct``
+    adds a sketched distinct count, which fits into the same pass.
     """
-    columns = profiled_columns(df, exclude)
-    aggregates, rows = [F.count("*").alias("total_rows")], []
-    for i, name in enumerate(columns):
-        column, kind = named(name), df.schema[name].dataType
-        numeric = isinstance(kind, T.NumericType)
-        dated = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
-        number = column.cast("double")
-        wanted = {"nulls": F.count_if(column.isNull())}
-        if numeric:
-            wanted |= {
-                "min": F.min(column).cast("double"),
-                "max": F.max(column).cast("double"),
-                "mean": F.avg(number),
-                "stddev": F.stddev_samp(number),
-            }
-        if dated:
+    aggregates, rows = ["count(*) AS total_rows"], []
+    for i, name in enumerate(profiled_columns(df, exclude)):
+        column, kind = quoted(name), df.schema[name].dataType
+        wanted = {"nulls": f"count_if({column} IS NULL)"}
+        if isinstance(kind, T.NumericType):
             wanted |= {
-                "first_day": F.min(column).cast("date"),
-                "last_day": F.max(column).cast("date"),
+                "min": f"min({column})",
+                "max": f"max({column})",
+                "mean": f"avg(CAST({column} AS DOUBLE))",
+                "stddev": f"stddev_samp(CAST({column} AS DOUBLE))",
             }
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            wanted |= {"first_day": f"min({column})", "last_day": f"max({column})"}
         if approx_distinct:
-            seen_null = F.coalesce(F.max(column.isNull().cast("bigint")), F.lit(0))
-            wanted["distinct_count"] = F.approx_count_distinct(column) + seen_null
-        aggregates += [value.alias(f"c{i}_{part}") for part, value in wanted.items()]
-
-        def part(key: str, kind: str, i: int = i, wanted: dict = wanted) -> Column:
-            return (F.col(f"c{i}_{key}") if key in wanted else F.lit(None)).cast(kind).alias(key)
-
-        rows.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(name).alias("column"),
-                F.lit(kind.simpleString()).alias("data_type"),
-                part("nulls", "bigint"),
-                *[part(s, "double") for s in ("min", "max", "mean", "stddev")],
-                *[part(s, "date") for s in ("first_day", "last_day")],
-                *([part("distinct_count", "bigint")] if approx_distinct else []),
+            wanted["distinct_count"] = (
+                f"approx_count_distinct({column}) + coalesce(max(int({column} IS NULL)), 0)"
             )
-        )
-    stats = df.agg(*aggregates).select("total_rows", F.inline(F.array(*rows)))
+        aggregates += [f"{value} AS {part}_{i}" for part, value in wanted.items()]
+        fields = [f"{i} AS position", f"{text_literal(name)} AS column"]
+        fields.append(f"{text_literal(kind.simpleString())} AS data_type")
+        for part, type_name in _PARTS.items():
+            if part != "distinct_count" or approx_distinct:
+                value = f"{part}_{i}" if part in wanted else "NULL"
+                fields.append(f"CAST({value} AS {type_name}) AS {part}")
+        rows.append(f"struct({', '.join(fields)})")
+    stats = df.selectExpr(*aggregates).selectExpr("total_rows", f"inline(array({', '.join(rows)}))")
     return stats.select(
         "position",
         "column",
@@ -89,17 +85,22 @@ def column_statistics(
     )
 
 
-def _counts(df: DataFrame, name: str) -> DataFrame:
-    """How often each value of one column occurs: ``value, rows``.
+def _counts(name: str) -> str:
+    """How often each value of one column occurs.
 
     Only this column is read. Rows are counted before the shuffle, so a value
     held by a third of all rows is one row per task. NULL is a value.
     """
-    return df.groupBy(named(name).alias("value")).agg(F.count("*").alias("rows"))
+    return f"(SELECT {_plain(quoted(name))} AS value, count(*) AS rows FROM {{df}} GROUP BY ALL)"
+
 
+def _plain(text: str) -> str:
+    """Text whose braces are no place holders of ``spark.sql``."""
+    return text.replace("{", "{{").replace("}", "}}")
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+
+def _label(name: str) -> str:
+    return f"{_plain(text_literal(name))} AS column"
 
 
 def distinct_counts(
@@ -116,19 +117,17 @@ def distinct_counts(
     so that they share the shuffle of their top values.
     """
 
-    def of(name: str) -> DataFrame:
+    def of(name: str) -> str:
         if name not in counted:
-            distinct = df.select(named(name)).distinct()
-            return distinct.agg(F.lit(name).alias("column"), F.count("*").alias("distinct_count"))
+            distinct = f"(SELECT DISTINCT {_plain(quoted(name))} FROM {{df}})"
+            return f"SELECT {_label(name)}, count(*) AS distinct_count FROM {distinct}"
         # Summing the rows keeps them in the plan, as the top values need them.
-        per_column = _counts(df, name).agg(
-            F.lit(name).alias("column"),
-            F.count("*").alias("distinct_count"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        )
-        return per_column.filter(F.col("rows") >= 0).select("column", "distinct_count")
+        return f"""SELECT {_label(name)}, distinct_count FROM (
+            SELECT count(*) AS distinct_count, coalesce(sum(rows), 0) AS rows FROM {_counts(name)}
+        ) WHERE rows >= 0"""
 
-    return _union([of(name) for name in profiled_columns(df, exclude)])
+    branches = [of(name) for name in profiled_columns(df, exclude)]
+    return df.sparkSession.sql("\nUNION ALL\n".join(branches), df=df)
 
 
 def top_values(df: DataFrame, k: int = 5, *, columns: Sequence[str] | None = None) -> DataFrame:
@@ -138,17 +137,19 @@ def top_values(df: DataFrame, k: int = 5, *, columns: Sequence[str] | None = Non
     keeps its best ``k`` values in a heap; only these are brought together.
     """
     names = _text_columns(df, profiled_columns(df)) if columns is None else columns
-    order = [F.desc("rows"), F.asc_nulls_last("value")]
-
-    def of(name: str) -> DataFrame:
-        best = _counts(df, name).orderBy(*order).limit(k)
-        return best.select(
-            F.lit(name).alias("column"), F.col("value").cast("string").alias("value"), "rows"
-        )
-
-    best = _union([of(name) for name in names])  # at most k rows per column
-    rank = F.row_number().over(W.partitionBy("column").orderBy(*order))
-    return best.select("column", rank.alias("rank"), "value", "rows")
+    if not names:
+        empty = "column string, rank int, value string, rows bigint"
+        return df.sparkSession.createDataFrame([], empty)
+    branches = [
+        f"""(SELECT {_label(name)}, CAST(value AS STRING) AS value, rows FROM {_counts(name)}
+            ORDER BY rows DESC, value NULLS LAST LIMIT {int(k)})"""
+        for name in names
+    ]
+    # At most k rows per column are left to be ranked.
+    best = "\nUNION ALL\n".join(branches)
+    order = "PARTITION BY column ORDER BY rows DESC, value NULLS LAST"
+    ranked = f"SELECT column, row_number() OVER ({order}) AS rank, value, rows FROM ({best})"
+    return df.sparkSession.sql(ranked, df=df)
 
 
 def profile(

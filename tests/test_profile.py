@@ -54,7 +54,9 @@ def test_one_row_and_no_rows(spark):
 
 def test_columns_with_odd_names_and_huge_values(spark):
     df = spark.createDataFrame([(1e300, "v"), (float("inf"), "w")], "`a.b` double, `c d` string")
+    df = df.withColumn("it's {x} \\ `q`", F.lit("v"))
     found = by_column(profile(df))
+    assert found["it's {x} \\ `q`"]["top_values"] == ["v"]
     assert found["a.b"]["highest"] == float("inf") and found["a.b"]["min"] == 1e300
     assert found["c d"]["distinct_count"] == 2
 
