@@ -496,7 +496,7 @@ UNION ALL SELECT 'daily_orders', count(DISTINCT order_date), {_one_sum('silver',
 UNION ALL SELECT 'profile', 10, NULL""",
         "upsert_by_key": f"""WITH {CLEAN}, both_sides AS (
  SELECT order_id, order_date, order_amount, 1 AS age FROM clean
- UNION ALL SELECT order_id, order_date + CAST(src_key % 7 - 3 AS INTEGER), order_amount + 1000, 0 FROM clean WHERE src_key % 3 = 0)
+ UNION ALL SELECT order_id, order_date + (customer_age % 7 - 3), order_amount + 1000, 0 FROM clean WHERE delivery_status = 'Pending')
 SELECT order_id, order_date, CAST(CAST(order_amount AS DECIMAL(18,2)) AS DOUBLE) AS order_amount FROM (
  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_date DESC, age) AS rn FROM both_sides) WHERE rn = 1""",
         "dedup_by_customer": f"""WITH {CLEAN} SELECT {TRACKED} FROM (SELECT *, row_number() OVER (
@@ -621,6 +621,6 @@ FROM days LEFT JOIN history ON history.day = days.day GROUP BY days.day""",
         "stream_incremental": f"""WITH {DIRTY} SELECT CAST(CASE WHEN batch_id < 3 THEN 0 ELSE 1 END AS BIGINT) AS epoch, batch_id, count(*) AS rows
 FROM dirty GROUP BY ALL""",
         "stream_drift_alert": f"""WITH {DRIFT} SELECT batch_id, rule_no, check_name, "column", level, previous_level, change, severity
-FROM failures WHERE batch_id = 3""",
+FROM failures WHERE severity = 'HIGH'""",
     }
     return queries

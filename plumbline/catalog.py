@@ -174,12 +174,12 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("upsert_by_key")
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third order comes again with a later date and another amount."""
+    """Pending orders come again with another amount, some of them out of date."""
     target = clean_orders(spark, sf_dir)
-    updates = target.filter(F.pmod("src_key", F.lit(3)) == 0).withColumns(
+    updates = target.filter(F.col("delivery_status") == "Pending").withColumns(
         {
             "order_amount": F.col("order_amount") + 1000,
-            "order_date": F.date_add("order_date", (F.pmod("src_key", F.lit(7)) - 3).cast("int")),
+            "order_date": F.date_add("order_date", F.col("customer_age") % 7 - 3),
         }
     )
     newest_first = [F.desc("order_date")]
@@ -624,10 +624,10 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def stream_drift_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Graded failures of the batch in which payment methods go missing."""
+    """The failures among all arrived batches that are graded HIGH."""
     root = _checked_stream(spark, drifting_orders(spark, sf_dir))
     alerts = mb.drift_alerts(spark, root, first_day=FIRST_BATCH_DAY)
-    return alerts.filter(F.col("batch_id") == 3).select(
+    return alerts.filter(F.col("severity") == "HIGH").select(
         "batch_id", "rule_no", "check_name", "column", "level", "previous_level", "change", "severity"
     )
 
