@@ -427,9 +427,8 @@ def sample_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rule_prompt")
 def rule_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return responses.rule_prompt(
-        profile_documents(spark, sf_dir), sample_documents(spark, sf_dir), DATASET
-    )
+    profiled, samples = profile_documents(spark, sf_dir), sample_documents(spark, sf_dir)
+    return responses.rule_prompt(profiled, DATASET, samples)
 
 
 @query("parse_ruleset_json")

@@ -49,36 +49,42 @@ def sample_rows_json(df: DataFrame, key: str, n: int) -> DataFrame:
     return picked.select("pick", body.alias("row_json"))
 
 
-def rule_prompt(profile_docs: DataFrame, sample_docs: DataFrame, dataset_name: str) -> DataFrame:
-    """One prompt asking for rules, built from a profile and sample rows."""
+def rule_prompt(
+    profile_docs: DataFrame, dataset_name: str, sample_docs: DataFrame | None = None
+) -> DataFrame:
+    """One prompt asking for rules, from a profile and, if given, sample rows.
+
+    It holds one line per column and per sampled row.
+    """
     head = (
         f"Suggest data quality rules for the dataset {dataset_name}.\n"
         f"Use only these rule types: {', '.join(RULE_TYPES)}.\n"
         "Answer with one JSON object with the fields dataset_name, rules and summary. "
         "Each rule has the fields column, rule_type, parameters and reasoning."
     )
+    place = F.lpad(F.col("position").cast("string"), 9, "0")
     lines = profile_docs.select(
-        F.lit(1).alias("block"), F.lpad(F.col("position").cast("string"), 9, "0").alias("place"), F.col("profile_json").alias("text")
-    ).unionByName(
-        sample_docs.select(
-            F.lit(2).alias("block"), F.col("pick").alias("place"), F.col("row_json").alias("text")
-        )
+        F.lit(1).alias("block"), place.alias("place"), F.col("profile_json").alias("text")
     )
+    if sample_docs is not None:
+        lines = lines.unionByName(
+            sample_docs.select(
+                F.lit(2).alias("block"), F.col("pick").alias("place"), F.col("row_json").alias("text")
+            )
+        )
     ordered = F.array_sort(F.collect_list(F.struct("block", "place", "text")))
 
     def block(number: int) -> Column:
         chosen = F.filter("lines", lambda d: d["block"] == number)
         return F.array_join(F.transform(chosen, lambda d: d["text"]), "\n")
 
+    parts = [F.lit(f"{head}\nPROFILE\n"), block(1)]
+    if sample_docs is not None:
+        parts += [F.lit("\nSAMPLE ROWS\n"), block(2)]
     return (
         lines.groupBy(F.lit(dataset_name).alias("dataset_name"))
         .agg(ordered.alias("lines"))
-        .select(
-            "dataset_name",
-            F.concat(
-                F.lit(f"{head}\nPROFILE\n"), block(1), F.lit("\nSAMPLE ROWS\n"), block(2)
-            ).alias("prompt"),
-        )
+        .select("dataset_name", F.concat(*parts).alias("prompt"))
     )
 
 

@@ -141,6 +141,16 @@ def test_known_results_of_the_order_suite(spark, sf_dir):
     ]
 
 
+def test_a_hot_value_is_merged_before_the_shuffle(spark):
+    hot = spark.range(0, 90000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id % 2 as half")
+    assert outcome(hot, unique("k")) == (False, 60001.0, 90000.0)
+    results = run_suite(hot, [unique("k"), not_null("k")], by=["half"])
+    found = {(r["half"], r["rule_no"]): r["metric_value"] for r in results.collect()}
+    assert found == {(0, 1): 30001.0, (1, 1): 30001.0, (0, 2): 0.0, (1, 2): 0.0}
+    plan = run_suite(hot, [unique("k")])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan[plan.index("Exchange hashpartitioning") :]
+
+
 def test_grouped_suite_equals_a_suite_per_group(spark, sf_dir):
     orders = drifting_orders(spark, sf_dir)
     grouped = run_suite(orders, order_suite(), by=["batch_id"])

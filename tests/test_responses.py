@@ -4,7 +4,17 @@ import json
 
 import pytest
 
-from plumbline import good_rules, parse_root_causes, parse_rule_sets, quarantined, rules_from_frame
+from plumbline import (
+    good_rules,
+    parse_root_causes,
+    parse_rule_sets,
+    profile,
+    profile_to_json,
+    quarantined,
+    rule_prompt,
+    rules_from_frame,
+    sample_rows_json,
+)
 from plumbline.functions.text import severity_marker, strip_space
 from pyspark.sql import functions as F
 
@@ -116,6 +126,18 @@ def test_broken_root_causes(spark):
     assert all(r["column"] is None and r["confidence"] is None for r in refused)
 
 
+def test_prompt_with_and_without_samples(spark):
+    df = spark.createDataFrame([(1, "UPI"), (2, None)], "id int, payment_method string")
+    docs = profile_to_json(profile(df))
+    plain = rule_prompt(docs, "orders").collect()[0]["prompt"]
+    assert "not_null, unique, value_range, accepted_values, null_rate" in plain and "SAMPLE" not in plain
+    full = rule_prompt(docs, "orders", sample_rows_json(df, "id", 1)).collect()[0]["prompt"]
+    assert full.startswith(plain) and full.count('"payment_method"') == plain.count('"payment_method"') + ('"UPI"' in full.split("SAMPLE ROWS")[1])
+    lines = plain.split("PROFILE\n")[1].split("\n")
+    assert [json.loads(line)["column"] for line in lines] == ["id", "payment_method"]
+    assert json.loads(lines[1])["top_values"] == ["UPI", None]
+
+
 def test_markers_and_stripping(spark):
     df = spark.createDataFrame([("HIGH",), ("LOW",), ("URGENT",), (None,)], "s string")
     assert [r[0] for r in df.select(severity_marker(F.col("s"))).collect()] == ["🔴", "🟢", "⚪", "⚪"]

@@ -55,6 +55,28 @@ def test_a_restart_reads_only_new_files(spark, orders):
     assert bronze.filter(F.col("ingested_at").isNull()).count() == 0
 
 
+def test_a_batch_that_broke_off_is_repeated_whole(spark, orders, monkeypatch):
+    root, real, calls = work_path(spark, "t"), mb.store_epoch, []
+
+    def breaks_once(df, root, name, epoch):
+        calls.append((name, epoch))
+        if calls.count(("silver", 1)) == 1 and name == "silver" and epoch == 1:
+            raise RuntimeError("lost")
+        return real(df, root, name, epoch)
+
+    monkeypatch.setattr(mb, "store_epoch", breaks_once)
+    for batch in (0, 1):
+        mb.land(orders.filter(F.col("batch_id") == batch), f"{root}/landing")
+        if batch == 1:
+            with pytest.raises(Exception):
+                mb.stream_medallion(arrivals(spark, root), root, as_of=AS_OF)
+        mb.stream_medallion(arrivals(spark, root), root, as_of=AS_OF)
+    assert calls.count(("bronze", 1)) == 2
+    silver = to_silver(orders.filter("batch_id < 2"), as_of=AS_OF).drop("transformed_at")
+    assert rows(mb.stored_silver(spark, root), "epoch") == rows(silver)
+    assert rows(mb.stored_revenue_by_category(spark, root)) == rows(revenue_by_category(silver))
+
+
 def test_layers_equal_the_batch_layers(spark, orders):
     root = work_path(spark, "t")
     for batch in range(BATCHES):
