@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Beyond this size a double has no room for the decimals being rounded.
 _ROUNDABLE = 1e12
+# Below this size a double with two decimals names one number of cents.
+_EXACT_CENTS = 1e13
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -33,14 +35,15 @@ def rate(part: Column, whole: Column) -> Column:
 def money_parts(amount: str) -> dict[str, Column]:
     """Mergeable aggregates from which :func:`money_total` builds a total.
 
-    Amounts are summed as DECIMAL(18,2), which does not depend on the order of
-    addition. Values that do not fit (NaN, infinities, above 10^16) are noticed
-    by comparing the two counts; the total then falls back to the double sum.
+    Amounts are summed as whole cents in a decimal, which neither overflows nor
+    depends on the order of addition. Values without exact cents (NaN,
+    infinities, 10^13 and more) are noticed by comparing the two counts; the
+    total then falls back to the double sum.
     """
     value = F.col(amount)
-    cents = value.try_cast("decimal(18,2)")
+    cents = F.when(F.abs(value) < F.lit(_EXACT_CENTS), F.floor(value * 100.0 + 0.5))
     return {
-        "exact_sum": F.sum(cents).cast("decimal(38,2)"),
+        "cents": F.sum(cents.cast("decimal(18,0)")).cast("decimal(38,0)"),
         "exact_values": F.count(cents),
         "plain_sum": F.sum(value),
         "plain_values": F.count(value),
@@ -50,7 +53,7 @@ def money_parts(amount: str) -> dict[str, Column]:
 def merged_money_parts() -> dict[str, Column]:
     """Aggregates that merge rows made by :func:`money_parts`."""
     return {
-        "exact_sum": F.sum("exact_sum").cast("decimal(38,2)"),
+        "cents": F.sum("cents").cast("decimal(38,0)"),
         "exact_values": F.sum("exact_values"),
         "plain_sum": F.sum("plain_sum"),
         "plain_values": F.sum("plain_values"),
@@ -58,7 +61,7 @@ def merged_money_parts() -> dict[str, Column]:
 
 
 def money_total() -> Column:
-    """The total over merged parts: exact when every value was exact."""
+    """The total over merged parts: exact to the cent when every value was."""
     return F.when(
-        F.col("exact_values") == F.col("plain_values"), F.col("exact_sum").cast("double")
+        F.col("exact_values") == F.col("plain_values"), F.col("cents").cast("double") / 100.0
     ).otherwise(F.col("plain_sum"))
