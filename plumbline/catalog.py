@@ -151,25 +151,19 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts and revenue of all layers of one stored run."""
     raw = dirty_orders(spark, sf_dir)
     layers = run_medallion(raw, work_path(spark, "medallion"), as_of=AS_OF)
-    revenue = F.sum(F.col("total_revenue").cast("decimal(18,2)")).cast("double")
-    none = F.lit(None).cast("double")
-    parts = [
-        layers.bronze.agg(F.lit("bronze").alias("layer"), F.count("*").alias("rows"), none.alias("revenue")),
-        layers.silver.agg(F.lit("silver").alias("layer"), F.count("*").alias("rows"), none.alias("revenue")),
-        layers.revenue_by_category.agg(
-            F.lit("revenue_by_category").alias("layer"), F.count("*").alias("rows"), revenue.alias("revenue")
-        ),
-        layers.daily_orders.agg(
-            F.lit("daily_orders").alias("layer"),
+
+    def rows(layer: str, revenue: str | None = None) -> DataFrame:
+        total = F.lit(None)
+        if revenue:
+            total = F.sum(F.col(revenue).cast("decimal(18,2)"))
+        return getattr(layers, layer).agg(
+            F.lit(layer).alias("layer"),
             F.count("*").alias("rows"),
-            F.sum(F.col("daily_revenue").cast("decimal(18,2)")).cast("double").alias("revenue"),
-        ),
-        layers.profile.agg(F.lit("profile").alias("layer"), F.count("*").alias("rows"), none.alias("revenue")),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+            total.cast("double").alias("revenue"),
+        )
+
+    gold = rows("revenue_by_category", "total_revenue").unionByName(rows("daily_orders", "daily_revenue"))
+    return rows("bronze").unionByName(rows("silver")).unionByName(gold).unionByName(rows("profile"))
 
 
 @query("upsert_by_key")

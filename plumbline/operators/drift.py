@@ -170,7 +170,13 @@ def root_cause_report(failures: DataFrame, segments: DataFrame, batch: str = "ba
     )
     where = F.when(
         F.col("share").isNotNull(),
-        F.concat(F.lit("; "), segment, F.lit(" holds "), percent(F.col("share")), F.lit(" of the failing rows")),
+        F.concat(
+            F.lit("; "),
+            segment,
+            F.lit(" holds "),
+            percent(F.col("share")),
+            F.lit(" of the failing rows"),
+        ),
     ).otherwise(F.lit(""))
     metric = F.when(F.col("rule_type") == "unique", "distinct share").otherwise("failing share")
     return failures.join(leading, same, "left").select(

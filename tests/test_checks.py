@@ -171,6 +171,12 @@ def test_summary_and_lines(letters):
     assert {r["dataset_name"] for r in expectations.results().collect()} == {"letters"}
 
 
+def test_summary_per_group(spark):
+    df = spark.createDataFrame([(1, None), (2, "a")], "batch int, c string")
+    results = run_suite(df, [not_null("c"), unique("c")], by=["batch"])
+    assert {tuple(r) for r in summarise(results, ["batch"]).collect()} == {(1, 2, 1, 1), (2, 2, 2, 0)}
+
+
 def test_schema_contract(spark):
     df = spark.createDataFrame(
         [("1", 5, "30.5", 1), ("2", 6, "n/a", 2), (None, 7, None, 3)],

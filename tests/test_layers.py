@@ -21,7 +21,7 @@ from plumbline import (
 )
 from plumbline.schemas import ORDERS
 from plumbline.session import work_path
-from plumbline.sources.bridge import AS_OF, BATCHES, clean_orders, dirty_orders
+from plumbline.sources.bridge import AS_OF, BATCHES, dirty_orders
 from plumbline.sources.layers import CORRUPT
 
 TODAY = dt.date(2024, 6, 1)
@@ -168,4 +168,3 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
 def test_work_path_uses_the_named_folder(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_path(spark, "x") != work_path(spark, "x")
-    assert clean_orders is not None
