@@ -155,7 +155,7 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     def rows(layer: str, revenue: str | None = None) -> DataFrame:
         total = F.lit(None)
         if revenue:
-            total = F.sum(F.col(revenue).cast("decimal(18,2)"))
+            total = F.sum(F.col(revenue).cast("decimal(38,2)"))
         return getattr(layers, layer).agg(
             F.lit(layer).alias("layer"),
             F.count("*").alias("rows"),
