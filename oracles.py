@@ -177,7 +177,7 @@ def profile(source: str, columns: dict[str, str], name: str = "profile") -> str:
     selects = []
     for position, (column, kind) in enumerate(columns.items()):
         number = f"CAST({column} AS DOUBLE)" if kind == "number" else "CAST(NULL AS DOUBLE)"
-        day = column if kind == "date" else "CAST(NULL AS DATE)"
+        day = f"CAST({column} AS DATE)" if kind == "date" else "CAST(NULL AS DATE)"
         selects.append(
             f"""SELECT {position} AS position, '{column}' AS "column", count(*) AS total_rows,
  count(*) FILTER (WHERE {column} IS NULL) AS null_count,
@@ -204,10 +204,10 @@ ORDER_KINDS = {
 TEXTS = [c for c, kind in ORDER_KINDS.items() if kind == "text"]
 
 
-def tops(source: str, k: int, name: str = "tops") -> str:
+def tops(source: str, k: int, name: str = "tops", texts: list[str] = TEXTS) -> str:
     counts = " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS rows FROM {source} GROUP BY {c}"""
-        for c in TEXTS
+        for c in texts
     )
     return f"""{name} AS (SELECT * FROM (
  SELECT "column", CAST(row_number() OVER (PARTITION BY "column" ORDER BY rows DESC, value NULLS LAST) AS INTEGER) AS rank,
@@ -231,6 +231,26 @@ LINE_NUMBERS = [
     "l_tax",
 ]
 
+LINE_KINDS = {
+    **dict.fromkeys(LINE_NUMBERS, "number"),
+    "l_returnflag": "text",
+    "l_linestatus": "text",
+    "l_shipdate": "date",
+}
+DOCUMENT_KINDS = {
+    "doc_id": "number",
+    "text": "text",
+    "lang": "text",
+    "source": "text",
+    "n_chars": "number",
+}
+
+
+def table_profile(source: str, kinds: dict[str, str]) -> str:
+    texts = [c for c, kind in kinds.items() if kind == "text"]
+    return f"WITH {profile(source, kinds)}, {tops(source, 5, texts=texts)} {PROFILE_ROWS}"
+
+
 SUGGESTED = f"""{profile("{source}", ORDER_KINDS)}, {tops("{source}", 20)},
 listed AS (SELECT "column", string_agg(value, '|' ORDER BY value) AS accepted,
   string_agg('"' || value || '"', ',' ORDER BY value) AS accepted_json
@@ -503,6 +523,8 @@ SELECT order_id, order_date, CAST(CAST(order_amount AS DECIMAL(18,2)) AS DOUBLE)
  PARTITION BY customer_id ORDER BY order_date DESC, order_amount DESC, src_key) AS rn FROM clean) WHERE rn = 1""",
         "profile_silver": f"WITH {SILVER}, {profile('silver', ORDER_KINDS)}, {tops('silver', 5)} {PROFILE_ROWS}",
         "profile_raw": f"WITH {PROFILED} {PROFILE_ROWS}",
+        "profile_lineitem": table_profile("lineitem", LINE_KINDS),
+        "profile_texts": table_profile("documents", DOCUMENT_KINDS),
         "profile_numeric": f"WITH {profile('lineitem', dict.fromkeys(LINE_NUMBERS, 'number'))} "
         'SELECT "column", total_rows, null_count, min, max, mean, stddev FROM profile',
         "profile_top_values": f"WITH {DIRTY}, {tops('dirty', 5)} SELECT \"column\", rank, value, rows FROM tops",

@@ -212,6 +212,23 @@ def profile_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _profile_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return profile(read_table(spark, sf_dir, name)).select(
+        *PROFILE_COLUMNS, _joined("top_values").alias("top_values")
+    )
+
+
+@query()
+def profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profile_table(spark, sf_dir, "lineitem")
+
+
+@query()
+def profile_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, exact copies among them."""
+    return _profile_table(spark, sf_dir, "documents")
+
+
 @query()
 def profile_distinct_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketched distinct counts from one pass without a shuffle of values."""

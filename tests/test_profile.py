@@ -2,12 +2,22 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from plumbline import check_suggested_rules, distinct_counts, profile, read_rules, rules_from_frame, suggest_rules, top_values, write_rules
+from plumbline import (
+    check_suggested_rules,
+    distinct_counts,
+    profile,
+    read_rules,
+    rules_from_frame,
+    suggest_rules,
+    top_values,
+    write_rules,
+)
 from plumbline.operators.checks import run_suite
 from plumbline.session import work_path
-from plumbline.sources.bridge import clean_orders, dirty_orders
+from plumbline.sources.bridge import clean_orders, dirty_orders, read_table
 
 
 def by_column(df):
@@ -100,6 +110,14 @@ def test_suggested_rules_hold_on_their_data_and_find_faults_elsewhere(spark, sf_
     assert run_suite(dirty, rules_from_frame(dirty_rules)).filter(~F.col("success")).count() == 0
 
 
+@pytest.mark.parametrize("table", ["nation", "events", "documents", "embeddings", "conversations"])
+def test_suggested_rules_hold_on_any_table(spark, sf_dir, table):
+    df = read_table(spark, sf_dir, table)
+    rules = rules_from_frame(suggest_rules(df))
+    assert len(rules) >= len(df.columns)
+    assert run_suite(df, rules).filter(~F.col("success")).count() == 0
+
+
 def test_no_rules_for_no_rows(spark):
     assert suggest_rules(spark.createDataFrame([], "x double, t string")).count() == 0
     nulls = spark.createDataFrame([(None,), (None,)], "t string")
