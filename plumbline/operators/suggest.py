@@ -91,11 +91,15 @@ def rules_from_frame(rules: DataFrame) -> list[Rule]:
 
 
 def rules_to_json(rules: DataFrame, dataset_name: str) -> DataFrame:
-    """The rule set as one JSON document; parameters a rule lacks are left out."""
+    """The rule set as one JSON document; parameters a rule lacks are left out.
+
+    Rules are in the order of the columns suggested for, or of their numbers.
+    """
     order = {"accepted_values": 4, "not_null": 0, "null_rate": 1, "unique": 2, "value_range": 3}
     places = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
+    given = [c for c in ("position", "rule_no") if c in rules.columns]
     document = F.struct(
-        "position",
+        *given,
         F.try_element_at(places, F.col("rule_type")).alias("place"),
         F.struct(
             "column",

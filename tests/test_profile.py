@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline import (
     check_suggested_rules,
     distinct_counts,
+    good_rules,
     profile,
     read_rules,
     rules_from_frame,
@@ -131,3 +132,5 @@ def test_rules_survive_their_json_file(spark, sf_dir):
     back = read_rules(spark, path)
     assert back.filter(F.col("problem").isNotNull()).count() == 0
     assert set(rules_from_frame(back)) == set(rules_from_frame(rules))
+    write_rules(good_rules(back), "orders", f"{path}-again")
+    assert spark.read.text(f"{path}-again").collect() == spark.read.text(path).collect()
