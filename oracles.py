@@ -39,9 +39,8 @@ def _faulty(name: str, missing: str) -> str:
 
 
 DIRTY = f"{CLEAN},\n" + _faulty("dirty", "(43 * src_key) % 100 < 15")
-DRIFTING = f"{CLEAN},\n" + _faulty(
-    "drifting", "(43 * src_key) % 100 < CASE WHEN batch_id = 3 THEN 34 ELSE 1 END"
-)
+MISSING_PAYMENT = "(43 * src_key) % 100 < CASE WHEN batch_id = 3 THEN 34 ELSE 1 END"
+DRIFTING = f"{CLEAN},\n" + _faulty("drifting", MISSING_PAYMENT)
 
 SURVIVORS = """ORDER BY order_amount DESC, order_date NULLS FIRST, product_category NULLS FIRST,
    payment_method NULLS LAST, customer_id NULLS FIRST, src_key"""
@@ -635,6 +634,10 @@ FROM days LEFT JOIN history ON history.day = days.day GROUP BY days.day""",
         "failed_checks": f"WITH {HISTORY} {HISTORY_ROWS} WHERE status = 'FAIL'",
         "failed_check_labels": f"""WITH {HISTORY} SELECT batch || ' | ' || "column" || ' | ' || "check" AS label,
  batch AS label_batch, "column" AS label_column, "check" AS label_check FROM history WHERE status = 'FAIL'""",
+        "history_rechecked": f"""WITH {DIRTY}, {_faulty("drifting", MISSING_PAYMENT)},
+results AS (SELECT * FROM ({suite('dirty', ORDER_SUITE, by='batch_id')}) WHERE batch_id < 4
+ UNION ALL SELECT * FROM ({suite('drifting', ORDER_SUITE, by='batch_id')}) WHERE batch_id = 4)
+SELECT 'batch_' || batch_id AS batch, count(*) AS checks, count(*) FILTER (WHERE success) AS passed_checks FROM results GROUP BY batch_id""",
         "stream_check_suite": f"""WITH {DIRTY} SELECT *, batch_id AS epoch FROM ({suite('dirty', ORDER_SUITE, by='batch_id')})""",
         "stream_medallion": f"WITH {SILVER} SELECT {TRACKED} FROM silver",
         "stream_gold": f"WITH {SILVER} {REVENUE}",

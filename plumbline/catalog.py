@@ -46,6 +46,7 @@ from .sources.bridge import (
     drifting_orders,
     read_table,
 )
+from .sources.history import read_history, write_history
 from .sources.layers import read_orders_csv, stamp, write_csv, write_layer
 from .streaming import micro_batches as mb
 
@@ -562,6 +563,18 @@ def failed_check_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.failure_labels(_history(spark, sf_dir))
 
 
+@query()
+def history_rechecked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored history after the last batch was checked again on other data."""
+    path = work_path(spark, "history")
+    write_history(_history(spark, sf_dir), path)
+    again = drifting_orders(spark, sf_dir).filter(F.col("batch_id") == BATCHES - 1)
+    write_history(monitor.to_history(_batch_results(again), first_day=FIRST_BATCH_DAY), path)
+    return read_history(spark, path).groupBy("batch").agg(
+        F.count("*").alias("checks"), F.count_if(F.col("status") == monitor.PASS).alias("passed_checks")
+    )
+
+
 # --- streaming ---
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,11 @@ def named(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def names_of(by: str | Sequence[str]) -> list[str]:
+    """One name or several, as a list."""
+    return [by] if isinstance(by, str) else list(by)
+
+
 def comparable(kind: T.DataType) -> bool:
     """Whether values of this type can be told apart by grouping."""
     if isinstance(kind, T.ArrayType):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import comparable, named
+from ..functions.columns import comparable, named, names_of
 from ..functions.numeric import rate
 from ..schemas import CATEGORIES, DELIVERY_STATUSES, MAX_AGE, MIN_AGE, PAYMENT_METHODS
 
@@ -184,18 +184,20 @@ def _run_part(df: DataFrame, rules: list[tuple[int, Rule]], groups: Sequence[str
                 measure = F.count_if(failing(rule, df.schema[rule.column].dataType))
             aggregates.append(measure.alias(f"measure_{number}"))
         results.append(_result(number, rule, F.col(f"measure_{number}"), message))
-    measured = df.groupBy(*groups).agg(*aggregates)
-    return measured.select(*groups, "total_rows", F.inline(F.array(*results)))
+    keys = [named(g) for g in groups]
+    measured = df.groupBy(*keys).agg(*aggregates)
+    return measured.select(*keys, "total_rows", F.inline(F.array(*results)))
 
 
 def _run_unique(df: DataFrame, number: int, rule: Rule, groups: Sequence[str]) -> DataFrame:
     """A uniqueness rule on its own: equal values are merged before the shuffle."""
-    values = df.groupBy(*groups, named(rule.column).alias("__value")).agg(F.count("*").alias("__rows"))
-    measured = values.groupBy(*groups).agg(
+    keys = [named(g) for g in groups]
+    values = df.groupBy(*keys, named(rule.column).alias("__value")).agg(F.count("*").alias("__rows"))
+    measured = values.groupBy(*keys).agg(
         F.coalesce(F.sum("__rows"), F.lit(0)).alias("total_rows"), F.count("*").alias("__distinct")
     )
     result = _result(number, rule, F.col("__distinct"), None)
-    return measured.select(*groups, "total_rows", F.inline(F.array(result)))
+    return measured.select(*keys, "total_rows", F.inline(F.array(result)))
 
 
 def run_suite(
@@ -203,7 +205,7 @@ def run_suite(
     rules: Sequence[Rule],
     *,
     dataset_name: str = "dataset",
-    by: Sequence[str] = (),
+    by: str | Sequence[str] = (),
     single_scan: bool = False,
 ) -> DataFrame:
     """One result row per rule, or per rule and group of ``by`` (a batch, say).
@@ -221,7 +223,7 @@ def run_suite(
     """
     if not rules:
         raise ValueError("a suite needs at least one rule")
-    groups = [by] if isinstance(by, str) else list(by)
+    groups = names_of(by)
     numbered = list(enumerate(rules, start=1))
     alone = [
         (n, r)
@@ -238,9 +240,9 @@ def run_suite(
     )
 
 
-def summarise(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def summarise(results: DataFrame, by: str | Sequence[str] = ()) -> DataFrame:
     """Passed and total checks of a suite."""
-    return results.groupBy(*by).agg(
+    return results.groupBy(*[named(c) for c in names_of(by)]).agg(
         F.count("*").alias("total_checks"),
         F.count_if("success").alias("passed_checks"),
         F.count_if(~F.col("success")).alias("failed_checks"),

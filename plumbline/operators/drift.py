@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.columns import named
+from ..functions.columns import named, names_of
 from ..functions.numeric import rate, ratio, round_to
 from ..functions.text import percent, severity_marker
 from .checks import Rule, failing, problem_of
@@ -55,7 +55,10 @@ def failure_severity(drift: DataFrame, *, high: float = 0.20, medium: float = 0.
 
 
 def failing_segments(
-    df: DataFrame, rules: Sequence[Rule], dimensions: Sequence[str], by: Sequence[str] = ()
+    df: DataFrame,
+    rules: Sequence[Rule],
+    dimensions: Sequence[str],
+    by: str | Sequence[str] = (),
 ) -> DataFrame:
     """Failing rows per value of each dimension, for all rules in one pass.
 
@@ -63,8 +66,10 @@ def failing_segments(
     much more often those rows fail than all rows. Rows are counted per value
     before the shuffle, so what is shuffled grows with the number of values,
     not of rows. Rules on whole columns (uniqueness) have no failing rows and
-    are left out, as are rules that cannot run. Rows without ``by`` are compared over the whole frame.
+    are left out, as are rules that cannot run. With ``by``, shares and lifts
+    are those within each group (a batch, say).
     """
+    by = names_of(by)
     judged = [
         (n, r)
         for n, r in enumerate(rules, start=1)
@@ -73,7 +78,7 @@ def failing_segments(
     if not judged:
         raise ValueError("none of the rules judges single rows")
     flags = {f"fails_{n}": failing(r, df.schema[r.column].dataType) for n, r in judged}
-    groups = [f"by_{c}" for c in by]
+    groups = [f"by_{i}" for i, _ in enumerate(by)]
     # One row per dimension, made by a generator: unpivoting keeps the ids of
     # the other columns, which hides from Spark that the two uses below are one.
     values = F.array(
@@ -84,7 +89,7 @@ def failing_segments(
     )
     counts = (
         df.select(
-            *[named(c).alias(f"by_{c}") for c in by],
+            *[named(c).alias(g) for c, g in zip(by, groups)],
             *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in flags.items()],
             F.inline(values),
         )
@@ -112,7 +117,7 @@ def failing_segments(
     own = ratio(F.col("failing_rows"), F.col("rows"))
     overall = ratio(F.col("all_failing"), F.col("all_rows"))
     return joined.select(
-        *[F.col(f"by_{c}").alias(c) for c in by],
+        *[F.col(g).alias(c) for c, g in zip(by, groups)],
         "rule_no",
         "dimension",
         "value",

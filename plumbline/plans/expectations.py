@@ -41,8 +41,8 @@ class Expectations:
     def expect_null_rate_below(self, column: str, max_null_rate: float) -> Expectations:
         return self.expect(checks.null_rate_below(column, max_null_rate))
 
-    def results(self, by: Sequence[str] = ()) -> DataFrame:
+    def results(self, by: str | Sequence[str] = ()) -> DataFrame:
         return checks.run_suite(self._df, self.rules, dataset_name=self._name, by=by)
 
-    def summary(self, by: Sequence[str] = ()) -> DataFrame:
+    def summary(self, by: str | Sequence[str] = ()) -> DataFrame:
         return checks.summarise(self.results(by), by)

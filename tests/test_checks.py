@@ -10,6 +10,7 @@ from plumbline import (
     accepted_values,
     check_schema,
     describe,
+    failing_segments,
     not_null,
     null_rate_below,
     order_suite,
@@ -171,6 +172,17 @@ def test_summary_and_lines(letters):
     assert {r["dataset_name"] for r in expectations.results().collect()} == {"letters"}
 
 
+def test_groups_with_odd_names(spark):
+    df = spark.createDataFrame([("x", 1), ("y", None)], "`a.b` string, n int")
+    results = run_suite(df, [not_null("n"), unique("n")], by="a.b")
+    assert {(r["a.b"], r["rule_no"], r["success"]) for r in results.collect()} == {
+        ("x", 1, True), ("x", 2, True), ("y", 1, False), ("y", 2, True),
+    }
+    assert summarise(results, "a.b").count() == 2
+    segments = failing_segments(df, [not_null("n")], ["a.b"], by="a.b").collect()
+    assert [(r["a.b"], r["value"], r["lift"]) for r in segments] == [("y", "y", 1.0)]
+
+
 def test_summary_per_group(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], "batch int, c string")
     results = run_suite(df, [not_null("c"), unique("c")], by=["batch"])
