@@ -10,33 +10,37 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry
 from compare import canonical, connect
+from oracles import sql
+from plumbline.catalog import QUERIES
 
-STREAMS = [n for n in entry.queries() if n.startswith("stream_")]
+STREAMS = [n for n in QUERIES if n.startswith("stream_")]
 SKETCHED = {"profile_distinct_approx"}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, sf_dir, name):
-    df = entry.queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     found = canonical(df.columns, [tuple(r) for r in df.collect()])
     if name in SKETCHED:
         assert found
         return
-    cursor = connect(sf_dir).execute(entry.oracle_sql()[name])
+    cursor = connect(sf_dir).execute(sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert found == canonical(columns, cursor.fetchall())
 
 
 def test_every_oracle_has_a_query():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - SKETCHED
+    assert set(sql()) == set(QUERIES) - SKETCHED
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(sql()) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark, sf_dir):
     assert entry.entry(spark).count() == 4
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in STREAMS])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in STREAMS])
 def test_plans_stay_in_the_engine_and_join_on_keys(spark, sf_dir, name):
-    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas|Arrow", plan)
