@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
 from .sharding import shard
+from .substring_dedup import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +38,30 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY t)"""
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup(_table(spark, sf_dir, "documents"), window=50)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE["op3_substring_dedup"] = r"""
+WITH d AS (
+ SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+ SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h
+ FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+covered AS (
+ SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p
+ FROM starts JOIN (SELECT h, min(doc_id) AS first FROM starts GROUP BY h) USING (h) WHERE doc_id > first),
+kept AS (
+ SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+ FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+ ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+ sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
 @query
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)

@@ -23,11 +23,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def table_bytes(df: DataFrame) -> int:
-    """Bytes of a table's values: eight for a number, the length for text and binary."""
-    parts = [
-        F.coalesce(F.octet_length(name), F.lit(0)) if kind in ("string", "binary") else F.lit(8)
-        for name, kind in df.dtypes
-    ]
+    """Bytes of a table's values: eight for a number, the length for text, binary and lists of them."""
+
+    def length(name: str, kind: str):
+        if kind in ("string", "binary"):
+            return F.octet_length(name)
+        if kind == "array<binary>":
+            return F.aggregate(name, F.lit(0), lambda total, x: total + F.octet_length(x))
+        return F.size(name) * 8 if kind.startswith("array") else F.lit(8)
+
+    parts = [F.coalesce(length(name, kind), F.lit(0)) for name, kind in df.dtypes]
     total = parts[0]
     for part in parts[1:]:
         total = total + part
