@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .near_dedup import near_duplicates
 from .sharding import shard
 from .substring_dedup import substring_dedup
 
@@ -106,3 +107,30 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 @query
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+ORACLE["op10_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+ SELECT doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+ FROM documents),
+s AS (
+ SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+ FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+ SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+ FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+ SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+ WHERE 100 * common >= 80 * (p.n + q.n - common)),
+reached AS (
+ SELECT doc_id AS x, doc_id AS y FROM d
+ UNION SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)"""
