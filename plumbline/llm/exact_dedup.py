@@ -12,6 +12,7 @@ from .storage import shuffle_partitions
 SAMPLES_PER_PARTITION = 200
 HOT_SAMPLES = 50
 SEED = 17
+HEAD_CHARS = 24
 
 
 def _hot_texts(rows: DataFrame, partitions: int) -> DataFrame | None:
@@ -46,11 +47,12 @@ def exact_dedup(
 ) -> DataFrame:
     """One row per input row: its id, the id that stays of its group of equal texts, the group's size.
 
-    Rows are range-partitioned by their whole (normalised) text between splitters
-    that Spark samples, and sorted; equal texts are then neighbours and compared
-    in full by the window over the text. A text that the sample shows to be very
-    frequent is cut into salted parts, each a range of its own, whose results
-    are put together by the full text again.
+    Rows are range-partitioned by their (normalised) bytes between splitters that
+    Spark samples, and sorted; equal texts are then neighbours and compared in full
+    by the window over the text. So that splitters stay short, the bytes are
+    ordered by their first characters, a hash of all of them, and then all of them.
+    A text that the sample shows to be very frequent is cut into salted parts,
+    each a range of its own, whose results are put together by the full text again.
 
     A null text counts as empty. ``keep`` is "min" or "max"; of repeated rows with
     that id one stays. Null ids count in the size, and stay only where a group
@@ -64,13 +66,18 @@ def exact_dedup(
     pick = {"min": F.min, "max": F.max}[keep]
     order = F.asc_nulls_last("doc_id") if keep == "min" else F.desc_nulls_last("doc_id")
     hot = _hot_texts(rows, shuffle_partitions(docs.sparkSession))
-    rows = rows.withColumn("text_sha256", F.sha2("text", 256))
+    rows = rows.select(
+        "*",
+        F.sha2("text", 256).alias("text_sha256"),
+        F.left("text", F.lit(HEAD_CHARS)).alias("head"),
+        F.xxhash64("text").alias("mark"),
+    )
     if hot is not None:
         rows = rows.join(F.broadcast(hot), rows.text_sha256 == hot.hot_sha256, "left").drop("hot_sha256")
         salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.lit(0)).cast("int")
         rows = rows.withColumn("salt", salt)
-    ranges = ["text"] if hot is None else ["text", "salt"]
-    equal = Window.partitionBy(*ranges)
+    ranges = ["head", "mark"] if hot is None else ["head", "mark", "salt"]
+    equal = Window.partitionBy(*ranges, "text")
     groups = rows.repartitionByRange(*ranges).select(
         "*",
         F.row_number().over(equal.orderBy(order)).alias("place"),
