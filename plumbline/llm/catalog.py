@@ -12,6 +12,7 @@ from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
 from .sharding import shard
 from .substring_dedup import substring_dedup
+from .token_files import encode_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
