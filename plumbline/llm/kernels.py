@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -124,6 +124,18 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every ``width`` neighbours, by doubling."""
+    least, reach = values, 1
+    while 2 * reach <= width:
+        least = np.minimum(least[:-reach], least[reach:]) if len(least) > reach else least[:0]
+        reach *= 2
+    rest = width - reach
+    if not rest:
+        return least
+    return np.minimum(least[:-rest], least[rest:]) if len(least) > rest else least[:0]
+
+
 def runs(values: np.ndarray, *more: np.ndarray) -> np.ndarray:
     """Where runs of equal neighbours begin, with the end of the last as final entry."""
     n = len(values)

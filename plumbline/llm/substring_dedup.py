@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .storage import shuffle_partitions, small_side, stored
 
-CHUNK_WINDOWS = 3_000_000
-BUCKET_BYTES = 16 << 20
+CHUNK_WINDOWS = 1_500_000
+BUCKET_BYTES = 8 << 20
+ANCHOR_WORDS = 8
 
 PACKED = "bucket int, ids binary, marks binary, bases binary, counts binary, steps binary, hashes binary"
 SPANS = "id long, mark long, spans binary"
@@ -24,17 +25,18 @@ def _pack_bytes(parts: dict[str, np.ndarray]) -> dict[str, bytes]:
 
 
 class _Chunk:
-    """Windows of a bounded part of a task's rows, on their way to the buckets of their hashes."""
+    """Windows of a bounded part of a task's rows, on their way to the buckets of their anchors."""
 
     def __init__(self, buckets: int):
         self.buckets = buckets
         self.ids, self.marks, self.rows = [], [], 0
-        self.hashes, self.row_of, self.positions, self.windows = [], [], [], 0
+        self.hashes, self.anchors, self.row_of, self.positions, self.windows = [], [], [], [], 0
 
-    def add(self, ids, marks, hashes, owner, positions) -> None:
+    def add(self, ids, marks, hashes, anchors, owner, positions) -> None:
         self.ids.append(ids)
         self.marks.append(marks)
         self.hashes.append(hashes)
+        self.anchors.append((anchors % np.uint64(self.buckets)).astype(np.int32))
         self.row_of.append((owner + self.rows).astype(np.int32))
         self.positions.append(positions.astype(np.int32))
         self.rows += len(ids)
@@ -51,14 +53,15 @@ class _Chunk:
             return
         ids, marks = np.concatenate(self.ids), np.concatenate(self.marks)
         hashes, rows = np.concatenate(self.hashes), np.concatenate(self.row_of)
-        positions = np.concatenate(self.positions)
+        positions, bucket = np.concatenate(self.positions), np.concatenate(self.anchors)
         decided = _not_smallest(hashes, ids[rows])
         if decided.any():
-            yield {"bucket": int(hashes[0] % np.uint64(self.buckets)), "steps": b"", "hashes": b""} | _pack_bytes(
+            yield {"bucket": int(bucket[0]), "steps": b"", "hashes": b""} | _pack_bytes(
                 _as_spans(ids, marks, rows[decided], positions[decided])
             )
-        hashes, rows, positions = hashes[~decided], rows[~decided], positions[~decided]
-        bucket = (hashes % np.uint64(self.buckets)).astype(np.uint16 if self.buckets <= 1 << 16 else np.int32)
+        hashes, rows, positions, bucket = (x[~decided] for x in (hashes, rows, positions, bucket))
+        if self.buckets <= 1 << 16:
+            bucket = bucket.astype(np.uint16)
         order = np.argsort(bucket, kind="stable")
         bucket, hashes, rows, positions = bucket[order], hashes[order], rows[order], positions[order]
         steps = np.zeros(len(positions), np.int64)
@@ -115,6 +118,18 @@ def _as_spans(ids, marks, rows, positions) -> dict[str, np.ndarray]:
     }
 
 
+def _anchors(words: K.Words, at: np.ndarray, window: int) -> np.ndarray:
+    """The smallest hash of the few-word grams inside each window.
+
+    It names the window's bucket: equal windows share it, and so do most
+    neighbours, which then travel and come back together.
+    """
+    k = min(ANCHOR_WORDS, window)
+    starts = np.arange(max(0, len(words.hashes) - k + 1))
+    least = K.sliding_least(K.span_hashes(words.sums, starts, starts + k), window - k + 1)
+    return K.mix(least[at])
+
+
 def _window_rows(window: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         chunk = _Chunk(buckets)
@@ -126,7 +141,7 @@ def _window_rows(window: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch
                 words = K.Words(data[places[i] : places[j]], places[i : j + 1] - places[i], K.NOT_SPACE)
                 hashes, at = words.grams(window)
                 owner = words.owner[at]
-                chunk.add(ids[i:j], marks[i:j], hashes, owner, at - words.first[owner])
+                chunk.add(ids[i:j], marks[i:j], hashes, _anchors(words, at, window), owner, at - words.first[owner])
                 if chunk.windows >= CHUNK_WINDOWS:
                     yield from _batches(chunk.flush())
                     chunk = _Chunk(buckets)
@@ -235,9 +250,9 @@ def substring_dedup(
 
     Words are runs of anything but space and 0x09 to 0x0D. Every window of
     ``window`` words inside a document gets a 64-bit Rabin-Karp hash; hashes are
-    grouped by bucket in Spark and counted there, and the windows found in a
-    smaller document come back as runs of positions, merged into maximal
-    intervals. Windows are judged on the input. Equal hashes count as equal
+    grouped by bucket in Spark (of the smallest short gram in the window) and
+    counted there, and the windows found in a smaller document come back as runs
+    of positions, merged into maximal intervals. Windows are judged on the input. Equal hashes count as equal
     windows (a chance of 2^-64 a pair).
 
     Per row: doc_id, n_words, n_removed, kept_text (kept words joined by a space).
