@@ -13,6 +13,7 @@ from .near_dedup import near_duplicates
 from .sharding import shard
 from .substring_dedup import substring_dedup
 from .token_files import encode_documents
+from .warc import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +116,25 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (CAST('0x' || substr(h, {5 * i + 1}, 5) AS INTEGER) >> {s}) % 32 + 1, 1)"
+    for i in range(8)
+    for s in (15, 10, 5, 0)
+)
+ORACLE["op7_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+g AS (SELECT page_id, strlen(t)::BIGINT AS n, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS r FROM p)
+SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
+ CASE WHEN page_id = r THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id <> r THEN r END AS refers_to
+FROM g"""
+
+
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
