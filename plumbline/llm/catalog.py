@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .language_id import identify_languages
+from .mixing import domains_of_labels, mix
 from .near_dedup import near_duplicates
 from .sharding import shard
 from .substring_dedup import substring_dedup
@@ -18,6 +20,9 @@ from .warc import archive_pages
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
+
+#: Shares of tokens that a training mix asks for.
+MIX_WEIGHTS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
 ORACLE: dict[str, str] = {}
 
 
@@ -116,6 +121,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"), min_bytes=0)
@@ -135,6 +145,14 @@ SELECT page_id, n AS payload_bytes, {_BASE32} AS payload_digest,
 FROM g"""
 
 
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = domains_of_labels(_table(spark, sf_dir, "labels"))
+    mixed = mix(_table(spark, sf_dir, "documents"), labelled, MIX_WEIGHTS)
+    chances = [F.col("chances")[d].alias(f"p_{d}") for d in MIX_WEIGHTS]
+    return mixed.select("doc_id", "n_tokens", *chances, "rate", "copies")
+
+
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
