@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .storage import stored, table_bytes
+from .storage import ship_package, stored, table_bytes
 
 GRAM = 5
 ITEM_BLOCK_BYTES = 16 << 20
@@ -215,6 +215,7 @@ def decontaminate(
     empty one. Repeated documents each get their row. Empty tables give no rows,
     or rows without hits. Other columns are not read.
     """
+    ship_package(docs.sparkSession)
     given = stored(
         benchmark.select(
             F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"),

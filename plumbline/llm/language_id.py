@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .storage import stored
+from .storage import ship_package, stored
 
 FEATURES = 4096
 ORDERS = (1, 2, 3, 4)
@@ -163,6 +163,7 @@ def learn(
     That bound is the only one; the documents' whole texts are read. Each pair of
     classes is trained by a task of its own.
     """
+    ship_package(docs.sparkSession)
     labelled = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter(F.col("id").isNotNull() & ~is_held_out(F.col("id")) & F.col("lang").isNotNull())
@@ -242,6 +243,7 @@ def identify_languages(
     could be learned. Null ids are not held out and not learned from. Repeated
     rows each get their row. Other columns are not read.
     """
+    ship_package(docs.sparkSession)
     model = model or learn(docs, id_col, text_col, lang_col)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),

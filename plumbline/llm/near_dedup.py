@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .storage import small_side, stored
+from .storage import ship_package, small_side, stored
 
-BANDS = 32
-ROWS = 4
+BANDS = 64
+ROWS = 6
 SEED = 29
 
 
@@ -152,13 +152,20 @@ def connected_components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the similarity."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """How many shingles the full sets of each pair share."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     shared = F.size(F.array_intersect("of_a", "of_b")).cast("long")
-    union = F.size("of_a") + F.size("of_b") - shared
-    return pairs.join(b, "b").join(a, "a").filter(100 * shared >= percent * union).select("a", "b")
+    return (
+        pairs.join(b, "b")
+        .join(a, "a")
+        .select("a", "b", shared.alias("shared"), (F.size("of_a") + F.size("of_b")).cast("long").alias("both"))
+    )
+
+
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    return compared.filter(100 * F.col("shared") >= percent * (F.col("both") - F.col("shared"))).select("a", "b")
 
 
 def near_duplicates(
@@ -177,19 +184,22 @@ def near_duplicates(
     if it is shorter. Documents with 100 * shared >= percent * union are linked,
     and components of links share ``component_id``.
 
-    Documents with equal sets are one node from the start. A node's set is hashed
-    once into bands * rows bins (one-permutation MinHash with densification); at
-    80 % the chance that no band of a pair agrees is 0.59^32 = 5e-8. In each
-    bucket all nodes are linked to the smallest one, a star, so candidates grow
-    with the bucket and not its square. Candidates are confirmed on the full sets.
-    Nodes of one bucket that are still in different components after that, and
-    whose set sizes allow a link, are then compared too, so that no link is lost to
-    a centre that happens to lie too far off.
+    Documents with equal sets are one node from the start. A node's set is hashed once
+    into bands * rows bins (one-permutation MinHash with densification); at 80 % the
+    chance that no band of a pair agrees is 0.738^64 = 4e-9. In each bucket all nodes
+    are candidates of one centre, the node that meets the most others in all its
+    buckets: a star, so candidates grow with the bucket and not its square.
+    Candidates are confirmed on the full sets. Nodes of one bucket that are still in
+    different components after that are compared too, so that no link is lost to a
+    centre that lies too far off, unless their sizes and what they share with the
+    centre rule a link out. Those pairs can grow faster than the bucket where many of
+    its nodes are far from the centre and from each other.
 
     Null and empty texts have empty sets: never linked. Null ids are not linked
-    either, and their component_id is null. Rows that share an id are one document.
-    Other columns of ``docs`` are not read.
+    either, and their component_id is null. Rows that share an id each go by their own
+    text. Other columns of ``docs`` are not read.
     """
+    ship_package(docs.sparkSession)
     read = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
     )
@@ -208,18 +218,18 @@ def near_duplicates(
         .dropDuplicates(["node"])
     )
     buckets = chosen.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    stars = buckets.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("members")).filter("members > 1")
-    members = stored(buckets.join(stars.select("band", "centre"), "band"), "bucket-members")
-    sizes = nodes.select(F.col("node").alias("centre"), F.col("n").alias("centre_n"))
-    star_links = (
-        members.filter("node != centre")
-        .select(F.col("centre"), F.col("node").alias("b"), "n")
-        .distinct()
-        .join(small_side(sizes), "centre")
-        .filter(100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
-        .select(F.col("centre").alias("a"), "b")
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    members = stored(buckets.join(sizes, "band"), "bucket-members")
+    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))
+    members = stored(_with_centres(members, stored(meets, "meetings")), "bucket-centres")
+    fits = 100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")
+    star_pairs = stored(
+        members.filter(F.col("node") != F.col("centre"))
+        .filter(fits)
+        .select(F.col("centre").alias("a"), F.col("node").alias("b"))
+        .distinct(),
+        "star-pairs",
     )
-    star_links = stored(star_links, "star-links")
     needed = members.select("node").distinct().join(nodes.select("node", "least_id"), "node")
     sources = (
         linkable.select("id", "mark", F.col("node").alias("of"))
@@ -235,10 +245,11 @@ def near_duplicates(
         .dropDuplicates(["node"]),
         "sets",
     )
-    links = stored(_confirmed(star_links, sets, percent), "confirmed")
+    compared = stored(_compared(star_pairs, sets), "star-compared")
+    links = _linked(compared, percent)
     roots = connected_components(links)
-    rest = _across(members, roots, star_links, percent)
-    more = stored(_confirmed(rest, sets, percent), "confirmed-rest")
+    rest = _across(members, roots, compared, percent)
+    more = stored(_linked(_compared(rest, sets), percent), "links-across")
     if not more.isEmpty():
         roots = connected_components(links.union(more))
     least = (
@@ -266,14 +277,33 @@ def near_duplicates(
     )
 
 
-def _across(members: DataFrame, roots: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+def _with_centres(members: DataFrame, meets: DataFrame) -> DataFrame:
+    """Each bucket's centre and its set's size: the node that meets most others anywhere."""
+    ranked = members.join(small_side(meets), "node")
+    top = ranked.groupBy("band").agg(F.max(F.struct("meets", "node", "n")).alias("top"))
+    return members.join(
+        top.select("band", F.col("top.node").alias("centre"), F.col("top.n").alias("centre_n")), "band"
+    ).select("band", "node", "n", "centre", "centre_n")
+
+
+def _across(members: DataFrame, roots: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket that lie in different components and that no star has compared.
 
-    Only buckets with several components are opened, and only nodes of their smaller
-    components meet the others.
+    Only buckets with several components are opened, and only nodes outside their
+    largest component meet the others. What two nodes share is at most what both share with
+    the centre, plus what both have beside it; pairs that this rules out are left out.
     """
-    placed = members.join(small_side(roots), "node", "left").select(
-        "band", "node", "n", F.coalesce("root", "node").alias("root")
+    known = compared.select(F.col("a").alias("centre"), F.col("b").alias("node"), "shared")
+    placed = (
+        members.join(small_side(roots), "node", "left")
+        .join(small_side(known), ["centre", "node"], "left")
+        .select(
+            "band",
+            "node",
+            "n",
+            F.coalesce("root", "node").alias("root"),
+            F.when(F.col("node") == F.col("centre"), F.col("n")).otherwise(F.col("shared")).alias("inside"),
+        )
     )
     placed = stored(placed, "bucket-components")
     largest = (
@@ -285,12 +315,24 @@ def _across(members: DataFrame, roots: DataFrame, tested: DataFrame, percent: in
         .select("band", F.col("top.root").alias("main"))
     )
     opened = stored(placed.join(largest, "band"), "open-buckets")
-    x = opened.filter("root != main").select("band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    y = opened.select("band", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+
+    def side(x: str) -> DataFrame:
+        return opened.select("band", "main", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "root", "inside")])
+
+    share = F.least("inside_x", "inside_y") + F.least(
+        F.col("n_x") - F.col("inside_x"), F.col("n_y") - F.col("inside_y")
+    )
+    # least() skips nulls, so an unknown share with the centre must not count as one.
+    most = F.when(F.col("inside_x").isNull() | F.col("inside_y").isNull(), F.least("n_x", "n_y")).otherwise(share)
+    outside = side("x").filter("root_x != main").drop("main")
+    possible = 100 * most >= percent * (F.col("n_x") + F.col("n_y") - most)
+    # Of two nodes outside the main component, one order is enough.
+    once = (F.col("root_y") == F.col("main")) | (F.col("node_x") < F.col("node_y"))
     pairs = (
-        x.join(y, "band")
-        .filter((F.col("rx") != F.col("ry")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        outside.join(side("y"), "band")
+        .filter((F.col("root_x") != F.col("root_y")) & once & possible)
+        .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
         .distinct()
     )
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    tested = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs-across")

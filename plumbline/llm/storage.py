@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import plumbline
 from plumbline.session import work_path
 
 BROADCAST_BYTES = 32 << 20
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark send this package to its Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(plumbline.__file__).parent
+        archive = f"{tempfile.mkdtemp()}/{root.name}"  # the driver serves it from here
+        context.addPyFile(shutil.make_archive(archive, "zip", root.parent, root.name))
+        _SHIPPED.add(context.applicationId)
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage."""

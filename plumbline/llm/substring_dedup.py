@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .storage import shuffle_partitions, small_side, stored
+from .storage import ship_package, shuffle_partitions, small_side, stored
 
 CHUNK_WINDOWS = 1_500_000
 BUCKET_BYTES = 8 << 20
@@ -260,6 +260,7 @@ def substring_dedup(
     nor cut. Rows that repeat an id don't remove each other's words; rows that
     share an id keep their own texts. Other columns of ``docs`` are not read.
     """
+    ship_package(docs.sparkSession)
     spans = stored(repeated_windows(docs, window, id_col, text_col), "substring-spans")
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")

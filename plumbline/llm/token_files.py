@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from plumbline.session import work_path
 
+from .storage import ship_package
+
 BYTE_BPE = "byte_bpe_50k.json"
 CACHED_WORDS = 1_200_000
 ROWS_A_SLICE = 512
@@ -236,6 +238,7 @@ def write_tokens(
     read. An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     placed = rows.repartitionByRange("id").sortWithinPartitions(F.asc_nulls_first("id"), "text")
     files, base = open_folder(folder)
@@ -295,6 +298,7 @@ def _read(folder: str, width: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
 
 def read_tokens(spark: SparkSession, folder: str, width: int = 2) -> DataFrame:
     """Per document what the files hold: where its ids start among all ids, how many, their CRC-32."""
+    ship_package(spark)
     manifest = read_manifest(spark, folder)
     count = manifest.count()
     return manifest.repartition(max(1, count), "part").mapInArrow(

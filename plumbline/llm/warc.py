@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from plumbline.session import work_path
 
-from .storage import small_side, stored
+from .storage import ship_package, small_side, stored
 from .token_files import open_folder
 
 PRINTABLE = "".join(map(chr, range(0x21, 0x7F)))
@@ -113,6 +113,7 @@ def write_archive(
     Rows repeated in id, url and payload: one of them may be the response, the
     others revisit it. Other columns are not read.
     """
+    ship_package(pages.sparkSession)
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     read = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
@@ -217,6 +218,7 @@ def _reader(folder: str, payloads: bool) -> Callable[[Iterator[pa.RecordBatch]],
 
 def read_archive(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
     """Every record of the archive's files, as stored; payloads of responses on request."""
+    ship_package(spark)
     names = spark.read.schema(INDEX).parquet(f"{folder}/headers").select("file").distinct()
     return names.repartition("file").mapInArrow(_reader(folder, payloads), RECORD)
 
