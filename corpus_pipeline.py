@@ -1,29 +1,80 @@
-"""The corpus pipeline: stages over the documents table, each written and read again."""
+"""The corpus pipeline: stages over the documents table, each written and read again.
+
+Language identification, near-duplicate removal, benchmark decontamination, mixing
+to target weights, token files. All stages but the last return the columns of
+``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm.exact_dedup import exact_dedup
-from plumbline.llm.storage import stored
+from plumbline.llm.decontaminate import decontaminate
+from plumbline.llm.language_id import UNDETERMINED, identify_languages
+from plumbline.llm.mixing import domains_of_labels, mix, mixed_documents
+from plumbline.llm.near_dedup import near_duplicates
+from plumbline.llm.storage import small_side, stored
+from plumbline.llm.token_files import encode_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+WINDOW = 10
+MIX_WEIGHTS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: null texts, and texts without letters."""
+    found = identify_languages(docs).filter(F.col("lang_pred") == UNDETERMINED)
+    return _without(docs, found.select("doc_id"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at 80 %, the one with the smallest id stays."""
+    found = near_duplicates(docs, k=5, percent=80).filter(~F.col("kept"))
+    return _without(docs, found.select("doc_id")).dropDuplicates(["doc_id"])
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate(docs, benchmark, window=WINDOW).filter("n_hit > 0")
+    return _without(docs, found.select("doc_id"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents by their mixing rate: rare domains once, often or not at all, in proportion to the rate."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixed_documents(docs, mix(docs, domains_of_labels(labels), MIX_WEIGHTS))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of what is left, read back."""
+    return encode_documents(docs)
+
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact_dedup(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = stored(gone.withColumnRenamed("doc_id", "gone_id").distinct(), "gone")
+    return docs.join(small_side(gone), docs.doc_id.eqNullSafe(F.col("gone_id")), "left_anti")
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_copies", exact_copies)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
+    ("near_copies", near_copies),
+    ("benchmark_passages", benchmark_passages),
+    ("mixture", mixture),
+    ("tokens", tokens),
+]
 
+#: The classifiers and the tokenizer cannot be written as SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
