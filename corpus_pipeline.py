@@ -34,7 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 80 %, the one with the smallest id stays."""
     found = near_duplicates(docs, k=5, percent=80).filter(~F.col("kept"))
-    return _without(docs, found.select("doc_id")).dropDuplicates(["doc_id"])
+    return _once(_without(docs, found.select("doc_id")))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +60,17 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(small_side(gone), docs.doc_id.eqNullSafe(F.col("gone_id")), "left_anti")
 
 
+def _once(docs: DataFrame) -> DataFrame:
+    """Rows repeated in id and text only once; whole texts move only where ids repeat."""
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("repeated_id")).count()
+    repeated = stored(repeated.filter("count > 1").select("repeated_id"), "repeated")
+    if repeated.isEmpty():
+        return docs
+    same = docs.doc_id == F.col("repeated_id")
+    alone = docs.join(small_side(repeated), same, "left_anti")
+    return alone.union(docs.join(small_side(repeated), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language", language),
     ("near_copies", near_copies),
