@@ -14,6 +14,7 @@ from .mixing import domains_of_labels, mix
 from .near_dedup import near_duplicates
 from .sharding import shard
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .token_files import encode_documents
 from .warc import archive_pages
 
@@ -153,6 +154,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "n_tokens", *chances, "rate", "copies")
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents"), window=400)
+
+
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
