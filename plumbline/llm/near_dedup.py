@@ -16,6 +16,8 @@ from .storage import ship_package, small_side, stored
 BANDS = 64
 ROWS = 6
 SEED = 29
+BITS = 2  # kept of every bin for estimates
+DEVIATIONS = 6  # of an estimate below the threshold before a pair is left out
 
 
 def _probe_order(bins: int) -> np.ndarray:
@@ -65,6 +67,19 @@ def signatures(values: np.ndarray, places: np.ndarray, bins: int, probes: np.nda
     return out
 
 
+def estimate_bits(signature: np.ndarray) -> np.ndarray:
+    """A few bits of every bin as 64-bit integers: two documents agree in all of a bin's bits if they agree in the bin."""
+    low = (K.mix(signature.copy())[:, :, None] >> np.arange(BITS, dtype=np.uint64)) & np.uint64(1)
+    packed = np.packbits(low.astype(np.uint8).reshape(len(signature), -1), axis=1)
+    whole = np.zeros((len(signature), -(-packed.shape[1] // 8) * 8), np.uint8)
+    whole[:, : packed.shape[1]] = packed
+    return whole.view(np.int64)
+
+
+def _bit_columns(bands: int, rows: int) -> list[str]:
+    return [f"bits{i}" for i in range(-(-bands * rows * BITS // 64))]
+
+
 def _sketch(k: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         probes = _probe_order(bands * rows)
@@ -76,7 +91,9 @@ def _sketch(k: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]
                 words = K.Words(low, places[i : j + 1] - places[i], K.NOT_SPACE)
                 values, cuts = shingle_sets(words, k)
                 sizes = np.diff(cuts)
-                signature = signatures(values, cuts, bands * rows, probes).reshape(j - i, bands, rows)
+                signature = signatures(values, cuts, bands * rows, probes)
+                bits = estimate_bits(signature)
+                signature = signature.reshape(j - i, bands, rows)
                 band = np.zeros((j - i, bands), np.uint64) + band_salt
                 for r in range(rows):
                     band = K.mix(band * np.uint64(K.BASE) + signature[:, :, r])
@@ -93,6 +110,7 @@ def _sketch(k: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]
                         "node": pa.array(nodes, pa.int64()),
                         "bands": pa.ListArray.from_arrays(pa.array(at), pa.array(band.reshape(-1).view(np.int64))),
                     }
+                    | {name: pa.array(bits[:, b]) for b, name in enumerate(_bit_columns(bands, rows))}
                 )
 
     return run
@@ -121,34 +139,28 @@ def _sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected links (a, b); root is the smallest node reachable.
 
-    Each round a node takes the smallest root among its neighbours, then the
-    root of that root, until nothing changes. Rounds are written tables.
+    Each round a node takes the smallest of its neighbours' roots and its root's root, until nothing
+    changes. A round is one written table.
     """
     both = stored(
         links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links"
     )
-    roots = stored(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots"
+    roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select(
+        "node", F.least("node", "least").alias("root")
     )
+    roots = stored(roots, "roots")
     while True:
-        near = (
-            both.join(small_side(roots), both.b == roots.node)
-            .groupBy(F.col("a").alias("near_node"))
-            .agg(F.min("root").alias("near_root"))
+        root_of = roots.select(F.col("node").alias("of"), F.col("root").alias("near"))
+        none = F.lit(None).cast("long")
+        heard = (
+            both.join(root_of, F.col("b") == F.col("of"))
+            .select(F.col("a").alias("node"), "near", none.alias("own"))
+            .union(roots.join(root_of, F.col("root") == F.col("of")).select("node", "near", F.col("root").alias("own")))
         )
-        nearer = stored(
-            roots.join(near, roots.node == near.near_node).select(
-                "node", F.least("root", "near_root").alias("next"), F.col("root").alias("before")
-            ),
-            "roots-near",
-        )
-        jump = nearer.select(F.col("node").alias("of"), F.col("next").alias("jumped"))
-        after = stored(
-            nearer.join(small_side(jump), nearer.next == jump.of).select("node", "before", F.col("jumped").alias("root")),
-            "roots-jump",
-        )
-        roots = after.select("node", "root")
-        if after.filter("root != before").isEmpty():
+        rounds = heard.groupBy("node").agg(F.min("near").alias("root"), F.max("own").alias("before"))
+        rounds = stored(rounds, "roots")
+        roots = rounds.select("node", "root")
+        if rounds.filter("root != before").isEmpty():
             return roots
 
 
@@ -192,8 +204,8 @@ def near_duplicates(
     Candidates are confirmed on the full sets. Nodes of one bucket that are still in
     different components after that are compared too, so that no link is lost to a
     centre that lies too far off, unless their sizes and what they share with the
-    centre rule a link out. Those pairs can grow faster than the bucket where many of
-    its nodes are far from the centre and from each other.
+    centre, or an estimate from all bins, rule a link out. Those pairs can grow faster
+    than the bucket where many of its nodes are far from the centre yet near each other.
 
     Null and empty texts have empty sets: never linked. Null ids are not linked
     either, and their component_id is null. Rows that share an id each go by their own
@@ -203,15 +215,21 @@ def near_duplicates(
     read = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
     )
+    bits = _bit_columns(bands, rows)
     sketched = stored(
         read.mapInArrow(
-            _sketch(k, bands, rows), "id long, mark long, n_shingles long, node long, bands array<long>"
+            _sketch(k, bands, rows),
+            "id long, mark long, n_shingles long, node long, bands array<long>, "
+            + ", ".join(f"{name} long" for name in bits),
         ),
         "sketches",
     )
     linkable = sketched.filter("id IS NOT NULL AND n_shingles > 0")
     nodes = stored(
-        linkable.groupBy("node").agg(F.min("id").alias("least_id"), F.first("n_shingles").alias("n")), "nodes"
+        linkable.groupBy("node").agg(
+            F.min("id").alias("least_id"), F.first("n_shingles").alias("n"), *[F.first(b).alias(b) for b in bits]
+        ),
+        "nodes",
     )
     chosen = (
         linkable.join(nodes, (linkable.node == nodes.node) & (linkable.id == nodes.least_id), "left_semi")
@@ -220,8 +238,7 @@ def near_duplicates(
     buckets = chosen.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     sizes = buckets.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     members = stored(buckets.join(sizes, "band"), "bucket-members")
-    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))
-    members = stored(_with_centres(members, stored(meets, "meetings")), "bucket-centres")
+    members = stored(_with_centres(members), "bucket-centres")
     fits = 100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")
     star_pairs = stored(
         members.filter(F.col("node") != F.col("centre"))
@@ -233,7 +250,7 @@ def near_duplicates(
     needed = members.select("node").distinct().join(nodes.select("node", "least_id"), "node")
     sources = (
         linkable.select("id", "mark", F.col("node").alias("of"))
-        .join(small_side(needed), (F.col("of") == F.col("node")) & (F.col("id") == F.col("least_id")))
+        .join(needed, (F.col("of") == F.col("node")) & (F.col("id") == F.col("least_id")))
         .select("id", "mark", "node")
         .dropDuplicates(["node"])
     )
@@ -248,26 +265,26 @@ def near_duplicates(
     compared = stored(_compared(star_pairs, sets), "star-compared")
     links = _linked(compared, percent)
     roots = connected_components(links)
-    rest = _across(members, roots, compared, percent)
+    rest = _across(members, roots, compared, nodes.select("node", *bits), percent, bands * rows)
     more = stored(_linked(_compared(rest, sets), percent), "links-across")
+    of_node = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     if not more.isEmpty():
-        roots = connected_components(links.union(more))
-    least = (
-        nodes.join(roots, "node")
-        .groupBy("root")
-        .agg(F.min("least_id").alias("component"))
-    )
-    of_node = stored(
-        nodes.join(roots, "node", "left")
-        .join(least, "root", "left")
-        .select("node", F.coalesce("component", "least_id").alias("component")),
-        "components",
-    )
+        of_node = stored(of_node, "first-roots")
+        root_of = of_node.select("node", "root")
+        joined = (
+            more.join(root_of.toDF("a", "root_a"), "a").join(root_of.toDF("b", "root_b"), "b").select("root_a", "root_b")
+        )
+        later = connected_components(joined.toDF("a", "b").filter("a != b")).toDF("root", "later")
+        of_node = of_node.join(later, "root", "left").select(
+            "node", "least_id", F.coalesce("later", "root").alias("root")
+        )
+    least = of_node.groupBy("root").agg(F.min("least_id").alias("component"))
+    of_node = stored(of_node.join(least, "root").select("node", "component"), "components")
     linked = F.col("id").isNotNull() & (F.col("n_shingles") > 0)
     return (
         sketched.withColumn("of", F.when(linked, F.col("node")))
         .drop("node", "bands")
-        .join(small_side(of_node), F.col("of") == F.col("node"), "left")
+        .join(of_node, F.col("of") == F.col("node"), "left")
         .select(
             F.col("id").alias("doc_id"),
             "n_shingles",
@@ -277,26 +294,31 @@ def near_duplicates(
     )
 
 
-def _with_centres(members: DataFrame, meets: DataFrame) -> DataFrame:
+def _with_centres(members: DataFrame) -> DataFrame:
     """Each bucket's centre and its set's size: the node that meets most others anywhere."""
-    ranked = members.join(small_side(meets), "node")
-    top = ranked.groupBy("band").agg(F.max(F.struct("meets", "node", "n")).alias("top"))
+    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))
+    top = members.join(meets, "node").groupBy("band").agg(F.max(F.struct("meets", "node", "n")).alias("top"))
     return members.join(
         top.select("band", F.col("top.node").alias("centre"), F.col("top.n").alias("centre_n")), "band"
     ).select("band", "node", "n", "centre", "centre_n")
 
 
-def _across(members: DataFrame, roots: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+def _across(
+    members: DataFrame, roots: DataFrame, compared: DataFrame, estimates: DataFrame, percent: int, bins: int
+) -> DataFrame:
     """Pairs of a bucket that lie in different components and that no star has compared.
 
     Only buckets with several components are opened, and only nodes outside their
     largest component meet the others. What two nodes share is at most what both share with
-    the centre, plus what both have beside it; pairs that this rules out are left out.
+    the centre, plus what both have beside it; pairs that this rules out are left out. So are
+    pairs whose similarity, estimated from the bits kept of all bins, lies more than DEVIATIONS
+    standard deviations below the threshold (a chance of about 1e-9 for a pair at the threshold).
     """
+    bits = [c for c in estimates.columns if c != "node"]
     known = compared.select(F.col("a").alias("centre"), F.col("b").alias("node"), "shared")
     placed = (
-        members.join(small_side(roots), "node", "left")
-        .join(small_side(known), ["centre", "node"], "left")
+        members.join(roots, "node", "left")
+        .join(known, ["centre", "node"], "left")
         .select(
             "band",
             "node",
@@ -314,10 +336,10 @@ def _across(members: DataFrame, roots: DataFrame, compared: DataFrame, percent:
         .filter("components > 1")
         .select("band", F.col("top.root").alias("main"))
     )
-    opened = stored(placed.join(largest, "band"), "open-buckets")
+    opened = placed.join(largest, "band").join(estimates, "node")
 
     def side(x: str) -> DataFrame:
-        return opened.select("band", "main", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "root", "inside")])
+        return opened.select("band", "main", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "root", "inside", *bits)])
 
     share = F.least("inside_x", "inside_y") + F.least(
         F.col("n_x") - F.col("inside_x"), F.col("n_y") - F.col("inside_y")
@@ -326,11 +348,19 @@ def _across(members: DataFrame, roots: DataFrame, compared: DataFrame, percent:
     most = F.when(F.col("inside_x").isNull() | F.col("inside_y").isNull(), F.least("n_x", "n_y")).otherwise(share)
     outside = side("x").filter("root_x != main").drop("main")
     possible = 100 * most >= percent * (F.col("n_x") + F.col("n_y") - most)
+    unlike = F.lit(0)
+    for b in bits:
+        unlike = unlike + F.bit_count(F.col(f"{b}_x").bitwiseXOR(F.col(f"{b}_y")))
+    # Bits of unequal bins differ in half of the cases.
+    estimate = 1 - 2 * unlike / (bins * BITS)
+    level = percent / 100
+    spread = F.sqrt(level * (1 - level) / F.least(F.lit(bins), "n_x", "n_y") + (1 - level) / (bins * BITS))
+    likely = estimate >= level - DEVIATIONS * spread
     # Of two nodes outside the main component, one order is enough.
     once = (F.col("root_y") == F.col("main")) | (F.col("node_x") < F.col("node_y"))
     pairs = (
         outside.join(side("y"), "band")
-        .filter((F.col("root_x") != F.col("root_y")) & once & possible)
+        .filter((F.col("root_x") != F.col("root_y")) & once & possible & likely)
         .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
         .distinct()
     )
