@@ -46,6 +46,13 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of fewer, to bound what a task holds."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def blocks(places: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows of at most so many bytes; a longer text is a run of its own."""
     i, n = 0, len(places) - 1

@@ -216,7 +216,7 @@ def repeated_windows(docs: DataFrame, window: int, id_col: str, text_col: str) -
 
 def _without(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
-        for batch in batches:
+        for batch in K.slices(batches):
             texts, spans = batch.column("text").cast(pa.binary()), batch.column("spans")
             counts, removed, kept = [], [], []
             for raw, found in zip(texts, spans):

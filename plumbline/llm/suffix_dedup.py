@@ -411,7 +411,7 @@ def _few(asked: DataFrame) -> DataFrame:
 
 def _without(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
-        for batch in batches:
+        for batch in K.slices(batches):
             sizes, removed, runs, digests = [], [], [], []
             for i in range(batch.num_rows):
                 raw = (batch.column("text")[i].as_py() or "").encode()

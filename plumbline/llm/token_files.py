@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,7 +19,7 @@ from plumbline.session import work_path
 from .storage import ship_package
 
 BYTE_BPE = "byte_bpe_50k.json"
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 2_000_000
 ROWS_A_SLICE = 512
 BYTE_SPACE = "\u0120"  # how a byte-level vocabulary writes a space
 LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -77,14 +78,20 @@ class Encoder:
         if len(self.index) > self.limit:
             self.clear()
         cut = [_at_spaces(text) for text in texts]
-        unknown = set().union(*cut).difference(self.index)
+        distinct = dict.fromkeys(itertools.chain.from_iterable(cut))
+        unknown = [p for p in distinct if p not in self.index]
         white = {p for p in unknown if p[0] == " " and (len(p) == 1 or p[1].isspace())}
         if white:
             cut = [parts if white.isdisjoint(parts) else _with_care(text) for text, parts in zip(texts, cut)]
-            unknown = set().union(*cut).difference(self.index)
-        self._learn(list(unknown))
-        pieces, counts = [p for parts in cut for p in parts], [len(parts) for parts in cut]
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+            distinct = dict.fromkeys(itertools.chain.from_iterable(cut))
+            unknown = [p for p in distinct if p not in self.index]
+        self._learn(unknown)
+        # Through the few distinct pieces of this slice: the large index is asked once for each.
+        known = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        number = dict(zip(distinct, range(len(distinct))))
+        counts = [len(parts) for parts in cut]
+        pieces = itertools.chain.from_iterable(cut)
+        at = known[np.fromiter(map(number.__getitem__, pieces), np.int64, sum(counts))]
         ids, sizes = self._ids_at(at)
         ends = np.concatenate([[0], np.cumsum(sizes)])
         edges = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
@@ -92,7 +99,7 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces: their stems and marks apart, then put together."""
-        cut = [[p] if p[0] == MARK else STEM_EDGE.split(p) for p in pieces]
+        cut = [[p] if p[0] == MARK or p[1:].isalpha() else STEM_EDGE.split(p) for p in pieces]
         new = set().union(*cut).difference(self.index)
         words = [p for p in new if p[0] == " " and len(p) > 1]
         for i in range(0, len(words), 512):
