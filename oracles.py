@@ -306,8 +306,20 @@ PROFILED = f"{DIRTY}, {profile('dirty', ORDER_KINDS)}, {tops('dirty', 5)}"
 
 # --- answers ---
 
-BODY = r"trim(replace(replace(response, '```json', ''), '```', ''), chr(32) || chr(10))"
+BODY = (
+    r"trim(regexp_replace(trim(response, chr(32) || chr(10)), '^```(json)?|```$', '', 'g'), chr(32) || chr(10))"
+)
 RULE_TYPES = "('not_null', 'unique', 'value_range', 'accepted_values', 'null_rate')"
+NUMBERS = "('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE')"
+UNFIT = f"""CASE json_extract_string(rule, '$.rule_type')
+  WHEN 'value_range' THEN NOT (
+   coalesce(json_type(rule, '$.parameters.min_value'), 'NULL') IN ('NULL', {NUMBERS[1:-1]})
+   AND coalesce(json_type(rule, '$.parameters.max_value'), 'NULL') IN ('NULL', {NUMBERS[1:-1]})
+   AND (coalesce(json_type(rule, '$.parameters.min_value'), 'NULL') <> 'NULL'
+    OR coalesce(json_type(rule, '$.parameters.max_value'), 'NULL') <> 'NULL'))
+  WHEN 'accepted_values' THEN coalesce(json_type(rule, '$.parameters.accepted'), '') <> 'ARRAY'
+  WHEN 'null_rate' THEN coalesce(json_type(rule, '$.parameters.max_null_rate'), '') NOT IN {NUMBERS}
+  ELSE false END"""
 RULE_SETS = f"""WITH answers AS (SELECT o_orderkey AS answer_id, {RULE_SET_ANSWER} AS response FROM orders),
 bodies AS (SELECT answer_id, {BODY} AS body FROM answers),
 docs AS (SELECT answer_id, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS doc FROM bodies),
@@ -326,7 +338,7 @@ SELECT answer_id, dataset_name, rule_no, json_extract_string(rule, '$.column') A
  array_to_string(json_extract_string(rule, '$.parameters.accepted[*]'), '|') AS accepted_text,
  TRY_CAST(json_extract_string(rule, '$.parameters.max_null_rate') AS DOUBLE) AS max_null_rate,
  json_extract_string(rule, '$.reasoning') AS reasoning,
- CASE WHEN json_extract_string(rule, '$.rule_type') NOT IN {RULE_TYPES} THEN 'rule type' END AS problem
+ CASE WHEN json_extract_string(rule, '$.rule_type') NOT IN {RULE_TYPES} THEN 'rule type' WHEN {UNFIT} THEN 'parameters' END AS problem
 FROM rules
 UNION ALL
 SELECT answer_id, dataset_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, answer_problem
@@ -342,6 +354,7 @@ docs AS (SELECT answer_id, CASE WHEN json_valid(body) THEN CAST(body AS JSON) EN
 checked AS (SELECT answer_id, doc, TRY_CAST(json_extract_string(doc, '$.confidence') AS DOUBLE) AS confidence,
  CASE WHEN doc IS NULL THEN 'not JSON' WHEN json_type(doc) <> 'OBJECT' THEN 'not an object'
   {" ".join(f"WHEN coalesce(json_type(doc, '$.{c}'), '') <> 'VARCHAR' THEN '{c}'" for c in CAUSE_TEXTS)}
+  WHEN coalesce(json_type(doc, '$.confidence'), '') NOT IN {NUMBERS} THEN 'confidence'
   WHEN coalesce(TRY_CAST(json_extract_string(doc, '$.confidence') AS DOUBLE) NOT BETWEEN 0 AND 1, true) THEN 'confidence'
   WHEN json_extract_string(doc, '$.severity') NOT IN ('HIGH', 'MEDIUM', 'LOW') THEN 'severity' END AS problem FROM docs)
 SELECT answer_id, {", ".join(f'''CASE WHEN problem IS NULL THEN json_extract_string(doc, '$.{c}') END AS "{c}"''' for c in CAUSE_TEXTS)},
@@ -506,6 +519,20 @@ SELECT bronze_rows, silver_rows, {rate('bronze_rows - silver_rows', 'bronze_rows
             }.items()
         ),
         "gold_revenue_by_category": f"WITH {SILVER} {REVENUE}",
+        "gold_charge_by_flag": """WITH lines AS (
+ SELECT l_returnflag AS c, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS v FROM lineitem),
+sums AS (SELECT c, count(*) AS n, sum(CAST(floor(v * 100.0::DOUBLE + 0.5::DOUBLE) AS HUGEINT))::DOUBLE / 100.0::DOUBLE
+ + sum(v - floor(v * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE) AS t FROM lines GROUP BY c)
+SELECT c AS product_category, n AS total_orders, floor(t * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS total_revenue,
+ floor(t / n * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS avg_order_value FROM sums""",
+        "parsed_rules_checked": """WITH t AS (SELECT count(*) AS n,
+  count(*) FILTER (l_linenumber NOT IN (1, 2, 3)) AS f1, count(*) FILTER (l_tax NOT IN (0::DOUBLE, 0.02::DOUBLE, 0.04::DOUBLE)) AS f2,
+  count(*) FILTER (l_quantity <> 1) AS f0, count(*) FILTER (l_quantity < 1 OR l_quantity > 45.5::DOUBLE) AS f3, count(*) FILTER (l_returnflag NOT IN ('A', 'R')) AS f4 FROM lineitem)
+SELECT no AS rule_no, kind AS check_name, col AS "column", f = 0 AS success,
+ floor(f::DOUBLE / n * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE AS metric_value,
+ 0.0::DOUBLE AS threshold, CASE WHEN no = 3 THEN 'accepted value ''many'' does not fit type double' END AS message
+FROM t, LATERAL (VALUES (1, 'expect_accepted_values', 'l_linenumber', f1), (2, 'expect_accepted_values', 'l_tax', f2), (3, 'expect_accepted_values', 'l_quantity', f0),
+  (4, 'expect_value_range', 'l_quantity', f3), (5, 'expect_accepted_values', 'l_returnflag', f4)) AS x(no, kind, col, f)""",
         "gold_daily_orders": f"WITH {SILVER} {DAILY} ORDER BY order_date",
         "medallion_run": f"""WITH {SILVER}
 SELECT 'bronze' AS layer, count(*) AS rows, CAST(NULL AS DOUBLE) AS revenue FROM dirty
@@ -599,7 +626,7 @@ FROM ({suite('dirty', [_null_rate('payment_method', 0.2)])})""",
         )
         + f""" UNION ALL SELECT 'repeated_id', count(*) - count(DISTINCT order_id), count(*),
  {rate('count(*) - count(DISTINCT order_id)', 'count(*)')} FROM dirty""",
-        "seeded_sample": f"WITH {CLEAN} SELECT {TRACKED} FROM clean WHERE (87 * src_key + 42) % 1000 < 150",
+        "seeded_sample": f"WITH {CLEAN} SELECT {TRACKED} FROM clean WHERE CAST('0x' || substr(md5(concat(src_key, ':42')), 1, 8) AS BIGINT) % 10000 < 1500",
         "suggest_rules": f"""WITH {DIRTY}, {suggested('dirty')}
 SELECT position, "column", rule_type, min_value, max_value, accepted, max_null_rate, reasoning FROM suggested""",
         "rules_to_json": f"""WITH {DIRTY}, {suggested('dirty')} SELECT 'orders' AS dataset_name,

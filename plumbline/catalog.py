@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.buckets import Bucket
+from .functions.numeric import round_to
 from .functions.text import severity_marker, status_colour
 from .operators import checks, drift, monitor, responses
 from .operators.dedup import keep_first, upsert_by_key
@@ -29,7 +30,8 @@ from .operators.silver import (
     reject_reasons,
     to_silver,
 )
-from .operators.suggest import rules_to_json, suggest_rules
+from .operators.responses import good_rules, parse_rule_sets
+from .operators.suggest import rules_from_frame, rules_to_json, suggest_rules
 from .plans.medallion import run_medallion
 from .plans.quality_loop import check_suggested_rules
 from .schemas import INVALID_CATEGORIES, ORDERS, TRACKED_ORDERS, TRANSFORMED_AT
@@ -38,6 +40,7 @@ from .sources.bridge import (
     AS_OF,
     BATCHES,
     FIRST_BATCH_DAY,
+    NUMBER_RULES,
     ROOT_CAUSE_ANSWER,
     RULE_SET_ANSWER,
     answers,
@@ -147,6 +150,33 @@ def gold_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_orders(_silver(spark, sf_dir))
 
 
+@query()
+def gold_charge_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of amounts below a cent: what each line item is charged."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_returnflag").alias("product_category"),
+        charge.alias("order_amount"),
+    )
+    gold = revenue_by_category(lines)
+    return gold.withColumns(
+        {c: round_to(F.col(c), 2) for c in ("total_revenue", "avg_order_value")}
+    )
+
+
+@query()
+def parsed_rules_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules as parsed from an answer, lists as texts, run on columns of numbers and texts."""
+    answer = spark.range(1).select(
+        F.lit(0).alias("answer_id"), F.lit(NUMBER_RULES).alias("response")
+    )
+    rules = rules_from_frame(good_rules(parse_rule_sets(answer, "answer_id", "response")).orderBy("rule_no"))
+    return checks.run_suite(read_table(spark, sf_dir, "lineitem"), rules, dataset_name="lineitem").select(
+        "rule_no", "check_name", "column", "success", "metric_value", "threshold", "message"
+    )
+
+
 @query()
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts and revenue of all layers of one stored run."""

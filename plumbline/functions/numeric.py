@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Beyond this size a double has no room for the decimals being rounded.
-_ROUNDABLE = 1e12
-# Below this size a double with two decimals names one number of cents.
-_EXACT_CENTS = 1e13
+# From here on value times scale has no exact half; the fraction is rounded alone.
+_SCALED = 1e12
+# From here on a double is a whole number: it has no cents and no decimals.
+_WHOLE = float(2**53)
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -19,12 +19,16 @@ def ratio(part: Column, whole: Column) -> Column:
 def round_to(value: Column, places: int) -> Column:
     """Round half up by plain arithmetic, so every engine gives the same value.
 
-    Huge values, infinities and NaN are returned as they are.
+    Doubles of 2^53 and more are whole numbers already; they, infinities and NaN
+    are returned as they are.
     """
-    scale = float(10**places)
-    return F.when(
-        F.abs(value) < F.lit(_ROUNDABLE), F.floor(value * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-    ).otherwise(value)
+    scale, half = F.lit(float(10**places)), F.lit(0.5)
+    whole = F.floor(value)
+    return (
+        F.when(F.abs(value) < F.lit(_SCALED), F.floor(value * scale + half) / scale)
+        .when(F.abs(value) < F.lit(_WHOLE), whole + F.floor((value - whole) * scale + half) / scale)
+        .otherwise(value)
+    )
 
 
 def rate(part: Column, whole: Column) -> Column:
@@ -35,17 +39,16 @@ def rate(part: Column, whole: Column) -> Column:
 def money_parts(amount: str) -> dict[str, Column]:
     """Mergeable aggregates from which :func:`money_total` builds a total.
 
-    Amounts are summed as whole cents in a decimal, which neither overflows nor
-    depends on the order of addition. Values without exact cents (NaN,
-    infinities, 10^13 and more) are noticed by comparing the two counts; the
-    total then falls back to the double sum.
+    The whole cents of every amount are summed in a decimal, which neither
+    overflows nor depends on the order of addition; what an amount has beside
+    its whole cents is summed as double. An amount without cents (NaN, an infinity,
+    2^53 and more) is all remainder, and leaves the cents of the others exact.
     """
     value = F.col(amount)
-    cents = F.when(F.abs(value) < F.lit(_EXACT_CENTS), F.floor(value * 100.0 + 0.5))
+    cents = F.when(F.abs(value) < F.lit(_WHOLE), F.floor(value * 100.0 + 0.5))
     return {
         "cents": F.sum(cents.cast("decimal(18,0)")).cast("decimal(38,0)"),
-        "exact_values": F.count(cents),
-        "plain_sum": F.sum(value),
+        "rest": F.sum(value - F.coalesce(cents / F.lit(100.0), F.lit(0.0))),
         "plain_values": F.count(value),
     }
 
@@ -54,14 +57,11 @@ def merged_money_parts() -> dict[str, Column]:
     """Aggregates that merge rows made by :func:`money_parts`."""
     return {
         "cents": F.sum("cents").cast("decimal(38,0)"),
-        "exact_values": F.sum("exact_values"),
-        "plain_sum": F.sum("plain_sum"),
+        "rest": F.sum("rest"),
         "plain_values": F.sum("plain_values"),
     }
 
 
 def money_total() -> Column:
-    """The total over merged parts: exact to the cent when every value was."""
-    return F.when(
-        F.col("exact_values") == F.col("plain_values"), F.col("cents").cast("double") / 100.0
-    ).otherwise(F.col("plain_sum"))
+    """The total over merged parts; NULL without values."""
+    return F.coalesce(F.col("cents"), F.lit(0)).cast("double") / 100.0 + F.col("rest")

@@ -25,9 +25,8 @@ def strip_space(text: Column) -> Column:
 
 
 def strip_fences(text: Column) -> Column:
-    """Drop code-fence marks anywhere in a response and the space around it."""
-    bare = F.replace(F.replace(text, F.lit("```json"), F.lit("")), F.lit("```"), F.lit(""))
-    return strip_space(bare)
+    """Drop a code fence that opens or closes a response, and the space around; marks inside stay."""
+    return strip_space(F.regexp_replace(strip_space(text), "^```(json)?|```$", ""))
 
 
 def label(*parts: Column) -> Column:

@@ -112,6 +112,31 @@ def problem_of(rule: Rule, schema: T.StructType) -> str | None:
     return None
 
 
+def note_on(rule: Rule, schema: T.StructType) -> str | None:
+    """What a rule that can be run holds that no value of its column can equal."""
+    if rule.rule_type != "accepted_values" or problem_of(rule, schema) is not None:
+        return None
+    kind = schema[rule.column].dataType
+    unfit = [v for v in rule.accepted if not _converts(v, kind)]
+    return f"accepted value {unfit[0]!r} does not fit type {kind.simpleString()}" if unfit else None
+
+
+def _converts(value: Any, kind: T.DataType) -> bool:
+    """Whether a listed value, given as text or not, is one of the column's type."""
+    try:
+        if isinstance(kind, T.IntegralType):
+            return not isinstance(value, bool) and float(value) == int(float(value))
+        if isinstance(kind, T.NumericType):
+            return not isinstance(value, bool) and float(value) is not None
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return isinstance(value, dt.date) or dt.datetime.fromisoformat(value) is not None
+        if isinstance(kind, T.BooleanType):
+            return isinstance(value, bool) or str(value).lower() in ("true", "false")
+    except (TypeError, ValueError, OverflowError):
+        return False
+    return True
+
+
 def _fits(bound: Any, kind: T.DataType) -> bool:
     number = isinstance(bound, Number) and not isinstance(bound, bool)
     if isinstance(kind, T.NumericType):
@@ -127,20 +152,21 @@ def failing(rule: Rule, kind: T.DataType) -> Column:
     if rule.rule_type in ("not_null", "null_rate"):
         return column.isNull()
     if rule.rule_type == "value_range":
-        inside = F.lit(True)
-        for bound, holds in ((rule.min_value, "__ge__"), (rule.max_value, "__le__")):
-            if bound is None:
-                continue
-            value = column
+
+        def against(bound: Any) -> Column:
             if isinstance(kind, T.StringType) and isinstance(bound, Number):
-                value = column.try_cast("double")  # text that is no number passes like NULL
-            inside = inside & getattr(value, holds)(F.lit(bound))
-        return ~inside
+                return column.try_cast("double")  # text that is no number passes like NULL
+            return column
+
+        low, high = rule.min_value, rule.max_value
+        below = F.lit(False) if low is None else against(low) < F.lit(low)
+        above = F.lit(False) if high is None else against(high) > F.lit(high)
+        return below | above
     if rule.rule_type == "accepted_values":
-        values = [F.lit(v) for v in rule.accepted]
-        if isinstance(kind, T.StringType) or any(isinstance(v, str) for v in rule.accepted):
-            column, values = column.cast("string"), [v.cast("string") for v in values]
-        return ~column.isin(values)
+        fit = [F.lit(v) for v in rule.accepted if _converts(v, kind)]
+        if rule.accepted and not fit:
+            return column.isNotNull()
+        return ~column.isin([v.cast(kind) for v in fit])
     raise ValueError(f"{rule.rule_type} does not judge single rows")
 
 
@@ -149,8 +175,10 @@ def _distinct(rule: Rule) -> Column:
     return F.count_distinct(column) + F.coalesce(F.max(column.isNull().cast("bigint")), F.lit(0))
 
 
-def _result(number: int, rule: Rule, measured: Column | None, message: str | None) -> Column:
-    """The result of one rule from its measured count and the row count."""
+def _result(
+    number: int, rule: Rule, measured: Column | None, message: str | None, note: str | None = None
+) -> Column:
+    """The result of one rule from its measured count and the row count; a note does not decide it."""
     rows = F.col("total_rows")
     success, metric, threshold = F.lit(False), F.lit(None), F.lit(None)
     if message is None:
@@ -169,7 +197,7 @@ def _result(number: int, rule: Rule, measured: Column | None, message: str | Non
         success.alias("success"),
         metric.cast("double").alias("metric_value"),
         threshold.cast("double").alias("threshold"),
-        F.lit(message).cast("string").alias("message"),
+        F.lit(message or note).cast("string").alias("message"),
     )
 
 
@@ -183,7 +211,8 @@ def _run_part(df: DataFrame, rules: list[tuple[int, Rule]], groups: Sequence[str
             else:
                 measure = F.count_if(failing(rule, df.schema[rule.column].dataType))
             aggregates.append(measure.alias(f"measure_{number}"))
-        results.append(_result(number, rule, F.col(f"measure_{number}"), message))
+        note = note_on(rule, df.schema)
+        results.append(_result(number, rule, F.col(f"measure_{number}"), message, note))
     keys = [named(g) for g in groups]
     measured = df.groupBy(*keys).agg(*aggregates)
     return measured.select(*keys, "total_rows", F.inline(F.array(*results)))

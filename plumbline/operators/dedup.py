@@ -8,11 +8,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.columns import comparable, named
 
 _RANK = "__rank"
 _AGE = "__age"
 
 
+def total_order(field: T.StructField) -> Column:
+    """A column to sort by; of a type without an order, its JSON text."""
+    column = named(field.name)
+    if comparable(field.dataType):
+        return column
+    return F.to_json(F.struct(column))
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of every key by ``order``; NULL keys count as one key.
 
@@ -35,7 +46,8 @@ def upsert_by_key(
 ) -> DataFrame:
     """A keyed table after updates: the newest row of every key.
 
-    Where ``newest_first`` ties, an update replaces the target row. Only rows
+    Where ``newest_first`` ties, an update replaces the target row, and of tied
+    updates the largest in the other columns stays, whatever the layout. Only rows
     whose key is updated are compared. The other target rows pass through an
     anti-join on the update keys, each of which occurs once; when these are few,
     Spark broadcasts them and the target is not shuffled at all.
@@ -47,7 +59,8 @@ def upsert_by_key(
     held = target.alias("target")
     untouched = held.join(names, same, "left_anti")
     touched = held.join(names, same, "left_semi").withColumn(_AGE, F.lit(1))
+    ties = [total_order(f).desc() for f in target.schema.fields if f.name not in keys]
     newest = keep_first(
-        touched.unionByName(updates.withColumn(_AGE, F.lit(0))), keys, [*newest_first, F.col(_AGE)]
+        touched.unionByName(updates.withColumn(_AGE, F.lit(0))), keys, [*newest_first, F.col(_AGE), *ties]
     )
     return untouched.unionByName(newest.drop(_AGE))

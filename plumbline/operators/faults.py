@@ -112,13 +112,12 @@ def fault_rates(df: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def seeded_sample(df: DataFrame, key: str, percent: int, seed: int, *, hashed: bool = False) -> DataFrame:
-    """``percent`` per cent of the rows, the same ones for the same seed.
+def seeded_sample(df: DataFrame, key: str, percent: float, seed: int) -> DataFrame:
+    """About ``percent`` per cent of the rows, the same ones for the same seed.
 
-    Unlike ``df.sample`` the choice depends on the key only, not on layout.
-    ``hashed`` hashes keys that are not integers.
+    Unlike ``df.sample`` the choice depends on the key only, not on layout: by an
+    MD5 digest of key and seed, so keys may follow any pattern.
     """
-    factor = 2 * seed + 1
-    factor += 2 if factor % 5 == 0 else 0  # no common factor with 1000
-    bucket = Bucket(factor, 1000, start=0, width=10 * percent, offset=seed)
-    return df.filter(bucket.holds(F.col(key), hashed))
+    text = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return df.filter(F.pmod(number, F.lit(10_000)) < F.lit(round(100 * percent)))

@@ -176,7 +176,7 @@ def profile(
         best = top_values(df, top_k, columns=texts).groupBy("column").agg(
             F.transform(ranked, lambda r: r["value"]).alias("top_values")
         )
-        result = result.join(F.broadcast(best), "column", "left")
+        result = result.join(best, "column", "left")
     else:
         result = result.withColumn("top_values", F.lit(None).cast("array<string>"))
     return result.select(

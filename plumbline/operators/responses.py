@@ -62,17 +62,19 @@ def rule_prompt(
         "Answer with one JSON object with the fields dataset_name, rules and summary. "
         "Each rule has the fields column, rule_type, parameters and reasoning."
     )
-    place = F.lpad(F.col("position").cast("string"), 9, "0")
     lines = profile_docs.select(
-        F.lit(1).alias("block"), place.alias("place"), F.col("profile_json").alias("text")
+        F.lit(1).alias("block"),
+        F.col("position").cast("long").alias("place"),
+        F.lit("").alias("pick"),
+        F.col("profile_json").alias("text"),
     )
     if sample_docs is not None:
         lines = lines.unionByName(
             sample_docs.select(
-                F.lit(2).alias("block"), F.col("pick").alias("place"), F.col("row_json").alias("text")
+                F.lit(2).alias("block"), F.lit(0).cast("long").alias("place"), "pick", F.col("row_json").alias("text")
             )
         )
-    ordered = F.array_sort(F.collect_list(F.struct("block", "place", "text")))
+    ordered = F.array_sort(F.collect_list(F.struct("block", "place", "pick", "text")))
 
     def block(number: int) -> Column:
         chosen = F.filter("lines", lambda d: d["block"] == number)
@@ -136,6 +138,37 @@ def _is_text(value: Column, name: str) -> Column:
     return F.coalesce(kind == "STRING", F.lit(False))
 
 
+def _is_number(value: Column, name: str) -> Column:
+    kind = F.schema_of_variant(_field(value, name, "variant"))
+    return F.coalesce(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False))
+
+
+def _is_absent(value: Column, name: str) -> Column:
+    """Not there, or a JSON null."""
+    kind = F.schema_of_variant(_field(value, name, "variant"))
+    return kind.isNull() | (kind == "VOID")
+
+
+def _unfit_parameters(rule: Column) -> Column:
+    """Whether a parameter that the rule's type needs is missing or of another type."""
+    rule_type = _field(rule, "rule_type", "string")
+    low, high = "parameters.min_value", "parameters.max_value"
+    bounds = [_is_absent(rule, b) | _is_number(rule, b) for b in (low, high)]
+    bounded = bounds[0] & bounds[1] & ~(_is_absent(rule, low) & _is_absent(rule, high))
+    listed = _field(rule, "parameters.accepted", "array<variant>")
+    plain = F.forall(listed, lambda v: F.schema_of_variant(v).rlike("^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL)"))
+    share = _field(rule, "parameters.max_null_rate", "double")
+    return ~(
+        F.when(rule_type == "value_range", bounded)
+        .when(rule_type == "accepted_values", F.coalesce(plain, F.lit(False)))
+        .when(
+            rule_type == "null_rate",
+            _is_number(rule, "parameters.max_null_rate") & F.coalesce(share.between(0, 1), F.lit(False)),
+        )
+        .otherwise(F.lit(True))
+    )
+
+
 def _is_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
@@ -159,7 +192,8 @@ def parse_rule_sets(responses: DataFrame, key: str, text: str) -> DataFrame:
 
     ``problem`` is NULL on good rules. An answer that is not JSON, lacks a field
     or has one of the wrong type is refused whole, with ``rule_no`` NULL; a rule
-    of a type that does not exist is refused alone. An accepted answer without
+    of a type that does not exist, or whose parameters are missing or of another
+    type (bounds and shares are numbers), is refused alone. An accepted answer without
     rules gives one row with both columns NULL.
     """
     answer, rules = F.col("answer"), F.col("rules")
@@ -187,7 +221,9 @@ def parse_rule_sets(responses: DataFrame, key: str, text: str) -> DataFrame:
             parameter("accepted", "array<string>"),
             parameter("max_null_rate", "double"),
             _field(rule, "reasoning", "string").alias("reasoning"),
-            F.when(~rule_type.isin(*RULE_TYPES), F.lit("rule type")).alias("rule_problem"),
+            F.when(~rule_type.isin(*RULE_TYPES), F.lit("rule type"))
+            .when(_unfit_parameters(rule), F.lit("parameters"))
+            .alias("rule_problem"),
         )
 
     checked = (
@@ -233,7 +269,7 @@ def parse_root_causes(responses: DataFrame, key: str, text: str) -> DataFrame:
         (answer.isNull(), "not JSON"),
         (~_is_object(answer), "not an object"),
         *[(~_is_text(answer, name), name) for name in texts],
-        (confidence.isNull() | ~confidence.between(0, 1), "confidence"),
+        (~_is_number(answer, "confidence") | ~confidence.between(0, 1), "confidence"),
         (~severity.isin(*SEVERITIES), "severity"),
     ]
     checked = responses.select(

@@ -17,7 +17,7 @@ from ..schemas import (
     PAYMENT_METHODS,
     TRANSFORMED_AT,
 )
-from .dedup import keep_any, keep_first
+from .dedup import keep_any, keep_first, total_order
 
 
 def survivor_order(df: DataFrame) -> list[Column]:
@@ -26,14 +26,15 @@ def survivor_order(df: DataFrame) -> list[Column]:
     Any column not named here (a source key, say) breaks the remaining ties.
     """
     named = ["order_amount", "order_date", "product_category", "payment_method", "customer_id"]
-    rest = [c for c in df.columns if c not in {*named, "order_id", "ingested_at", TRANSFORMED_AT}]
+    other = {*named, "order_id", "ingested_at", TRANSFORMED_AT}
+    rest = [f for f in df.schema.fields if f.name not in other]
     return [
         F.col("order_amount").desc_nulls_last(),
         F.col("order_date").asc_nulls_first(),
         F.col("product_category").asc_nulls_first(),
         F.col("payment_method").asc_nulls_last(),
         F.col("customer_id").asc_nulls_first(),
-        *[F.col(c).asc_nulls_first() for c in rest],
+        *[total_order(f).asc_nulls_first() for f in rest],
     ]
 
 

@@ -27,11 +27,14 @@ def _rule(rule_type: str, reasoning: Column, **parameters: Column) -> Column:
 def suggest_from_profile(profiled: DataFrame, *, max_listed: int = MAX_LISTED) -> DataFrame:
     """Rules that the profiled data fulfils, as rows of the rule schema.
 
-    ``profiled`` must list at least ``max_listed`` top values. All heuristics
-    look at the same profile row, so the profile is computed once.
+    A list of values is only proposed where the profile holds all of them and there
+    are at most ``max_listed``. All heuristics look at the same profile row, so
+    the profile is computed once.
     """
     total, nulls = F.col("total_rows"), F.col("null_count")
     distinct, listed = F.col("distinct_count"), F.filter("top_values", lambda v: v.isNotNull())
+    # A list that leaves out a value would be a rule that its own data breaks.
+    complete = F.size(listed) == distinct - (nulls > 0).cast("int")
     ceiling = F.ceil(F.try_divide(nulls * 100, total)) / 100
     count = F.format_string("%d rows", total)
     candidates = [
@@ -57,7 +60,7 @@ def suggest_from_profile(profiled: DataFrame, *, max_listed: int = MAX_LISTED) -
             ),
         ),
         F.when(
-            (distinct <= max_listed) & (F.size(listed) > 0),
+            complete & (distinct <= max_listed) & (F.size(listed) > 0),
             _rule(
                 "accepted_values",
                 F.concat(distinct.cast("string"), F.lit(" distinct values in "), count),

@@ -88,7 +88,7 @@ def drifting_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Answers of an outside model, one per order, sound and broken ones. The text
 # is an SQL expression that any engine evaluates alike.
 RULE_SET_ANSWER = """
-CASE o_orderkey % 10
+CASE o_orderkey % 16
  WHEN 0 THEN concat('{"dataset_name":"orders","rules":[{"column":"order_amount","rule_type":"value_range","parameters":{"min_value":', CAST(o_custkey AS VARCHAR(20)), ',"max_value":5000.5},"reasoning":"positive"}],"summary":"one"}')
  WHEN 1 THEN concat('```json', chr(10), '{"dataset_name":"orders","rules":[{"column":"order_id","rule_type":"unique","parameters":{},"reasoning":"key ', CAST(o_orderkey AS VARCHAR(20)), '"}],"summary":"fenced"}', chr(10), '```')
  WHEN 2 THEN concat(' ', chr(10), '```', chr(10), '{"dataset_name":"orders","rules":[{"column":"payment_method","rule_type":"null_rate","parameters":{"max_null_rate":0.05},"reasoning":"gaps"},{"column":"customer_id","rule_type":"not_null","parameters":{},"reasoning":"', CAST(o_custkey AS VARCHAR(20)), '"}],"summary":"two"}```', chr(10), ' ')
@@ -98,12 +98,18 @@ CASE o_orderkey % 10
  WHEN 6 THEN concat('{"dataset_name":"orders","rules":[{"column":"order_id","rule_type":"not_null","parameters":{},"reasoning":"key"},{"column":"order_id","rule_type":"regex_match","parameters":{},"reasoning":"', CAST(o_custkey AS VARCHAR(20)), '"}],"summary":"one of two"}')
  WHEN 7 THEN concat('{"dataset_name":"orders","rules":[{"column":"product_category","rule_type":"accepted_values","parameters":{"accepted":["Books","c', CAST(o_custkey AS VARCHAR(20)), '"]},"reasoning":"list"}],"summary":"list"}')
  WHEN 8 THEN concat('{"dataset_name":"orders","rules":[{"column":"order_id","rule_ty', CAST(o_custkey AS VARCHAR(20)))
+ WHEN 9 THEN concat('{"dataset_name":"orders","rules":[{"column":"order_amount","rule_type":"value_range","parameters":{"min_value":"ten","max_value":', CAST(o_custkey AS VARCHAR(20)), '},"reasoning":"text bound"}],"summary":"bound"}')
+ WHEN 10 THEN concat('{"dataset_name":"orders","rules":[{"column":"order_date","rule_type":"value_range","parameters":{"max_value":"2001-12-31"},"reasoning":"date bound ', CAST(o_custkey AS VARCHAR(20)), '"}],"summary":"date"}')
+ WHEN 11 THEN concat('{"dataset_name":"orders","rules":[{"column":"payment_method","rule_type":"null_rate","parameters":{"max_null_rate":"low"},"reasoning":"', CAST(o_custkey AS VARCHAR(20)), '"},{"column":"payment_method","rule_type":"null_rate","parameters":{},"reasoning":"none given"}],"summary":"shares"}')
+ WHEN 12 THEN concat('{"dataset_name":"orders","rules":[{"column":"product_category","rule_type":"accepted_values","parameters":{"accepted":"c', CAST(o_custkey AS VARCHAR(20)), '"},"reasoning":"no list"}],"summary":"list"}')
+ WHEN 13 THEN concat('{"dataset_name":"orders","rules":[{"column":"order_amount","rule_type":"value_range","parameters":{"min_value":null},"reasoning":"no bound ', CAST(o_custkey AS VARCHAR(20)), '"}],"summary":"bound"}')
+ WHEN 14 THEN concat('{"dataset_name":"orders","rules":[{"column":"customer_id","rule_type":"not_null","parameters":{},"reasoning":"run ```sql select ', CAST(o_custkey AS VARCHAR(20)), '``` now"}],"summary":"marks inside"}')
  ELSE concat('{"dataset_name":"orders","rules":[],"summary":"', CAST(o_custkey AS VARCHAR(20)), '"}')
 END
 """
 
 ROOT_CAUSE_ANSWER = """
-CASE o_orderkey % 8
+CASE o_orderkey % 11
  WHEN 0 THEN concat('{"failed_check":"expect_not_null","column":"payment_method","explanation":"order ', CAST(o_orderkey AS VARCHAR(20)), '","confidence":0.85,"recommended_investigation":"read the logs","severity":"HIGH"}')
  WHEN 1 THEN concat('```json', chr(10), '{"failed_check":"expect_unique","column":"order_id","explanation":"customer ', CAST(o_custkey AS VARCHAR(20)), '","confidence":1,"recommended_investigation":"look for replays","severity":"MEDIUM"}', chr(10), '```')
  WHEN 2 THEN concat('{"failed_check":"expect_not_null","column":"payment_method","explanation":"', CAST(o_orderkey AS VARCHAR(20)), '","confidence":1.7,"recommended_investigation":"x","severity":"LOW"}')
@@ -111,11 +117,25 @@ CASE o_orderkey % 8
  WHEN 4 THEN concat('{"failed_check":"expect_not_null","column":7,"explanation":"', CAST(o_orderkey AS VARCHAR(20)), '","confidence":0.5,"recommended_investigation":"x","severity":"LOW"}')
  WHEN 5 THEN concat('the cause of ', CAST(o_orderkey AS VARCHAR(20)), ' is unknown')
  WHEN 6 THEN concat('{"failed_check":"expect_not_null","column":"payment_method","explanation":"', CAST(o_orderkey AS VARCHAR(20)), '","recommended_investigation":"x","severity":"LOW"}')
+ WHEN 7 THEN concat('{"failed_check":"expect_not_null","column":"payment_method","explanation":"', CAST(o_orderkey AS VARCHAR(20)), '","confidence":true,"recommended_investigation":"x","severity":"LOW"}')
+ WHEN 8 THEN concat('{"failed_check":"expect_not_null","column":"payment_method","explanation":"', CAST(o_orderkey AS VARCHAR(20)), '","confidence":"0.5","recommended_investigation":"x","severity":"LOW"}')
+ WHEN 9 THEN concat('{"failed_check":"expect_not_null","column":"payment_method","explanation":"```sql select ', CAST(o_orderkey AS VARCHAR(20)), '```","confidence":0.5,"recommended_investigation":"x","severity":"LOW"}')
  ELSE concat('{"failed_check":"expect_value_range","column":"order_amount","explanation":"', CAST(o_orderkey AS VARCHAR(20)), '","confidence":0.25,"recommended_investigation":"ask sales","severity":"LOW"} ')
 END
 """
 
 
+NUMBER_RULES = """```json
+{"dataset_name": "lineitem", "summary": "rules on numbers", "rules": [
+ {"column": "l_linenumber", "rule_type": "accepted_values", "parameters": {"accepted": ["1", "2", "3"]}, "reasoning": "texts"},
+ {"column": "l_tax", "rule_type": "accepted_values", "parameters": {"accepted": [0, 0.02, "0.04"]}, "reasoning": "mixed"},
+ {"column": "l_quantity", "rule_type": "accepted_values", "parameters": {"accepted": ["1", "many"]}, "reasoning": "no number"},
+ {"column": "l_quantity", "rule_type": "value_range", "parameters": {"min_value": "one"}, "reasoning": "refused"},
+ {"column": "l_quantity", "rule_type": "value_range", "parameters": {"min_value": 1, "max_value": 45.5}, "reasoning": "bounds"},
+ {"column": "l_returnflag", "rule_type": "accepted_values", "parameters": {"accepted": ["A", "R"]}, "reasoning": "flags"}]}
+```"""
+
+
 def answers(spark: SparkSession, sf_dir: str, expression: str) -> DataFrame:
     """One model answer per order: ``answer_id, response``."""
     return read_table(spark, sf_dir, "orders").select(

@@ -90,8 +90,7 @@ def stream_checks(
     def work(batch: DataFrame, epoch: int) -> None:
         bronze = store_epoch(stamp(batch, INGESTED_AT), root, "bronze", epoch)
         results = run_suite(bronze, rules, dataset_name=dataset_name, by=by)
-        # One row per rule and group of the batch.
-        store_epoch(results.coalesce(1), root, "results", epoch)
+        store_epoch(results, root, "results", epoch)
 
     run_available(stream, f"{root}/checkpoint", work)
 

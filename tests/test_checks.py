@@ -19,6 +19,7 @@ from plumbline import (
     unique,
     value_range,
 )
+from plumbline.operators import checks
 from plumbline.schemas import ORDERS, struct_of, DOUBLE, LONG, TEXT
 from plumbline.sources.bridge import dirty_orders, drifting_orders
 
@@ -205,3 +206,18 @@ def test_schema_contract(spark):
     }
     fine = check_schema(spark.createDataFrame([], ORDERS), ORDERS).collect()
     assert all(r["problem"] is None for r in fine) and len(fine) == 8
+
+
+def test_listed_texts_are_compared_as_the_column_type(spark):
+    df = spark.createDataFrame([(1.0, 1), (2.0, 2), (None, None)], "d double, i int")
+    rules = [
+        checks.accepted_values("d", ["1", "2.0"]),
+        checks.accepted_values("i", ["1"]),
+        checks.accepted_values("d", ["many"]),
+        checks.accepted_values("i", ["1.5"]),
+    ]
+    found = checks.run_suite(df, rules).orderBy("rule_no").collect()
+    assert [r.success for r in found] == [True, False, False, False]
+    assert [r.metric_value for r in found] == [0.0, 0.3333, 0.6667, 0.6667]
+    assert [r.message for r in found[:2]] == [None, None]
+    assert "many" in found[2].message and "1.5" in found[3].message

@@ -54,10 +54,12 @@ def test_empty_input_has_no_rates(spark, sf_dir):
 def test_sample_depends_on_seed_and_not_on_layout(spark):
     df = spark.range(0, 10000, 1, 5)
     one = {r["id"] for r in seeded_sample(df, "id", 15, seed=1).collect()}
-    assert len(one) == 1500
+    assert 1350 < len(one) < 1650
     assert one == {r["id"] for r in seeded_sample(df.repartition(3), "id", 15, seed=1).collect()}
     assert one != {r["id"] for r in seeded_sample(df, "id", 15, seed=2).collect()}
     for seed in range(12):
-        assert seeded_sample(df, "id", 10, seed=seed).count() == 1000
+        assert 850 < seeded_sample(df, "id", 10, seed=seed).count() < 1150
     text = df.selectExpr("cast(id as string) as id")
-    assert 1200 < seeded_sample(text, "id", 15, seed=1, hashed=True).count() < 1800
+    assert 1200 < seeded_sample(text, "id", 15, seed=1).count() < 1800
+    sparse = df.withColumn("id", df.id * 1000)
+    assert 1200 < seeded_sample(sparse, "id", 15, seed=1).count() < 1800

@@ -19,7 +19,10 @@ from plumbline import (
     unique,
     write_history,
 )
-from plumbline.operators import monitor
+from plumbline.operators import checks, monitor
+from plumbline.operators.dedup import upsert_by_key
+from plumbline.operators.profile import profile
+from plumbline.operators.suggest import rules_from_frame, suggest_from_profile
 from plumbline.schemas import HISTORY
 from plumbline.session import work_path
 from plumbline.sources.bridge import FIRST_BATCH_DAY, drifting_orders
@@ -161,3 +164,17 @@ def test_report_and_prompt(drifting):
     assert repeated["explanation"] == "distinct share of order_id is 98.00% in the first batch"
     prompt = root_cause_prompt(failures).filter("batch_id = 3 and column = 'payment_method'").collect()[0]["prompt"]
     assert '"metric":0.01' in prompt and '"metric":0.34' in prompt and "2001-12-29" in prompt
+
+
+def test_tied_updates_do_not_depend_on_the_layout(spark):
+    target = spark.createDataFrame([(1, 1, "t")], "k int, at int, v string")
+    for order in ([(1, 2, "a"), (1, 2, "b")], [(1, 2, "b"), (1, 2, "a")]):
+        updates = spark.createDataFrame(order, "k int, at int, v string").coalesce(1)
+        assert upsert_by_key(target, updates, ["k"], [F.desc("at")]).first().v == "b"
+
+
+@pytest.mark.parametrize("top_k", [1, 3, 5, 20])
+def test_suggested_rules_hold_on_their_own_data(spark, top_k):
+    df = spark.createDataFrame([(i, f"v{i % 10}", None if i % 4 else "x") for i in range(200)], "i int, t string, n string")
+    rules = rules_from_frame(suggest_from_profile(profile(df, top_k=top_k)))
+    assert rules and all(r.success for r in checks.run_suite(df, rules).collect())

@@ -19,6 +19,8 @@ from plumbline import (
     upsert_by_key,
     write_csv,
 )
+from plumbline.functions.numeric import round_to
+from plumbline.operators.gold import revenue_by_category
 from plumbline.schemas import ORDERS
 from plumbline.session import work_path
 from plumbline.sources.bridge import AS_OF, BATCHES, dirty_orders
@@ -168,3 +170,25 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
 def test_work_path_uses_the_named_folder(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_path(spark, "x") != work_path(spark, "x")
+
+
+def test_totals_keep_amounts_below_a_cent_and_huge_ones(spark):
+    def total(amounts):
+        rows = [(str(i), a, "Books") for i, a in enumerate(amounts)]
+        df = spark.createDataFrame(rows, "order_id string, order_amount double, product_category string")
+        return revenue_by_category(df.repartition(3)).first().total_revenue
+
+    assert total([0.004] * 1000) == pytest.approx(4.0, abs=1e-9)
+    assert total([0.1] * 10 + [2e13]) == 20000000000001.0
+    assert total([1e300, 1.5]) == 1e300
+    assert total([0.1] * 30) == 3.0
+    assert total([float("nan"), 1.0]) != total([float("nan"), 1.0])
+    assert total([None, None]) is None
+
+
+def test_rounding_has_no_upper_end(spark):
+    values = [1234567890123.4567, -1234567890123.4567, 2.0**53, 1e300, 1000000000000.005]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = [r[0] for r in df.select(round_to(df.v, 2)).collect()]
+    assert found[:4] == [1234567890123.46, -1234567890123.46, 2.0**53, 1e300]
+    assert found[4] in (1000000000000.0, 1000000000000.01)

@@ -15,6 +15,7 @@ from plumbline import (
     rules_from_frame,
     sample_rows_json,
 )
+from plumbline.operators.responses import parse_root_causes, parse_rule_sets
 from plumbline.functions.text import severity_marker, strip_space
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ def test_an_unknown_rule_type_is_refused_alone(spark):
     assert rule_problems(spark, document) == [None, "rule type"]
 
 
-@pytest.mark.parametrize("change", [{}, {"confidence": 0.75, "severity": "MEDIUM"}, {"severity": "LOW"}, {"confidence": 1}, {"confidence": "0.5"}])
+@pytest.mark.parametrize("change", [{}, {"confidence": 0.75, "severity": "MEDIUM"}, {"severity": "LOW"}, {"confidence": 1}])
 def test_sound_root_causes(spark, change):
     parsed = parse_root_causes(answers(spark, {**CAUSE, **change}), "id", "text").collect()[0]
     assert parsed["problem"] is None
@@ -143,3 +144,31 @@ def test_markers_and_stripping(spark):
     assert [r[0] for r in df.select(severity_marker(F.col("s"))).collect()] == ["🔴", "🟢", "⚪", "⚪"]
     text = " \t\n a b "
     assert spark.createDataFrame([(text,)], "t string").select(strip_space(F.col("t"))).collect()[0][0] == text.strip()
+
+
+def test_marks_inside_an_answer_stay(spark):
+    text = '```json\n{"failed_check":"a","column":"b","explanation":"run ```sql x``` now","confidence":0.5,"recommended_investigation":"c","severity":"LOW"}\n```'
+    df = spark.createDataFrame([(1, text)], "k int, t string")
+    assert parse_root_causes(df, "k", "t").first().explanation == "run ```sql x``` now"
+
+
+@pytest.mark.parametrize("confidence", ["true", '"0.5"', "null", "[1]"])
+def test_a_confidence_must_be_a_number(spark, confidence):
+    text = '{"failed_check":"a","column":"b","explanation":"e","confidence":%s,"recommended_investigation":"c","severity":"LOW"}'
+    df = spark.createDataFrame([(1, text % confidence)], "k int, t string")
+    assert parse_root_causes(df, "k", "t").first().problem == "confidence"
+
+
+@pytest.mark.parametrize(
+    ("rule_type", "parameters"),
+    [
+        ("value_range", '{"min_value":"ten"}'), ("value_range", '{"max_value":"2024-01-01"}'), ("value_range", "{}"),
+        ("value_range", '{"min_value":null}'), ("null_rate", '{"max_null_rate":"low"}'), ("null_rate", "{}"),
+        ("null_rate", '{"max_null_rate":2}'), ("accepted_values", '{"accepted":"a"}'), ("accepted_values", '{"accepted":["a",null]}'),
+        ("accepted_values", "{}"),
+    ],
+)
+def test_rules_with_unfit_parameters_are_refused(spark, rule_type, parameters):
+    text = '{"dataset_name":"d","summary":"s","rules":[{"column":"c","rule_type":"%s","parameters":%s,"reasoning":"r"}]}'
+    df = spark.createDataFrame([(1, text % (rule_type, parameters))], "k int, t string")
+    assert parse_rule_sets(df, "k", "t").first().problem == "parameters"
