@@ -220,7 +220,8 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = False) -> Da
     """Every record of the archive's files, as stored; payloads of responses on request."""
     ship_package(spark)
     names = spark.read.schema(INDEX).parquet(f"{folder}/headers").select("file").distinct()
-    return names.repartition("file").mapInArrow(_reader(folder, payloads), RECORD)
+    # A task per file: without a number, few names would be merged into one task.
+    return names.repartition(max(1, names.count())).mapInArrow(_reader(folder, payloads), RECORD)
 
 
 def original_records(spark: SparkSession, folder: str) -> DataFrame:
