@@ -161,11 +161,11 @@ def suite(source: str, rules: list[tuple], dataset: str = "orders", by: str = ""
 
 BATCH_RESULTS = f"results AS ({suite('dirty', ORDER_SUITE, by='batch_id')})"
 HISTORY = f"""{DIRTY}, {BATCH_RESULTS}, history AS (
- SELECT check_name AS "check", "column", CASE WHEN success THEN 'PASS' ELSE 'FAIL' END AS status,
+ SELECT dataset_name, check_name AS "check", "column", CASE WHEN success THEN 'PASS' ELSE 'FAIL' END AS status,
   metric_value AS metric, {FIRST_DAY} + CAST(batch_id AS INTEGER) AS day,
   strftime({FIRST_DAY} + CAST(batch_id AS INTEGER), '%Y-%m-%d') || ' 00:00:00' AS "timestamp",
   'batch_' || batch_id AS batch FROM results)"""
-HISTORY_ROWS = 'SELECT "check", "column", status, metric, "timestamp", batch FROM history'
+HISTORY_ROWS = 'SELECT dataset_name, "check", "column", status, metric, "timestamp", batch FROM history'
 
 
 # --- profile ---
@@ -663,8 +663,10 @@ FROM days LEFT JOIN history ON history.day = days.day GROUP BY days.day""",
  batch AS label_batch, "column" AS label_column, "check" AS label_check FROM history WHERE status = 'FAIL'""",
         "history_rechecked": f"""WITH {DIRTY}, {_faulty("drifting", MISSING_PAYMENT)},
 results AS (SELECT * FROM ({suite('dirty', ORDER_SUITE, by='batch_id')}) WHERE batch_id < 4
- UNION ALL SELECT * FROM ({suite('drifting', ORDER_SUITE, by='batch_id')}) WHERE batch_id = 4)
-SELECT 'batch_' || batch_id AS batch, count(*) AS checks, count(*) FILTER (WHERE success) AS passed_checks FROM results GROUP BY batch_id""",
+ UNION ALL SELECT * FROM ({suite('drifting', ORDER_SUITE, by='batch_id')}) WHERE batch_id = 4
+ UNION ALL SELECT * FROM ({suite('clean', ORDER_SUITE, by='batch_id', dataset='clean_orders')}))
+SELECT dataset_name, 'batch_' || batch_id AS batch, count(*) AS checks, count(*) FILTER (WHERE success) AS passed_checks
+FROM results GROUP BY dataset_name, batch_id""",
         "stream_check_suite": f"""WITH {DIRTY} SELECT *, batch_id AS epoch FROM ({suite('dirty', ORDER_SUITE, by='batch_id')})""",
         "stream_medallion": f"WITH {SILVER} SELECT {TRACKED} FROM silver",
         "stream_gold": f"WITH {SILVER} {REVENUE}",

@@ -595,12 +595,16 @@ def failed_check_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def history_rechecked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored history after the last batch was checked again on other data."""
+    """Stored history of two datasets after the last batch of one was checked again on other data."""
     path = work_path(spark, "history")
     write_history(_history(spark, sf_dir), path)
+    clean = checks.run_suite(
+        clean_orders(spark, sf_dir), checks.order_suite(), dataset_name="clean_orders", by=["batch_id"]
+    )
+    write_history(monitor.to_history(clean, first_day=FIRST_BATCH_DAY), path)
     again = drifting_orders(spark, sf_dir).filter(F.col("batch_id") == BATCHES - 1)
     write_history(monitor.to_history(_batch_results(again), first_day=FIRST_BATCH_DAY), path)
-    return read_history(spark, path).groupBy("batch").agg(
+    return read_history(spark, path).groupBy("dataset_name", "batch").agg(
         F.count("*").alias("checks"), F.count_if(F.col("status") == monitor.PASS).alias("passed_checks")
     )
 

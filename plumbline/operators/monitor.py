@@ -13,14 +13,23 @@ from ..functions.text import label, label_part
 PASS, FAIL = "PASS", "FAIL"
 
 
-def to_history(results: DataFrame, *, first_day: dt.date, batch: str = "batch_id") -> DataFrame:
-    """Suite results per batch as history rows; batches are dated from ``first_day`` on."""
+def to_history(
+    results: DataFrame, *, first_day: dt.date | None = None, at: str = "checked_at", batch: str = "batch_id"
+) -> DataFrame:
+    """Suite results per batch as history rows, at the time in column ``at``.
+
+    With ``first_day`` numbered batches are dated from that day on instead.
+    """
+    when = F.col(at)
+    if first_day is not None:
+        when = F.date_add(F.lit(first_day), F.col(batch).cast("int"))
     return results.select(
+        "dataset_name",
         F.col("check_name").alias("check"),
         "column",
         F.when(F.col("success"), PASS).otherwise(FAIL).alias("status"),
         F.col("metric_value").alias("metric"),
-        F.date_add(F.lit(first_day), F.col(batch).cast("int")).cast("timestamp").alias("timestamp"),
+        when.cast("timestamp").alias("timestamp"),
         F.concat(F.lit("batch_"), F.col(batch).cast("string")).alias("batch"),
     )
 

@@ -46,6 +46,7 @@ RULES = struct_of(
 
 # Per-batch check history.
 HISTORY = struct_of(
+    dataset_name=TEXT,
     check=TEXT,
     column=TEXT,
     status=TEXT,

@@ -33,7 +33,7 @@ DIMENSIONS = ["product_category", "delivery_status", "batch_id"]
 @pytest.fixture
 def history(spark):
     def row(check, column, status, metric, hour, batch):
-        return (check, column, status, metric, dt.datetime(2026, 3, 17, hour), f"batch_{batch}")
+        return ("orders", check, column, status, metric, dt.datetime(2026, 3, 17, hour), f"batch_{batch}")
 
     rows = [
         row("expect_not_null", "payment_method", "FAIL", 0.34, 10, 3),
@@ -81,6 +81,19 @@ def test_labels_come_apart_again(history):
     }
 
 
+def test_stored_history_keeps_datasets_and_times_apart(spark):
+    path = work_path(spark, "history")
+    df = spark.createDataFrame([("a", 1), ("b", None)], "day string, v int")
+    for name in ("orders", "customers", "orders"):
+        results = checks.run_suite(df, [checks.not_null("v")], dataset_name=name, by=["day"])
+        write_history(monitor.to_history(results, batch="day"), path)
+    found = read_history(spark, path).collect()
+    assert sorted((r.dataset_name, r.batch, r.status) for r in found) == [
+        ("customers", "batch_a", "PASS"), ("customers", "batch_b", "FAIL"), ("orders", "batch_a", "PASS"), ("orders", "batch_b", "FAIL"),
+    ]
+    assert all(r.timestamp is not None for r in found)
+
+
 def test_stored_history_replaces_a_batch_checked_again(spark, history):
     path = work_path(spark, "history")
     write_history(history, path)
