@@ -122,6 +122,30 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=16)
 
 
+ORACLE["op5_sharding"] = r"""
+WITH RECURSIVE poly(n, k, c) AS (
+ SELECT n, 0, n::BIGINT FROM range(256) AS t(n)
+ UNION ALL SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM poly WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS tab FROM poly WHERE k = 8),
+d AS (
+ SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, ''))::BIGINT + 1 AS size, sha256(coalesce(text, '')) AS digest,
+  hex(encode(coalesce(text, ''))) AS h FROM documents),
+sums AS (
+ SELECT doc_id, digest, size, xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(h, '..')]),
+  lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]))) AS text_crc32
+ FROM d, crc),
+line AS (
+ SELECT *, sum(size) OVER (ORDER BY digest, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before,
+  sum(size) OVER () AS total, sum(size) OVER (PARTITION BY digest) AS group_bytes FROM sums),
+grouped AS (SELECT *, min(before) OVER (PARTITION BY digest) AS group_start FROM line),
+placed AS (
+ SELECT doc_id, size, text_crc32, digest, CAST((CASE WHEN group_bytes * 256 <= total THEN 2 * group_start + group_bytes ELSE 2 * before + size END)
+  * 16 // (2 * total) AS INTEGER) AS shard FROM grouped)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+ row_number() OVER (PARTITION BY shard ORDER BY digest, doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM placed"""
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
@@ -159,6 +183,29 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"), window=400)
 
 
+ORACLE["op9_suffix_dedup"] = r"""
+WITH d AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (
+ SELECT doc_id, n, c, substr(h, 800 * c + 1, 1600) AS piece FROM (SELECT doc_id, n, h, unnest(range((n - 1) // 400 + 1)) AS c FROM d WHERE n >= 400)),
+starts AS (
+ SELECT doc_id, 400 * c + j AS i, md5(substr(piece, 2 * j + 1, 800)) AS w
+ FROM (SELECT doc_id, c, piece, unnest(range(greatest(0, least(400, n - 399 - 400 * c)))) AS j FROM chunks)),
+twice AS (SELECT w FROM starts GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS last FROM starts SEMI JOIN twice USING (w)),
+runs AS (
+ SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+ FROM (SELECT doc_id, i, count(*) FILTER (last IS NULL OR i > last + 400) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit)
+ GROUP BY doc_id, run),
+pieces AS (
+ SELECT doc_id, a, b, substr(h, 2 * coalesce(lag(b) OVER r, 0) + 1, 2 * (a - coalesce(lag(b) OVER r, 0))) AS piece,
+  CASE WHEN lead(a) OVER r IS NULL THEN substr(h, 2 * b + 1) ELSE '' END AS tail
+ FROM runs JOIN d USING (doc_id) WINDOW r AS (PARTITION BY doc_id ORDER BY a)),
+cut AS (
+ SELECT doc_id, sum(b - a)::BIGINT AS gone, count(*) AS spans, string_agg(piece || tail, '' ORDER BY a) AS kept FROM pieces GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
+
+
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
