@@ -403,7 +403,10 @@ segments AS (SELECT {group}rule_no, dimension, value, rows, failing_rows, {rate(
 
 
 LEADING = "ORDER BY lift DESC, failing_rows DESC, dimension, value NULLS LAST"
-BATCH_SEGMENTS = segments("drifting", FAILING_ROWS, ["product_category", "delivery_status"], "batch_id")
+BATCH_SEGMENTS = (
+    "marked AS (SELECT *, count(*) OVER (PARTITION BY batch_id, order_id) > 1 AS repeated FROM drifting), "
+    + segments("marked", {**FAILING_ROWS, 2: "repeated"}, ["product_category", "delivery_status"], "batch_id")
+)
 
 
 def _percent(value: str) -> str:

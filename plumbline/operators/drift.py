@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -65,18 +66,17 @@ def failing_segments(
     ``share`` is the part of a rule's failing rows with that value, ``lift`` how
     much more often those rows fail than all rows. Rows are counted per value
     before the shuffle, so what is shuffled grows with the number of values,
-    not of rows. Rules on whole columns (uniqueness) have no failing rows and
-    are left out, as are rules that cannot run. With ``by``, shares and lifts
-    are those within each group (a batch, say).
+    not of rows. The failing rows of a uniqueness rule are those whose value
+    repeats; they are found by counting values once more for each such rule.
+    Rules that cannot run are left out. With ``by``, shares and lifts are those
+    within each group (a batch, say), and values repeat within it.
     """
     by = names_of(by)
-    judged = [
-        (n, r)
-        for n, r in enumerate(rules, start=1)
-        if r.rule_type != "unique" and problem_of(r, df.schema) is None
-    ]
-    if not judged:
-        raise ValueError("none of the rules judges single rows")
+    runnable = [(n, r) for n, r in enumerate(rules, start=1) if problem_of(r, df.schema) is None]
+    judged = [(n, r) for n, r in runnable if r.rule_type != "unique"]
+    unique = [(n, r) for n, r in runnable if r.rule_type == "unique"]
+    if not runnable:
+        raise ValueError("none of the rules can be run")
     flags = {f"fails_{n}": failing(r, df.schema[r.column].dataType) for n, r in judged}
     groups = [f"by_{i}" for i, _ in enumerate(by)]
     # One row per dimension, made by a generator: unpivoting keeps the ids of
@@ -96,10 +96,20 @@ def failing_segments(
         .groupBy(*groups, "dimension", "value")
         .agg(F.count("*").alias("rows"), *[F.count_if(name).alias(name) for name in flags])
     )
+    for n, rule in unique:
+        repeated = _repeated_rows(df, rule, dimensions, values, by, groups).withColumnRenamed("rows", f"fails_{n}")
+        at = [*groups, "dimension", "value"]
+        repeated = repeated.select(*[F.col(c).alias(f"at_{c}") for c in at], f"fails_{n}")
+        same = [F.col(c).eqNullSafe(F.col(f"at_{c}")) for c in at]
+        counts = (
+            counts.join(repeated, reduce(lambda a, b: a & b, same), "left")
+            .withColumn(f"fails_{n}", F.coalesce(f"fails_{n}", F.lit(0)))
+            .drop(*[f"at_{c}" for c in at])
+        )
     per_rule = F.array(
         *[
             F.struct(F.lit(n).alias("rule_no"), F.col(f"fails_{n}").alias("failing_rows"))
-            for n, _ in judged
+            for n, _ in runnable
         ]
     )
     long = counts.select(*groups, "dimension", "value", "rows", F.inline(per_rule))
@@ -128,6 +138,30 @@ def failing_segments(
     )
 
 
+def _repeated_rows(
+    df: DataFrame, rule: Rule, dimensions: Sequence[str], values: Column, by: Sequence[str], groups: Sequence[str]
+) -> DataFrame:
+    """Rows whose value of a unique column repeats, per value of each dimension.
+
+    Equal rows (in that column and the dimensions) are counted before any shuffle.
+    """
+    keys = [*[named(c).alias(g) for c, g in zip(by, groups)], named(rule.column).alias("checked")]
+    cells = df.groupBy(*keys, *[named(d) for d in dimensions]).agg(F.count("*").alias("cell_rows"))
+    often = (
+        cells.groupBy(*groups, "checked")
+        .agg(F.sum("cell_rows").alias("times"))
+        .filter("times > 1")
+        .select(*[F.col(c).alias(f"often_{c}") for c in (*groups, "checked")])
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"often_{c}")) for c in (*groups, "checked")]
+    found = cells.join(often, reduce(lambda a, b: a & b, same), "left_semi")
+    return (
+        found.select(*groups, "cell_rows", F.inline(values))
+        .groupBy(*groups, "dimension", "value")
+        .agg(F.sum("cell_rows").alias("rows"))
+    )
+
+
 def attribute_failures(
     df: DataFrame, rule: Rule, dimensions: Sequence[str], k: int = 10
 ) -> DataFrame:
