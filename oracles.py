@@ -678,6 +678,6 @@ FROM results GROUP BY dataset_name, batch_id""",
         "stream_incremental": f"""WITH {DIRTY} SELECT CAST(CASE WHEN batch_id < 3 THEN 0 ELSE 1 END AS BIGINT) AS epoch, batch_id, count(*) AS rows
 FROM dirty GROUP BY ALL""",
         "stream_drift_alert": f"""WITH {DRIFT} SELECT batch_id, rule_no, check_name, "column", level, previous_level, change, severity
-FROM failures WHERE severity = 'HIGH'""",
+FROM failures""",
     }
     return queries

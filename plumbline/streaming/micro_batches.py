@@ -167,11 +167,22 @@ def stored_daily_orders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def drift_alerts(
-    spark: SparkSession, root: str, *, first_day: dt.date, batch: str = "batch_id"
+    spark: SparkSession,
+    root: str,
+    *,
+    first_day: dt.date,
+    batch: str = "batch_id",
+    severities: Sequence[str] = ("HIGH", "MEDIUM", "LOW"),
+    newest_only: bool = False,
 ) -> DataFrame:
-    """Graded failures of all stored batches, to be filtered to the newest one.
+    """Graded failures of the stored batches, of all of them or of the newest.
 
     Reads the stored results only: one row per rule and batch.
     """
     results = read_epochs(spark, root, "results").drop(EPOCH)
-    return failure_severity(batch_drift(results, first_day=first_day, batch=batch))
+    graded = failure_severity(batch_drift(results, first_day=first_day, batch=batch))
+    graded = graded.filter(F.col("severity").isin(*severities))
+    if newest_only:
+        newest = results.agg(F.max(batch).alias("newest"))  # one row
+        graded = graded.join(F.broadcast(newest), F.col(batch) == F.col("newest")).drop("newest")
+    return graded
