@@ -471,8 +471,9 @@ def suffix_dedup(
     """
     ship_package(docs.sparkSession)
     spans = stored(repeated_spans(docs, window, text_col, crowded), "suffix-spans")
+    # Copies of a text name the same spans; each counts once.
     by_text = stored(
-        spans.groupBy(F.col("mark").alias("of")).agg(F.collect_list(F.struct("lo", "n")).alias("spans")), "text-spans"
+        spans.distinct().groupBy(F.col("mark").alias("of")).agg(F.collect_list(F.struct("lo", "n")).alias("spans")), "text-spans"
     )
     total = by_text.agg(F.sum(F.size("spans") * 8 + 16)).first()[0] or 0
     side = F.broadcast(by_text) if total <= 32 << 20 else by_text
