@@ -27,21 +27,21 @@ MIX_WEIGHTS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts, and texts without letters."""
-    found = identify_languages(docs).filter(F.col("lang_pred") == UNDETERMINED)
-    return _without(docs, found.select("doc_id"))
+    found = identify_languages(docs, marked=True).filter(F.col("lang_pred") == UNDETERMINED)
+    return _without(docs, found)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 80 %, the one with the smallest id stays."""
-    found = near_duplicates(docs, k=5, percent=80).filter(~F.col("kept"))
-    return _once(_without(docs, found.select("doc_id")))
+    found = near_duplicates(docs, k=5, percent=80, marked=True).filter(~F.col("kept"))
+    return _once(_without(docs, found))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate(docs, benchmark, window=WINDOW).filter("n_hit > 0")
-    return _without(docs, found.select("doc_id"))
+    found = decontaminate(docs, benchmark, window=WINDOW, marked=True).filter("n_hit > 0")
+    return _without(docs, found)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +56,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    gone = stored(gone.withColumnRenamed("doc_id", "gone_id").distinct(), "gone")
-    return docs.join(small_side(gone), docs.doc_id.eqNullSafe(F.col("gone_id")), "left_anti")
+    """Rows but those gone, told by id and text: null and repeated ids hold other documents too."""
+    gone = stored(gone.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct(), "gone")
+    same = docs.doc_id.eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs.text) == F.col("gone_mark"))
+    return docs.join(small_side(gone), same, "left_anti")
 
 
 def _once(docs: DataFrame) -> DataFrame:

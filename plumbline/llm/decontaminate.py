@@ -177,6 +177,7 @@ def _covered(names: list[list[str]]) -> Callable[[Iterator[pa.RecordBatch]], Ite
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("id"),
+                    "mark": batch.column("mark"),
                     "n_words": batch.column("n_words"),
                     "n_hit": pa.array(hits, pa.int64()),
                     "items": pa.array(found, pa.list_(pa.string())),
@@ -196,6 +197,7 @@ def decontaminate(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    marked: bool = False,
 ) -> DataFrame:
     """Per document its words inside passages shared with benchmark items, and which items those are.
 
@@ -211,7 +213,8 @@ def decontaminate(
     the usual case and needs no shuffle.
 
     Per row: doc_id, n_words, n_hit, items (distinct ids as texts, sorted), spans
-    of word positions. Null texts have no words. A null item id counts as an
+    of word positions; ``marked`` adds ``mark``, the xxhash64 of the text, which tells rows of
+    one id apart. Null texts have no words. A null item id counts as an
     empty one. Repeated documents each get their row. Empty tables give no rows,
     or rows without hits. Other columns are not read.
     """
@@ -250,9 +253,10 @@ def decontaminate(
         )
         keyed = first.select("id", "mark", "n_words")
         merged = keyed.join(hits, keyed.id.eqNullSafe(hits.id) & (keyed.mark == hits.mark), "left").select(
-            keyed.id, "n_words", "spans", "items"
+            keyed.id, keyed.mark, "n_words", "spans", "items"
         )
-    return merged.select("id", "n_words", "spans", "items").mapInArrow(
+    covered = merged.select("id", "mark", "n_words", "spans", "items").mapInArrow(
         _covered(names),
-        "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start: int, end: int>>",
+        "doc_id long, mark long, n_words long, n_hit long, items array<string>, spans array<struct<start: int, end: int>>",
     )
+    return covered if marked else covered.drop("mark")

@@ -219,6 +219,7 @@ def _predict(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("id"),
+                    "mark": batch.column("mark"),
                     "held_out": batch.column("held_out"),
                     "lang_pred": pa.array(names, pa.string()),
                     "score": pa.array(scores, pa.float64()),
@@ -229,7 +230,12 @@ def _predict(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def identify_languages(
-    docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    model: Model | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    marked: bool = False,
 ) -> DataFrame:
     """Per document its predicted language and a score from 0 to 1 (the weakest duel won, times levels).
 
@@ -241,14 +247,17 @@ def identify_languages(
 
     ``und`` with score 0 for null texts, texts without letters, and where nothing
     could be learned. Null ids are not held out and not learned from. Repeated
-    rows each get their row. Other columns are not read.
+    rows each get their row; ``marked`` adds ``mark``, the xxhash64 of the text, which
+    tells rows of one id apart. Other columns are not read.
     """
     ship_package(docs.sparkSession)
     model = model or learn(docs, id_col, text_col, lang_col)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
+        F.xxhash64(text_col).alias("mark"),
         is_held_out(F.col(id_col)).alias("held_out"),
         has_letters(F.col(text_col)).alias("letters"),
         F.col(text_col).alias("text"),
     )
-    return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    found = rows.mapInArrow(_predict(model), "doc_id long, mark long, held_out boolean, lang_pred string, score double")
+    return found if marked else found.drop("mark")

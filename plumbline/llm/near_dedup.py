@@ -188,6 +188,7 @@ def near_duplicates(
     rows: int = ROWS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    marked: bool = False,
 ) -> DataFrame:
     """Per document the number of its shingles and the smallest id among its near duplicates.
 
@@ -209,7 +210,7 @@ def near_duplicates(
 
     Null and empty texts have empty sets: never linked. Null ids are not linked
     either, and their component_id is null. Rows that share an id each go by their own
-    text. Other columns of ``docs`` are not read.
+    text; ``marked`` adds ``mark``, its xxhash64, which tells them apart. Other columns of ``docs`` are not read.
     """
     ship_package(docs.sparkSession)
     read = docs.select(
@@ -287,6 +288,7 @@ def near_duplicates(
         .join(of_node, F.col("of") == F.col("node"), "left")
         .select(
             F.col("id").alias("doc_id"),
+            *(["mark"] if marked else []),
             "n_shingles",
             F.coalesce("component", "id").alias("component_id"),
             F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"),

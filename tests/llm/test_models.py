@@ -154,6 +154,30 @@ def test_stages_return_documents_and_take_effect(spark, documents):
     assert tokens == mixture <= benchmark and sizes[4] == sizes[3]
 
 
+def test_stages_remove_rows_and_not_ids(spark, documents):
+    """A rejected text takes no other text of its id along, be the id null or repeated."""
+    clean = [r.text for r in documents.filter("length(text) > 400").orderBy("doc_id").limit(8).collect()]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 150").first().text
+    leak = f"Before it. {item} And after."
+
+    def left(stage, rows):
+        schema = "doc_id long, text string, lang string, source string, n_chars long"
+        docs = spark.createDataFrame([(i, t, "en", "planted", 0) for i, t in rows], schema)
+        out = stage(spark, documents.select(docs.columns).unionByName(docs), SF).filter("source = 'planted'")
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+    a, b = 10**6, 10**6 + 1
+    good = [(None, clean[0]), (None, "plain words"), (a, clean[1]), (b, "the same words"), (b, "the same words")]
+    bad = [(None, None), (None, "12 34"), (a, None), (a, "..."), (b, "")]
+    assert left(corpus_pipeline.language, good + bad) == sorted(good, key=repr)
+    leaks = [(None, leak), (a, leak)]
+    assert left(corpus_pipeline.benchmark_passages, good + leaks) == sorted(good, key=repr)
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words[:-1])
+    kept = [(None, near), (a, " ".join(words)), (b, "alone it stays"), (b + 1, "something else stands here")]
+    assert left(corpus_pipeline.near_copies, [*kept, (b, near)]) == sorted(kept, key=repr)
+
+
 def test_entry_lists_the_operators():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
