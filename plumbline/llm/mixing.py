@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .storage import small_side, stored
 
-TRAINING_ROWS = 6000
+ROWS_PER_DOMAIN = 6000
 HASHED_WORDS = 2048
 PASSES = 30
 TOLERANCE = 1e-9
@@ -41,19 +41,42 @@ def _described(docs: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def learn_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """A classifier of domains from at most about ``TRAINING_ROWS`` labelled documents, chosen by a hash of the id.
+class DomainModel:
+    """A fitted classifier, and per class its share of all labels over its share of the rows it was fitted to."""
 
-    ``labelled`` has (id, domain). Returns the domains in order and a function that adds
-    posteriors to documents; with fewer than two domains it gives the only one chance 1.
+    def __init__(self, fitted: PipelineModel, shares: list[float]):
+        self.fitted, self.shares = fitted, shares
+
+    def chances(self, described: DataFrame) -> DataFrame:
+        """Adds the chance of every class as it is among all labels, not among the drawn ones."""
+        found = self.fitted.transform(described).withColumn("chances", vector_to_array("probability"))
+        if len(set(self.shares)) == 1:
+            return found
+        shares = F.array(*[F.lit(float(s)) for s in self.shares])
+        found = found.withColumn("chances", F.zip_with("chances", shares, lambda p, s: p * s))
+        total = F.aggregate("chances", F.lit(0.0), lambda t, p: t + p)
+        return found.withColumn("total", total).withColumn("chances", F.transform("chances", lambda p: p / F.col("total")))
+
+
+def learn_domains(
+    docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_domain: int = ROWS_PER_DOMAIN
+):
+    """A classifier of domains from about ``per_domain`` labelled documents a domain, all of a rarer one.
+
+    ``labelled`` has (id, domain). Labels are counted over the whole table, repeated ones once, and
+    drawn by a hash of the id. Returns the domains in order and a model that adds posteriors to
+    documents; with fewer than two domains there is none, and the only one has chance 1.
     """
     given = labelled.select(F.col(id_col).alias("label_id"), "domain").filter("label_id IS NOT NULL AND domain IS NOT NULL")
-    total = given.count()
-    drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = stored(given.filter(drawn < TRAINING_ROWS / max(total, 1)).distinct(), "domain-labels")
-    domains = sorted(r.domain for r in sample.select("domain").distinct().collect())  # as many as domains
+    given = stored(given.distinct(), "domain-given")
+    counts = dict(given.groupBy("domain").count().collect())  # one row per domain
+    domains = sorted(counts)
     if len(domains) < 2:
         return domains, None
+    chance = F.create_map(*[F.lit(x) for d in domains for x in (d, per_domain / counts[d])])
+    drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = stored(given.filter(drawn < F.element_at(chance, F.col("domain"))), "domain-labels")
+    taken = dict(sample.groupBy("domain").count().collect())
     numbered = F.create_map(*[F.lit(x) for i, d in enumerate(domains) for x in (d, float(i))])
     # The sample is bounded, so its texts are too.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
@@ -70,10 +93,10 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id",
             LogisticRegression(labelCol="class", featuresCol="features", maxIter=40, regParam=1e-3, family="multinomial"),
         ]
     )
-    return domains, steps.fit(training)
+    return domains, DomainModel(steps.fit(training), [counts[d] / taken[d] for d in domains])
 
 
-def posteriors(docs: DataFrame, domains: list[str], model: PipelineModel | None, id_col: str, text_col: str) -> DataFrame:
+def posteriors(docs: DataFrame, domains: list[str], model: DomainModel | None, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, mark, n_tokens, chances): the chance of every domain, in order."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text")
@@ -82,9 +105,7 @@ def posteriors(docs: DataFrame, domains: list[str], model: PipelineModel | None,
     if model is None:
         chances = F.array(*[F.lit(1.0) for _ in domains[:1]]) if domains else F.array(F.lit(1.0))
         return described.select("doc_id", "mark", "n_tokens", chances.alias("chances"))
-    return model.transform(described).select(
-        "doc_id", "mark", "n_tokens", vector_to_array("probability").alias("chances")
-    )
+    return model.chances(described).select("doc_id", "mark", "n_tokens", "chances")
 
 
 def _nested(steps: list[np.ndarray], base: float) -> Column:

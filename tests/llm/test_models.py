@@ -128,6 +128,22 @@ def test_mixing_without_labels_or_documents(spark, documents):
     assert {round(r.rate, 9) for r in mix(documents, one, {"good": 1.0}).collect()} == {1.0}
 
 
+def test_a_rare_domain_is_learned_however_many_labels_there_are(spark):
+    """Of 40,000 labels four name a domain; chances stay those among all labels."""
+    n, rare = 40000, [17, 4021, 20011, 39990]
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id").isin(rare), F.lit("vile foul words")).otherwise(F.lit("some plain prose stands here")).alias("text"),
+    )
+    domain = F.when(F.col("doc_id").isin(rare), "toxic").when(F.col("doc_id") % 10 == 0, "poor").otherwise("good")
+    found = mix(docs, docs.select("doc_id", domain.alias("domain")), {"good": 0.8, "poor": 0.1, "toxic": 0.1})
+    rows = {r.doc_id: r.chances for r in found.filter(F.col("doc_id").isin([*rare, 1])).collect()}
+    assert sorted(rows[1]) == ["good", "poor", "toxic"]
+    assert all(max(rows[i], key=rows[i].get) == "toxic" for i in rare)
+    assert sum(rows[1].values()) == pytest.approx(1) and rows[1]["toxic"] < 0.01
+    assert rows[1]["good"] == pytest.approx(0.9, abs=0.02)
+
+
 def test_stages_return_documents_and_take_effect(spark, documents):
     odd = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "123 456"), (10**6 + 3, None)]
     text = documents.filter("length(text) > 900").orderBy("doc_id").first()
