@@ -63,27 +63,31 @@ def learn_domains(
 ):
     """A classifier of domains from about ``per_domain`` labelled documents a domain, all of a rarer one.
 
-    ``labelled`` has (id, domain). Labels are counted over the whole table, repeated ones once, and
-    drawn by a hash of the id. Returns the domains in order and a model that adds posteriors to
+    ``labelled`` has (id, domain). Only labels of given documents count. They are counted over the whole
+    table, once for each id and text, and drawn by a hash of both. Returns the domains in order and a model that adds posteriors to
     documents; with fewer than two domains there is none, and the only one has chance 1.
     """
-    given = labelled.select(F.col(id_col).alias("label_id"), "domain").filter("label_id IS NOT NULL AND domain IS NOT NULL")
-    given = stored(given.distinct(), "domain-given")
+    named = labelled.select(F.col(id_col).alias("label_id"), "domain").filter("label_id IS NOT NULL AND domain IS NOT NULL")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    keys = rows.select("id", "mark").filter("id IS NOT NULL").distinct()
+    given = keys.join(named.distinct(), F.col("id") == F.col("label_id")).select(
+        "label_id", F.col("mark").alias("label_mark"), "domain"
+    )
+    given = stored(given, "domain-given")
     counts = dict(given.groupBy("domain").count().collect())  # one row per domain
     domains = sorted(counts)
     if len(domains) < 2:
         return domains, None
     chance = F.create_map(*[F.lit(x) for d in domains for x in (d, per_domain / counts[d])])
-    drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = F.pmod(F.xxhash64("label_id", "label_mark"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = stored(given.filter(drawn < F.element_at(chance, F.col("domain"))), "domain-labels")
     taken = dict(sample.groupBy("domain").count().collect())
     numbered = F.create_map(*[F.lit(x) for i, d in enumerate(domains) for x in (d, float(i))])
-    # The sample is bounded, so its texts are too.
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(sample), F.col("id") == F.col("label_id")
-    )
+    # The sample is bounded, so its texts are too: repeated rows go before anything is made of them.
+    texts = rows.join(F.broadcast(sample), (F.col("id") == F.col("label_id")) & (F.col("mark") == F.col("label_mark")))
+    texts = texts.dropDuplicates(["label_id", "label_mark", "domain"]).select("label_id", "domain", "text")
     training = stored(
-        _described(rows, "text").withColumn("class", F.element_at(numbered, F.col("domain"))).drop("text"), "domain-training"
+        _described(texts, "text").withColumn("class", F.element_at(numbered, F.col("domain"))).drop("text"), "domain-training"
     )
     steps = Steps(
         stages=[
@@ -175,7 +179,7 @@ def mix(
 
     Tokens are runs of anything but white space. Null and empty texts have none and
     keep the rate their chances give. Domains without a weight get 0; a weight for a domain
-    that no label names is left out, and the others are scaled up. Repeated rows are documents of their own. Empty
+    that no label of a given document names is left out, and the others are scaled up. Repeated rows are documents of their own. Empty
     tables give no rows. Other columns are not read.
     """
     domains, model = learn_domains(docs, labelled, id_col, text_col)

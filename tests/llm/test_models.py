@@ -144,6 +144,19 @@ def test_a_rare_domain_is_learned_however_many_labels_there_are(spark):
     assert rows[1]["good"] == pytest.approx(0.9, abs=0.02)
 
 
+def test_mixing_counts_only_labels_of_given_documents(spark, documents):
+    labelled = domains_of_labels(spark.read.parquet(f"{SF}/labels.parquet"))
+    weights = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
+    assert mix(documents.limit(0), labelled, weights).collect() == []
+    gone = documents.join(labelled.filter("domain = 'toxic'"), "doc_id", "left_anti")
+    rows = mix(gone, labelled, weights).collect()
+    assert len(rows) == gone.count() and {tuple(sorted(r.chances)) for r in rows} == {("good", "poor")}
+    total = sum(r.n_tokens for r in rows)
+    assert sum(r.n_tokens * r.rate * r.chances["good"] for r in rows) == pytest.approx(0.9 / 0.97 * total, rel=0.02)
+    only = gone.join(labelled.filter("domain = 'poor'"), "doc_id", "left_anti")
+    assert {tuple(r.chances.items()) for r in mix(only, labelled, weights).collect()} == {(("good", 1.0),)}
+
+
 def test_stages_return_documents_and_take_effect(spark, documents):
     odd = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "123 456"), (10**6 + 3, None)]
     text = documents.filter("length(text) > 900").orderBy("doc_id").first()
