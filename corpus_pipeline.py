@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.decontaminate import decontaminate
-from plumbline.llm.language_id import UNDETERMINED, identify_languages
+from plumbline.llm.language_id import UNDETERMINED, has_letters, identify_languages, learn
 from plumbline.llm.mixing import domains_of_labels, mix, mixed_documents
 from plumbline.llm.near_dedup import near_duplicates
 from plumbline.llm.storage import small_side, stored
@@ -27,7 +27,10 @@ MIX_WEIGHTS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts, and texts without letters."""
-    found = identify_languages(docs, marked=True).filter(F.col("lang_pred") == UNDETERMINED)
+    model = learn(docs)
+    if not model.families:  # all are undetermined then, which says nothing about a text
+        return docs.filter(has_letters(F.col("text")))
+    found = identify_languages(docs, model, marked=True).filter(F.col("lang_pred") == UNDETERMINED)
     return _without(docs, found)
 
 

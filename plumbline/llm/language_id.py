@@ -158,28 +158,33 @@ def learn(
     lang_col: str = "lang",
     per_language: int = SAMPLE_PER_LANGUAGE,
 ) -> Model:
-    """Learn from about ``per_language`` labelled documents a language, chosen by a hash of the id.
+    """Learn from about ``per_language`` labelled documents a language, chosen by a hash of the id and text.
 
-    That bound is the only one; the documents' whole texts are read. Each pair of
-    classes is trained by a task of its own.
+    That bound is the only one; the documents' whole texts are read, repeated rows once. Languages are
+    the labels of texts with letters; ``und`` is none. Each pair of classes is trained by a task of its own.
     """
     ship_package(docs.sparkSession)
     labelled = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
-    ).filter(F.col("id").isNotNull() & ~is_held_out(F.col("id")) & F.col("lang").isNotNull())
-    counts = dict(labelled.groupBy("lang").count().collect())  # one row per language
-    languages = sorted(counts)
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("mark"),
+        F.col(text_col).alias("text"),
+        F.col(lang_col).alias("lang"),
+    ).filter(F.col("id").isNotNull() & ~is_held_out(F.col("id")) & has_letters(F.col("text")))
+    labelled = labelled.filter(F.col("lang") != UNDETERMINED)
+    counts = dict(labelled.groupBy("lang").agg(F.count_distinct("id", "mark")).collect())  # one row per language
     spark = docs.sparkSession
-    if not languages:
+    if not counts:
         return Model({}, [])
     chance = spark.createDataFrame([(n, per_language / c) for n, c in counts.items()], "lang string, chance double")
-    drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = F.pmod(F.xxhash64("id", "mark"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = (
         labelled.join(F.broadcast(chance), "lang")  # one row per language
-        .filter((drawn < F.col("chance")) & has_letters(F.col("text")))
+        .filter(drawn < F.col("chance"))
+        .dropDuplicates(["lang", "id", "mark"])
         .select("lang", "text")
     )
     x = stored(sample.repartition(8).mapInArrow(_featured, "lang string, x binary"), "language-features")
+    languages = sorted(r.lang for r in x.select("lang").distinct().collect())  # as many as languages
     families = sorted({family_of(n) for n in languages})
     duels = []  # level, first, second, language, whether it is of the first
     for a, b in itertools.combinations(families, 2):
@@ -197,8 +202,7 @@ def learn(
         .applyInArrow(_train, "level string, first string, second string, weights binary")
     )
     weights = {(r.level, r.first, r.second): np.frombuffer(r.weights, np.float32) for r in trained.collect()}
-    # Classes that the sample holds no document of cannot be told apart and are left out.
-    return Model(weights, languages) if len(weights) == len({d[:3] for d in duels}) else Model({}, languages[:1])
+    return Model(weights, languages)  # every language has rows, so every duel is trained
 
 
 def _predict(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from plumbline.llm.language_id import Model, identify_languages, train_svm
+from plumbline.llm.language_id import Model, identify_languages, learn, train_svm
 from plumbline.llm.mixing import domains_of_labels, fit_rates, mix, mixed_documents
 from plumbline.llm.storage import stored
 
@@ -53,6 +53,35 @@ def test_nothing_to_learn_from(spark):
     assert identify_languages(docs.limit(0)).collect() == []
 
 
+def test_languages_of_letterless_texts_are_left_out_alone(spark, documents):
+    docs = documents.select("doc_id", "text", "lang")
+    truth = dict(docs.select("doc_id", "lang").collect())
+    plain = {r.doc_id: r.lang_pred for r in identify_languages(docs).collect()}
+    assert len(set(plain.values())) > 1
+    odd = [(10**6 + i, t, n) for i in range(40) for t, n in [(["12 34", "...", "", None][i % 4], ["und", "zxx", "", "xx"][i // 10])]]
+    odd += [(10**7 + i, "letters of no known language", "und") for i in range(40)]
+    found = {r.doc_id: r.lang_pred for r in identify_languages(docs.union(spark.createDataFrame(odd, docs.schema))).collect()}
+    assert {i: found[i] for i in truth} == plain
+    assert {found[i] for i, t, _ in odd if i < 10**7} == {"und"} and "und" not in {found[10**7 + i] for i in range(40)}
+
+
+def test_a_language_of_one_repeated_text_is_learned(spark):
+    rows = [(i, f"the and of that {i}", "en") for i in range(60)] + [(8, "der und die das", "de")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for model in (learn(docs), learn(docs, per_language=40)):
+        assert sorted(n for members in model.families.values() for n in members) == ["de", "en"]
+
+
+def test_language_stage_without_labels_rejects_letterless_texts_only(spark, documents):
+    more = [(10**6, None), (10**6 + 1, "12 34"), (10**6 + 2, "é")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = documents.unionByName(spark.createDataFrame([(i, t, None, "x", 0) for i, t in more], schema))
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.language(spark, bare, SF)
+    assert left.columns == documents.columns
+    assert {r.doc_id for r in left.collect()} == {r.doc_id for r in docs.filter(r"text rlike '\\p{L}'").collect()}
+
+
 def test_model_decides_family_then_language():
     x = np.eye(4096, dtype=np.float32)[:3]
     w = {k: np.zeros(4097, np.float32) for k in (("", "germanic", "romance"), ("germanic", "de", "en"))}
