@@ -26,7 +26,7 @@ MIX_WEIGHTS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts, and texts without letters."""
+    """Null texts and texts without letters go. No prediction or score rejects a text with letters."""
     model = learn(docs)
     if not model.families:  # all are undetermined then, which says nothing about a text
         return docs.filter(has_letters(F.col("text")))
