@@ -159,7 +159,7 @@ def test_mixing_without_labels_or_documents(spark, documents):
 
 def test_a_rare_domain_is_learned_however_many_labels_there_are(spark):
     """Of 40,000 labels four name a domain; chances stay those among all labels."""
-    n, rare = 40000, [17, 4021, 20011, 39990]
+    n, rare = 40000, [17, 12020, 16021, 28024]  # their ids hash high, so a draw of 6,000 from all misses them
     docs = spark.range(n).select(
         F.col("id").alias("doc_id"),
         F.when(F.col("id").isin(rare), F.lit("vile foul words")).otherwise(F.lit("some plain prose stands here")).alias("text"),
