@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .filter_audit import audit_filters, capitals, fewer_words, holds_any, repeated_text, repetitive
 from .language_id import identify_languages
 from .mixing import domains_of_labels, mix
 from .near_dedup import near_duplicates
@@ -231,3 +232,57 @@ reached AS (
  UNION SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)"""
+
+
+#: Filters of the audit by their letters.
+AUDITED = {
+    "A": fewer_words(200),
+    "B": repetitive(50),
+    "C": capitals(2),
+    "D": holds_any("#$%&*|"),
+    "E": repeated_text,
+}
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), AUDITED)
+
+
+ORACLE["op12_filter_audit"] = r"""
+WITH RECURSIVE d AS (
+ SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+ SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+   CASE WHEN len(w) < 200 THEN 'A' END,
+   CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+   CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' END,
+   CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+   CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END] AS fails
+ FROM d LEFT JOIN l USING (doc_id)),
+letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders(o) AS (
+ SELECT f FROM letters
+ UNION ALL SELECT o || f FROM orders, letters WHERE NOT contains(o, f)),
+steps AS (
+ SELECT o AS filter_order, s::INTEGER AS step, o[s] AS f, o[1:s - 1] AS before
+ FROM orders, range(1, 6) AS r(s) WHERE length(o) = 5),
+cells AS (SELECT part, list_filter(fails, lambda x: x IS NOT NULL) AS fails, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+walked AS (
+ SELECT part, filter_order, step, f, n, good, toxic, list_contains(fails, f) AS own, len(fails) AS failed,
+  len(list_filter(fails, lambda x: contains(before, x))) > 0 AS gone
+ FROM cells, steps),
+counted AS (
+ SELECT part, filter_order, step, f,
+  sum(CASE WHEN NOT gone AND NOT own THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN NOT gone AND own THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN gone AND own THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN own AND failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN NOT gone AND own AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN NOT gone AND own AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+ FROM walked GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+ (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted"""
