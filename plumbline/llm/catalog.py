@@ -13,7 +13,9 @@ from .filter_audit import audit_filters, capitals, fewer_words, holds_any, repea
 from .language_id import identify_languages
 from .mixing import domains_of_labels, mix
 from .near_dedup import near_duplicates
+from .phrases import collocations
 from .sharding import shard
+from .simhash import simhash_duplicates
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .token_files import encode_documents
@@ -234,6 +236,37 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)"""
 
 
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), min_count=10, longest=3, swallowed=50, top=2000)
+
+
+ORACLE["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+ SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+ FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+ SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+ FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 4) AS s(size) WHERE len(w) >= size)),
+f AS (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+cuts AS (
+ SELECT c.lang, c.phrase, c.size, a, k, l.n AS l, r.n AS r, (1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n))::BIGINT AS score
+ FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) c
+ JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+ JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.size], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+ SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS around
+ FROM (SELECT lang, w, a, unnest([1, 2]) AS i FROM cand WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT scored.* FROM scored LEFT JOIN inner_ USING (lang, phrase) WHERE 100 * coalesce(around, 0) < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000"""
+
 #: Filters of the audit by their letters.
 AUDITED = {
     "A": fewer_words(200),
@@ -286,3 +319,8 @@ counted AS (
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM counted"""
+
+
+@query
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(_table(spark, sf_dir, "documents"), k=3, bits=3)
