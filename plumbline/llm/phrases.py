@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,6 +42,14 @@ class PhraseFilter:
         self.table = np.zeros(1 << log_bits - 6, np.uint64)
         self.table[slots] = bits
 
+    def __getstate__(self) -> tuple:
+        """What travels to the workers: the slots that are in use."""
+        slots = np.flatnonzero(self.table)
+        return self.log_bits, slots.astype(np.int32), self.table[slots]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         found = np.ones(len(hashes), bool)
         for at in places_of(hashes, self.log_bits):
@@ -169,7 +180,7 @@ class _Held:
         )
 
 
-def _counts(passes, longest: int, words: bool, sizes: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _counts(passes: Broadcast, longest: int, words: bool, sizes: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts of the phrases that the last of ``passes`` counts; with ``words``, of all single words and their total."""
 
     def run(batches):
@@ -202,11 +213,20 @@ def _counts(passes, longest: int, words: bool, sizes: Sequence[int]) -> Callable
     return run
 
 
-def count_phrases(docs: DataFrame, passes: Sequence[Filters], longest: int, *, words: bool, sizes: Sequence[int]) -> DataFrame:
+@contextmanager
+def _shared(spark: SparkSession, passes: Sequence[Filters]) -> Iterator[Broadcast]:
+    """Filters for the tasks of what is run inside; their copies on disk go afterwards."""
+    held = spark.sparkContext.broadcast(list(passes))
+    try:
+        yield held
+    finally:
+        held.destroy()
+
+
+def count_phrases(docs: DataFrame, passes: Broadcast, longest: int, *, words: bool, sizes: Sequence[int]) -> DataFrame:
     """Exact counts over all of ``docs`` (lang, text) of what a pass with these filters counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(list(passes))
     return (
-        docs.mapInArrow(_counts(shared, longest, words, sizes), COUNTS)
+        docs.mapInArrow(_counts(passes, longest, words, sizes), COUNTS)
         .groupBy("lang", "size", "phrase")
         .agg(F.sum("n").alias("n"))
     )
@@ -258,8 +278,8 @@ def phrase_filters(frequent: DataFrame, log_bits: int) -> Filters:
     }
 
 
-def _outside(filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Phrases that a pass's filters do not hold: what it has not looked beyond."""
+def _outside(passes: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Phrases that the last pass's filters do not hold: what it has not looked beyond."""
 
     def run(batches):
         for batch in batches:
@@ -267,7 +287,7 @@ def _outside(filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                 continue
             sizes, hashes = batch.column("size").to_numpy(), _phrase_hashes(batch)
             inside = np.zeros(len(hashes), bool)
-            for size, held in filters.value.items():
+            for size, held in passes.value[-1].items():
                 inside[sizes == size] = held.holds(hashes[sizes == size])
             yield batch.filter(pa.array(~inside))
 
@@ -307,21 +327,19 @@ def frequent_phrases(
     lowered = max(2, int(sample * min_count / 2))
     proposed: Filters = {}
     for size in range(1, longest):
-        counts = count_phrases(part, [proposed], size, words=size == 1, sizes=[size])
-        proposed |= phrase_filters(counts.filter((F.col("size") == size) & (F.col("n") >= lowered)), log_bits)
+        with _shared(spark, [proposed]) as shared:
+            counts = count_phrases(part, shared, size, words=size == 1, sizes=[size])
+            proposed |= phrase_filters(counts.filter((F.col("size") == size) & (F.col("n") >= lowered)), log_bits)
     passes, tables = [proposed], []
     while True:
-        counts = count_phrases(
-            read, passes, longest, words=len(passes) == 1, sizes=range(1 if len(passes) == 1 else 2, longest + 1)
-        )
-        tables.append(stored(counts.filter((F.col("size") == 0) | (F.col("n") >= min_count)), "phrase-counts"))
-        known = tables[0]
-        for more in tables[1:]:
-            known = known.union(more)
-        inner = known.filter((F.col("size") > 0) & (F.col("size") < longest))
-        missed = inner.mapInArrow(_outside(spark.sparkContext.broadcast(passes[-1])), COUNTS)
-        if missed.isEmpty():
-            return known, len(passes)
+        first = len(passes) == 1
+        with _shared(spark, passes) as shared:
+            counts = count_phrases(read, shared, longest, words=first, sizes=range(1 if first else 2, longest + 1))
+            tables.append(stored(counts.filter((F.col("size") == 0) | (F.col("n") >= min_count)), "phrase-counts"))
+            known = reduce(DataFrame.union, tables)
+            inner = known.filter((F.col("size") > 0) & (F.col("size") < longest))
+            if inner.mapInArrow(_outside(shared), COUNTS).isEmpty():
+                return known, len(passes)
         passes.append(phrase_filters(inner, log_bits))
 
 
