@@ -18,8 +18,8 @@ from . import kernels as K
 from .storage import ship_package, small_side, stored
 
 UNKNOWN = "und"
-FILTER_BITS = 26  # log2 of the bits of a phrase filter: what the driver and every worker hold
-HELD = 1 << 20  # phrases that a task merges before it hands them on
+FILTER_BITS = 25  # log2 of the bits of a phrase filter: what the driver and every worker hold
+HELD = 1 << 19  # phrases that a task merges before it hands them on
 BLOCK_BYTES = 1 << 20
 
 #: Bytes that end a piece of text, and the two that part words inside a piece.
@@ -93,7 +93,8 @@ class Pieces:
 
         A pass counts a phrase if its filters hold both phrases that are one word shorter, which takes in what
         they hold themselves (the proposed) and what they just don't (the negative border), unless an
-        earlier pass has counted it.
+        earlier pass has counted it. After the first pass, what is being counted is taken as held too: nobody
+        knows yet whether it is frequent, and so its longer phrases need no pass of their own.
         """
         found, counted = {}, {}
         for number, filters in enumerate(passes):
@@ -102,13 +103,13 @@ class Pieces:
                 here = np.zeros(len(self.last), bool)
                 here[:-1] = open_[:-1] & open_[1:]
                 here &= self.fits(size)
-                before = counted.get(size, np.zeros(len(here), bool))
-                counted[size] = before | here
+                new = here & ~counted[size] if size in counted else here
+                counted[size] = here | counted[size] if size in counted else here
                 if number == len(passes) - 1:
-                    found[size] = np.flatnonzero(here & ~before)
-                at = np.flatnonzero(here)
-                open_ = np.zeros(len(self.last), bool)
+                    found[size] = np.flatnonzero(new)
+                open_ = new.copy() if number else np.zeros(len(self.last), bool)
                 if size in filters:
+                    at = np.flatnonzero(here & ~open_)
                     open_[at] = filters[size].holds(self.hashes(at, size))
         return found
 
@@ -132,6 +133,21 @@ def texts_between(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.
     )
 
 
+def _equal(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal hashes are neighbours, and where runs of them begin.
+
+    Sorts single numbers, which is quicker than sorting an index: the high bits of each hash
+    with its place below. Runs compare whole hashes. Different ones that agree in the high
+    bits may part a run in two, which adds a row for Spark to merge and no error.
+    """
+    low = len(hashes).bit_length()
+    mask = np.uint64((1 << low) - 1)
+    packed = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
+    packed.sort()
+    order = (packed & mask).astype(np.int64)
+    return order, K.runs(hashes[order])
+
+
 class _Held:
     """Counts of phrases in a task, merged by their hash before they are handed on."""
 
@@ -145,10 +161,11 @@ class _Held:
         return self.langs.setdefault(lang, len(self.langs))
 
     def add(self, size: int, hashes: np.ndarray, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        hashes, first, counts = np.unique(hashes, return_index=True, return_counts=True)
+        order, cuts = _equal(hashes)
+        first = order[cuts[:-1]]
         texts = texts_between(data, starts[first], ends[first])
-        self.parts.append((hashes, counts, codes[first], np.full(len(hashes), size, np.int32), texts))
-        self.rows += len(hashes)
+        self.parts.append((hashes[first], np.diff(cuts), codes[first], np.full(len(first), size, np.int32), texts))
+        self.rows += len(first)
 
     def drain(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
@@ -157,10 +174,9 @@ class _Held:
         texts = pa.chunked_array([p[4] for p in self.parts])
         self.parts, self.rows = [], 0
         # Lengths are told apart by their hashes as well: a phrase of k words hashes as k words.
-        order = np.argsort(hashes, kind="stable")
-        cuts = K.runs(hashes[order])
-        first = order[cuts[:-1]]
-        yield self._batch(codes[first], sizes[first], texts.take(pa.array(first)).combine_chunks(), np.add.reduceat(counts[order], cuts[:-1]))
+        order, cuts = _equal(hashes)
+        first, sums = order[cuts[:-1]], np.add.reduceat(counts[order], cuts[:-1])
+        yield self._batch(codes[first], sizes[first], texts.take(pa.array(first)).combine_chunks(), sums)
 
     def totals(self) -> Iterator[pa.RecordBatch]:
         """Words per language, as phrases of no words."""
@@ -190,7 +206,9 @@ def _counts(passes: Broadcast, longest: int, words: bool, sizes: Sequence[int])
             codes = np.array([held.code(lang) for lang in batch.column("lang").to_pylist()], np.int64)
             salts = np.array([lang_salt(lang) for lang in held.langs], np.uint64)
             # A piece begins with a text or with the mark that ends the piece before.
-            places = np.unique(np.concatenate([texts, np.flatnonzero(ENDS_PIECE[data])]))
+            begins = ENDS_PIECE[data]
+            begins[texts[:-1][texts[:-1] < len(data)]] = True
+            places = np.append(np.flatnonzero(begins), len(data))
             of_piece = codes[np.searchsorted(texts, places[:-1], "right") - 1]
             for i, j in K.blocks(places, BLOCK_BYTES):
                 block, at = one_blank(data[places[i] : places[j]], places[i : j + 1] - places[i])
@@ -311,8 +329,9 @@ def frequent_phrases(
     min_count)`` in it. A pass over all documents counts the proposed phrases and
     their negative border: all phrases whose parts of one word less are both proposed. A
     border phrase (or word) that is frequent in the whole has longer phrases which nobody
-    has counted, so a further pass counts the border of all frequent phrases known by then, less
-    what is counted, until no frequent phrase was outside. The result does not depend on the sample.
+    has counted: then a further pass counts the border of all frequent phrases known by then, less
+    what is counted, and takes in the longer phrases of what it counts itself, which
+    closes the search. The result does not depend on the sample.
 
     Proposed phrases travel as filters of 2^log_bits bits per length, whatever their number; a
     full filter costs needless counts and no result. Returns lang, size, phrase, n (size 0 holds
@@ -338,7 +357,8 @@ def frequent_phrases(
             tables.append(stored(counts.filter((F.col("size") == 0) | (F.col("n") >= min_count)), "phrase-counts"))
             known = reduce(DataFrame.union, tables)
             inner = known.filter((F.col("size") > 0) & (F.col("size") < longest))
-            if inner.mapInArrow(_outside(shared), COUNTS).isEmpty():
+            # A further pass looks beyond all that it counts.
+            if not first or inner.mapInArrow(_outside(shared), COUNTS).isEmpty():
                 return known, len(passes)
         passes.append(phrase_filters(inner, log_bits))
 
