@@ -675,6 +675,25 @@ FROM results GROUP BY dataset_name, batch_id""",
         "stream_gold": f"WITH {SILVER} {REVENUE}",
         "stream_daily_orders": f"WITH {SILVER} {DAILY} ORDER BY order_date",
         "stream_dedup_across_batches": f"WITH {STRADDLING} SELECT {TRACKED}, batch_id AS epoch FROM silver",
+        "stream_whole_run": f"""WITH {DRIFT},
+unique_ids AS (SELECT * EXCLUDE (rn) FROM (
+ SELECT *, row_number() OVER (PARTITION BY order_id {SURVIVORS}) AS rn FROM drifting) WHERE rn = 1),
+{_silver_of('unique_ids')},
+layers AS (SELECT batch_id AS epoch, count(*) AS bronze_rows FROM drifting GROUP BY ALL),
+refined AS (SELECT batch_id AS epoch, count(*) AS silver_rows, {MONEY.format("order_amount")} AS revenue FROM silver GROUP BY ALL),
+checked AS (SELECT batch_id AS epoch, count(*) FILTER (WHERE success) AS passed_checks, count(*) FILTER (WHERE NOT success) AS failed_checks
+ FROM results GROUP BY ALL),
+alerted AS (SELECT batch_id AS epoch, count(*) FILTER (WHERE severity = 'HIGH') AS high_alerts,
+ count(*) FILTER (WHERE severity = 'MEDIUM') AS medium_alerts, count(*) FILTER (WHERE severity = 'LOW') AS low_alerts FROM failures GROUP BY ALL)
+SELECT * FROM layers JOIN refined USING (epoch) JOIN checked USING (epoch) JOIN alerted USING (epoch)""",
+        "stream_run_history": f"""WITH {HISTORY} SELECT dataset_name, "check", "column", status, metric, batch,
+ CAST(replace(batch, 'batch_', '') AS BIGINT) AS epoch FROM history""",
+        "stream_run_alerts": f"""WITH {DRIFT} SELECT batch_id, rule_no, check_name, "column", level, previous_level, change, severity
+FROM failures""",
+        "stream_running_trigger": f"""WITH {SILVER}
+SELECT epoch, input_rows, input_rows AS bronze_rows, silver_rows
+FROM (SELECT batch_id AS epoch, count(*) AS input_rows FROM dirty GROUP BY ALL)
+JOIN (SELECT batch_id AS epoch, count(*) AS silver_rows FROM silver GROUP BY ALL) USING (epoch)""",
         "stream_incremental": f"""WITH {DIRTY} SELECT CAST(CASE WHEN batch_id < 3 THEN 0 ELSE 1 END AS BIGINT) AS epoch, batch_id, count(*) AS rows
 FROM dirty GROUP BY ALL""",
         "stream_drift_alert": f"""WITH {DRIFT} SELECT batch_id, rule_no, check_name, "column", level, previous_level, change, severity

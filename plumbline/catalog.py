@@ -51,6 +51,7 @@ from .sources.bridge import (
 )
 from .sources.history import read_history, write_history
 from .sources.layers import read_orders_csv, stamp, write_csv, write_layer
+from .streaming import epochs as ep
 from .streaming import micro_batches as mb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,11 +627,23 @@ def _checked_stream(spark: SparkSession, df: DataFrame) -> str:
     return root
 
 
-def _layered_stream(spark: SparkSession, df: DataFrame) -> str:
-    root = work_path(spark, "stream-layers")
+def _landed(spark: SparkSession, df: DataFrame, root: str) -> ep.Landing:
+    """All batches landed one after another, each in so many files as a micro-batch takes."""
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    landing = ep.Landing(f"{root}/landing", TRACKED_ORDERS, files_per_batch=files)
     for batch in range(BATCHES):
-        stream = _arrive(spark, df, f"{root}/landing", [batch])
-        mb.stream_medallion(stream, root, as_of=AS_OF)
+        mb.land(df.filter(F.col("batch_id") == batch).repartition(files), landing.path)
+    return landing
+
+
+def _keep(rules: Iterable[checks.Rule] = ()) -> ep.Keep:
+    return ep.Keep(tuple(rules), as_of=AS_OF, dataset_name=DATASET, batch="batch_id", first_day=FIRST_BATCH_DAY)
+
+
+def _layered_stream(spark: SparkSession, df: DataFrame, rules: Iterable[checks.Rule] = ()) -> str:
+    """One run over five micro-batches."""
+    root = work_path(spark, "stream-layers")
+    ep.run_available(spark, _landed(spark, df, root), root, _keep(rules))
     return root
 
 
@@ -643,19 +656,19 @@ def stream_check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_medallion")
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _layered_stream(spark, dirty_orders(spark, sf_dir))
-    return mb.stored_silver(spark, root).drop(mb.EPOCH)
+    return ep.stored_silver(spark, root).drop(mb.EPOCH)
 
 
 @query()
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _layered_stream(spark, dirty_orders(spark, sf_dir))
-    return mb.stored_revenue_by_category(spark, root)
+    return ep.stored_revenue_by_category(spark, root)
 
 
 @query()
 def stream_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _layered_stream(spark, dirty_orders(spark, sf_dir))
-    return mb.stored_daily_orders(spark, root)
+    return ep.stored_daily_orders(spark, root)
 
 
 @query()
@@ -664,8 +677,49 @@ def stream_dedup_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.pmod("src_key", F.lit(50)) == 49, F.pmod(F.col("batch_id") + 2, F.lit(BATCHES)))
     straddling = dirty_orders(spark, sf_dir).withColumn("batch_id", F.coalesce(moved, "batch_id"))
     root = _layered_stream(spark, straddling)
-    return mb.stored_silver(spark, root)
+    return ep.stored_silver(spark, root)
+
 
+@query()
+def stream_whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one run keeps per epoch: rows of the layers, revenue, checks of the history, alerts."""
+    root = _layered_stream(spark, drifting_orders(spark, sf_dir), checks.order_suite())
+    gold = ep.committed(spark, root, "gold").groupBy(mb.EPOCH).agg(
+        (F.sum("cents").cast("decimal(38,0)").cast("double") / 100).alias("revenue")
+    )
+    history = ep.committed(spark, root, "history").groupBy(mb.EPOCH).agg(
+        F.count_if(F.col("status") == monitor.PASS).alias("passed_checks"),
+        F.count_if(F.col("status") == monitor.FAIL).alias("failed_checks"),
+    )
+    alerts = ep.committed(spark, root, "alerts").groupBy(mb.EPOCH).agg(
+        *[F.count_if(F.col("severity") == s.upper()).alias(f"{s}_alerts") for s in ("high", "medium", "low")]
+    )
+    layers = ep.manifest(spark, root).select(mb.EPOCH, "bronze_rows", "silver_rows")
+    return layers.join(gold, mb.EPOCH).join(history, mb.EPOCH).join(alerts, mb.EPOCH)
+
+
+@query()
+def stream_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _layered_stream(spark, dirty_orders(spark, sf_dir), checks.order_suite())
+    return ep.committed(spark, root, "history").drop("timestamp")
+
+
+@query()
+def stream_run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _layered_stream(spark, drifting_orders(spark, sf_dir), checks.order_suite())
+    return ep.committed(spark, root, "alerts").select(
+        "batch_id", "rule_no", "check_name", "column", "level", "previous_level", "change", "severity"
+    )
+
+
+@query()
+def stream_running_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per epoch as the running query reports them, and as the manifest has them."""
+    root = work_path(spark, "stream-running")
+    landing = _landed(spark, dirty_orders(spark, sf_dir), root)
+    told = ep.run_for(spark, landing, root, _keep(), every="0 seconds", epochs=BATCHES)
+    progress = spark.createDataFrame([(p[mb.EPOCH], p["input_rows"]) for p in told], "epoch long, input_rows long")
+    return progress.join(ep.manifest(spark, root).drop("files"), mb.EPOCH)  # a row per epoch
 
 @query()
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:

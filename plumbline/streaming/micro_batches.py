@@ -1,4 +1,4 @@
-"""Checks and layers kept up to date by file micro-batches.
+"""Checks kept up to date by file micro-batches, and the parts that streaming runs share.
 
 Each function runs one incremental pass: it takes the files that arrived since
 the last pass with the same checkpoint, and ends. A micro-batch is stored under
@@ -17,13 +17,11 @@ from pyspark.sql import types as T
 
 from ..operators.checks import Rule, run_suite
 from ..operators.drift import batch_drift, failure_severity
-from ..operators.gold import merge_daily_orders, merge_revenue_by_category, revenue_parts
-from ..operators.silver import deduplicate_orders, valid_orders
-from ..schemas import INGESTED_AT, TRANSFORMED_AT
+from ..operators.silver import valid_orders
+from ..schemas import INGESTED_AT
 from ..sources.layers import stamp, write_layer
 
 EPOCH = "epoch"
-GOLD_KEYS = ("product_category", "order_date")
 
 
 def read_arrivals(
@@ -95,43 +93,6 @@ def stream_checks(
     run_available(stream, f"{root}/checkpoint", work)
 
 
-def _rows_named(df: DataFrame, names: DataFrame, key: str, how: str) -> DataFrame:
-    """Rows whose key is (``left_semi``) or is not (``left_anti``) named; NULL equals NULL."""
-    same = F.col(f"rows.{key}").eqNullSafe(F.col(f"names.{key}"))
-    return df.alias("rows").join(names.alias("names"), same, how)
-
-
-def stream_medallion(
-    stream: DataFrame, root: str, *, as_of: dt.date | None = None, key: str = "order_id"
-) -> None:
-    """Keep bronze, silver and gold up to date with the arriving files.
-
-    An id that came in an earlier batch is a duplicate, whether its row was
-    valid or not. The table ``unique`` holds the first row of every id. Of its
-    id column, only the ids that occur in the batch are kept, by a join whose
-    other side is the batch and which needs no shuffle of the table while Spark
-    can broadcast that side; the batch is then compared with these few. Every id
-    occurs once on each side, so there is no hot key. Gold is stored as
-    mergeable parts per epoch and merged when read, not rebuilt from silver.
-    """
-
-    def work(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        bronze = store_epoch(stamp(batch, INGESTED_AT), root, "bronze", epoch)
-        fresh = deduplicate_orders(bronze, key=key)
-        if epoch > 0:
-            kept = read_epochs(spark, root, "unique", fresh.schema)
-            seen = kept.filter(F.col(EPOCH) < epoch).select(key)
-            repeated = _rows_named(seen, bronze.select(key).distinct(), key, "left_semi")
-            fresh = _rows_named(fresh, repeated, key, "left_anti")
-        fresh = store_epoch(fresh, root, "unique", epoch)
-        silver = store_epoch(valid_orders(fresh, as_of=as_of), root, "silver", epoch)
-        # At most one row per category and day; both gold tables merge these.
-        store_epoch(revenue_parts(silver, *GOLD_KEYS), root, "gold", epoch)
-
-    run_available(stream, f"{root}/checkpoint", work)
-
-
 def stream_silver_bounded(
     stream: DataFrame,
     root: str,
@@ -154,18 +115,6 @@ def stream_silver_bounded(
     run_available(unique, f"{root}/checkpoint", work)
 
 
-def stored_silver(spark: SparkSession, root: str) -> DataFrame:
-    return read_epochs(spark, root, "silver").drop(INGESTED_AT, TRANSFORMED_AT)
-
-
-def stored_revenue_by_category(spark: SparkSession, root: str) -> DataFrame:
-    return merge_revenue_by_category(read_epochs(spark, root, "gold"))
-
-
-def stored_daily_orders(spark: SparkSession, root: str) -> DataFrame:
-    return merge_daily_orders(read_epochs(spark, root, "gold"))
-
-
 def drift_alerts(
     spark: SparkSession,
     root: str,

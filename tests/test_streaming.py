@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline import daily_orders, not_null, order_suite, revenue_by_category, run_suite, to_silver, unique
+from plumbline import not_null, order_suite, run_suite, unique
 from plumbline.session import work_path
 from plumbline.schemas import TRACKED_ORDERS
 from plumbline.sources.bridge import AS_OF, BATCHES, FIRST_BATCH_DAY, dirty_orders, drifting_orders
@@ -55,53 +55,6 @@ def test_a_restart_reads_only_new_files(spark, orders):
     assert bronze.filter(F.col("ingested_at").isNull()).count() == 0
 
 
-def test_a_batch_that_broke_off_is_repeated_whole(spark, orders, monkeypatch):
-    root, real, calls = work_path(spark, "t"), mb.store_epoch, []
-
-    def breaks_once(df, root, name, epoch):
-        calls.append((name, epoch))
-        if calls.count(("silver", 1)) == 1 and name == "silver" and epoch == 1:
-            raise RuntimeError("lost")
-        return real(df, root, name, epoch)
-
-    monkeypatch.setattr(mb, "store_epoch", breaks_once)
-    for batch in (0, 1):
-        mb.land(orders.filter(F.col("batch_id") == batch), f"{root}/landing")
-        if batch == 1:
-            with pytest.raises(Exception):
-                mb.stream_medallion(arrivals(spark, root), root, as_of=AS_OF)
-        mb.stream_medallion(arrivals(spark, root), root, as_of=AS_OF)
-    assert calls.count(("bronze", 1)) == 2
-    silver = to_silver(orders.filter("batch_id < 2"), as_of=AS_OF).drop("transformed_at")
-    assert rows(mb.stored_silver(spark, root), "epoch") == rows(silver)
-    assert rows(mb.stored_revenue_by_category(spark, root)) == rows(revenue_by_category(silver))
-
-
-def test_layers_equal_the_batch_layers(spark, orders):
-    root = work_path(spark, "t")
-    for batch in range(BATCHES):
-        mb.land(orders.filter(F.col("batch_id") == batch), f"{root}/landing")
-        mb.stream_medallion(arrivals(spark, root), root, as_of=AS_OF)
-    silver = to_silver(orders, as_of=AS_OF).drop("transformed_at")
-    assert rows(mb.stored_silver(spark, root), "epoch") == rows(silver)
-    assert rows(mb.stored_revenue_by_category(spark, root)) == rows(revenue_by_category(silver))
-    assert rows(mb.stored_daily_orders(spark, root)) == rows(daily_orders(silver))
-
-
-def test_an_id_of_an_earlier_batch_is_a_duplicate_even_if_it_was_rejected(spark, order_rows):
-    schema = TRACKED_ORDERS
-    good, bad = order_rows({"order_id": "x"}, {"order_id": "y", "order_amount": -1.0})
-    nameless = order_rows({"order_id": None})[0]
-    first = [(1, *good, 0), (2, *bad, 0), (3, *nameless, 0)]
-    late = order_rows({"order_id": "x", "order_amount": 99.0}, {"order_id": "y", "order_amount": 99.0}, {"order_id": "z"})
-    second = [(4, *late[0], 1), (5, *late[1], 1), (6, *late[2], 1), (7, *nameless, 1)]
-    root = work_path(spark, "t")
-    for part in (first, second):
-        mb.land(spark.createDataFrame(part, schema), f"{root}/landing")
-        mb.stream_medallion(arrivals(spark, root), root)
-    assert sorted(r["src_key"] for r in mb.stored_silver(spark, root).collect()) == [1, 3, 6]
-
-
 def test_a_repeated_epoch_replaces_its_rows(spark):
     root = work_path(spark, "t")
     for n in (5, 3):
