@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from plumbline.sources.bridge import ROOT_CAUSE_ANSWER, RULE_SET_ANSWER
 
 AS_OF = "DATE '2001-12-31'"
@@ -402,6 +404,34 @@ segments AS (SELECT {group}rule_no, dimension, value, rows, failing_rows, {rate(
  FROM counted JOIN totals USING ({group}dimension, rule_no) WHERE failing_rows > 0)"""
 
 
+LATTICE_DIMENSIONS = ["product_category", "delivery_status", "order_year", "payment_method"]
+
+
+def combinations_of(source: str, failing: dict[int, str], dimensions: list[str], sizes: range, least: int, by: str = "") -> str:
+    """CTEs with failing rows per combination of dimension values, counted for every set of dimensions."""
+    group = f"{by}, " if by else ""
+    counted = []
+    for size in sizes:
+        for names in itertools.combinations(dimensions, size):
+            value = f"CAST({names[0]} AS VARCHAR)" if size == 1 else " || ' and ' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in names)
+            for n, condition in failing.items():
+                counted.append(
+                    f"SELECT {group}{n} AS rule_no, {size} AS dimensions, '{' and '.join(names)}' AS dimension, {value} AS value, "
+                    f"count(*) AS rows, count(*) FILTER (WHERE {condition}) AS failing_rows FROM {source} "
+                    f"GROUP BY {group}{', '.join(names)} HAVING count(*) FILTER (WHERE {condition}) >= {least}"
+                )
+    totals = "\nUNION ALL ".join(
+        f"SELECT {group}{n} AS rule_no, count(*) AS all_rows, count(*) FILTER (WHERE {c}) AS all_failing FROM {source} "
+        + (f"GROUP BY {by}" if by else "")
+        for n, c in failing.items()
+    )
+    joined = "\nUNION ALL ".join(counted)
+    return f"""counted AS ({joined}), totals AS ({totals}),
+combined AS (SELECT {group}rule_no, dimensions, dimension, value, rows, failing_rows, {rate('failing_rows', 'all_failing')} AS share,
+ {rounded('(CAST(failing_rows AS DOUBLE) / rows) / (CAST(all_failing AS DOUBLE) / all_rows)', 4)} AS lift
+ FROM counted JOIN totals USING ({group}rule_no))"""
+
+
 LEADING = "ORDER BY lift DESC, failing_rows DESC, dimension, value NULLS LAST"
 BATCH_SEGMENTS = (
     "marked AS (SELECT *, count(*) OVER (PARTITION BY batch_id, order_id) > 1 AS repeated FROM drifting), "
@@ -648,6 +678,14 @@ FROM suggested""",
         "failure_attribution": f"""WITH {DRIFTING}, {segments('drifting', {1: 'payment_method IS NULL'}, ['product_category', 'delivery_status', 'batch_id'])}
 SELECT dimension, value, rows, failing_rows, share, lift, CAST(row_number() OVER ({LEADING}) AS INTEGER) AS rank
 FROM segments ORDER BY rank LIMIT 10""",
+        "failure_combinations": f"""WITH {DRIFTING},
+marked AS (SELECT *, CAST(year(order_date) AS INTEGER) AS order_year, count(*) OVER (PARTITION BY batch_id, order_id) > 1 AS repeated FROM drifting),
+{combinations_of('marked', {1: 'repeated', 2: 'order_amount < 0', 3: 'payment_method IS NULL'}, LATTICE_DIMENSIONS, range(1, 5), 8, 'batch_id')}
+SELECT * FROM combined""",
+        "failure_pairs": f"""WITH {DRIFTING},
+marked AS (SELECT *, CAST(year(order_date) AS INTEGER) AS order_year FROM drifting),
+{combinations_of('marked', {1: 'order_amount < 0', 2: 'customer_age NOT BETWEEN 18 AND 100', 3: "product_category NOT IN ('Electronics', 'Clothing', 'Books', 'Food')"}, LATTICE_DIMENSIONS[:3], range(2, 3), 1)}
+SELECT * FROM combined""",
         "failure_segments_by_batch": f"""WITH {DRIFTING}, {BATCH_SEGMENTS}
 SELECT batch_id, rule_no, dimension, value, rows, failing_rows, share, lift FROM segments""",
         "root_cause_report": REPORT,

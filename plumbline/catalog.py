@@ -22,6 +22,7 @@ from .operators.faults import (
     replace_with,
     seeded_sample,
 )
+from .operators.lattice import failing_combinations
 from .operators.gold import daily_orders, revenue_by_category
 from .operators.profile import column_statistics, profile, top_values
 from .operators.silver import (
@@ -540,6 +541,31 @@ def failure_segments_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drifting_orders(spark, sf_dir).withColumn("order_year", F.year("order_date"))
+
+
+LATTICE_DIMENSIONS = ("product_category", "delivery_status", "order_year", "payment_method")
+
+
+@query()
+def failure_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of up to four dimensions in which at least eight rows fail, per batch."""
+    rules = [checks.unique("order_id"), checks.value_range("order_amount", min_value=0), checks.not_null("payment_method")]
+    return failing_combinations(
+        _dated(spark, sf_dir), rules, LATTICE_DIMENSIONS, by=["batch_id"], min_failing=8
+    )
+
+
+@query()
+def failure_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of values with a failing row, whatever the batch."""
+    found = failing_combinations(
+        _dated(spark, sf_dir), checks.order_suite()[3:6], LATTICE_DIMENSIONS[:3], max_dimensions=2
+    )
+    return found.filter("dimensions = 2")
+
+
 @query("root_cause_report")
 def root_cause_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = failure_segments_by_batch(spark, sf_dir)
