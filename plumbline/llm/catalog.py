@@ -251,19 +251,20 @@ w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
 grams AS (
  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 4) AS s(size) WHERE len(w) >= size)),
-f AS (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, size, phrase, lang || '|' || phrase AS id, count(*) AS n FROM grams GROUP BY ALL),
 total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
-cand AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+often AS MATERIALIZED (SELECT id, n FROM f WHERE n >= 10),
+cand AS MATERIALIZED (SELECT lang, size, phrase, id, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
 cuts AS (
- SELECT c.lang, c.phrase, c.size, a, k, l.n AS l, r.n AS r, (1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n))::BIGINT AS score
- FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) c
- JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
- JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.size], ' ')),
-scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ SELECT c.lang, c.phrase, c.id, a, k, l.n AS l, r.n AS r, (1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n))::BIGINT AS score
+ FROM (SELECT *, lang || '|' || array_to_string(w[1:k], ' ') AS head, lang || '|' || array_to_string(w[k + 1:size], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)) c
+ JOIN often l ON l.id = c.head JOIN often r ON r.id = c.tail),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY id ORDER BY score, k) = 1),
 inner_ AS (
- SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS around
+ SELECT lang || '|' || array_to_string(w[i:i + 1], ' ') AS id, max(a) AS around
  FROM (SELECT lang, w, a, unnest([1, 2]) AS i FROM cand WHERE size = 3) GROUP BY ALL),
-kept AS (SELECT scored.* FROM scored LEFT JOIN inner_ USING (lang, phrase) WHERE 100 * coalesce(around, 0) < 50 * a)
+kept AS (SELECT scored.* FROM scored LEFT JOIN inner_ USING (id) WHERE 100 * coalesce(around, 0) < 50 * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept JOIN total USING (lang) QUALIFY rank <= 2000"""
 

@@ -19,7 +19,7 @@ from .storage import ship_package, small_side, stored
 
 UNKNOWN = "und"
 FILTER_BITS = 25  # log2 of the bits of a phrase filter: what the driver and every worker hold
-HELD = 1 << 19  # phrases that a task merges before it hands them on
+HELD = 1 << 20  # phrases that a task merges before it hands them on
 BLOCK_BYTES = 1 << 20
 
 #: Bytes that end a piece of text, and the two that part words inside a piece.
@@ -242,9 +242,14 @@ def _shared(spark: SparkSession, passes: Sequence[Filters]) -> Iterator[Broadcas
 
 
 def count_phrases(docs: DataFrame, passes: Broadcast, longest: int, *, words: bool, sizes: Sequence[int]) -> DataFrame:
-    """Exact counts over all of ``docs`` (lang, text) of what a pass with these filters counts."""
+    """Exact counts over all of ``docs`` (lang, text) of what a pass with these filters counts.
+
+    Tasks have merged equal phrases when they hand them on, so they are dealt out as they are;
+    merging them in the JVM once more before the shuffle costs more than it saves.
+    """
     return (
         docs.mapInArrow(_counts(passes, longest, words, sizes), COUNTS)
+        .repartition("lang", "phrase")
         .groupBy("lang", "size", "phrase")
         .agg(F.sum("n").alias("n"))
     )
