@@ -252,7 +252,7 @@ def table_profile(source: str, kinds: dict[str, str]) -> str:
     return f"WITH {profile(source, kinds)}, {tops(source, 5, texts=texts)} {PROFILE_ROWS}"
 
 
-SUGGESTED = f"""{profile("{source}", ORDER_KINDS)}, {tops("{source}", 20)},
+SUGGESTED = f"""{profile("{source}", ORDER_KINDS)}, {tops("{source}", 10000)},
 listed AS (SELECT "column", string_agg(value, '|' ORDER BY value) AS accepted,
   string_agg('"' || value || '"', ',' ORDER BY value) AS accepted_json
  FROM tops WHERE value IS NOT NULL GROUP BY "column"),
@@ -270,7 +270,8 @@ candidates AS (
  FROM profile WHERE lowest IS NOT NULL
  UNION ALL
  SELECT position, 4, "column", 'accepted_values', NULL, NULL, accepted, accepted_json, NULL,
-  distinct_count || ' distinct values in ' || total_rows || ' rows' FROM profile JOIN listed USING ("column") WHERE distinct_count <= 20),
+  distinct_count || ' distinct values in ' || total_rows || ' rows' FROM profile JOIN listed USING ("column")
+ WHERE distinct_count <= 0.01 * total_rows AND distinct_count <= 10000),
 suggested AS (SELECT position, place, "column", rule_type, CAST(min_value AS DOUBLE) AS min_value, CAST(max_value AS DOUBLE) AS max_value,
  accepted, accepted_json, CAST(max_null_rate AS DOUBLE) AS max_null_rate, reasoning FROM candidates)"""
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import comparable, named, names_of
 from ..functions.numeric import rate
+from ..functions.values import listable, listed_value
 from ..schemas import CATEGORIES, DELIVERY_STATUSES, MAX_AGE, MIN_AGE, PAYMENT_METHODS
 
 # Rule types and the check name reported for each.
@@ -100,7 +101,7 @@ def problem_of(rule: Rule, schema: T.StructType) -> str | None:
     if rule.rule_type == "accepted_values":
         if rule.accepted is None or None in rule.accepted:
             return "accepted must be a list without NULL"
-        if not isinstance(kind, T.AtomicType):
+        if not listable(kind):
             return f"no list of values for type {kind.simpleString()}"
     if rule.rule_type == "value_range":
         bounds = [b for b in (rule.min_value, rule.max_value) if b is not None]
@@ -117,26 +118,10 @@ def note_on(rule: Rule, schema: T.StructType) -> str | None:
     if rule.rule_type != "accepted_values" or problem_of(rule, schema) is not None:
         return None
     kind = schema[rule.column].dataType
-    unfit = [v for v in rule.accepted if not _converts(v, kind)]
+    unfit = [v for v in rule.accepted if listed_value(v, kind) is None]
     return f"accepted value {unfit[0]!r} does not fit type {kind.simpleString()}" if unfit else None
 
 
-def _converts(value: Any, kind: T.DataType) -> bool:
-    """Whether a listed value, given as text or not, is one of the column's type."""
-    try:
-        if isinstance(kind, T.IntegralType):
-            return not isinstance(value, bool) and float(value) == int(float(value))
-        if isinstance(kind, T.NumericType):
-            return not isinstance(value, bool) and float(value) is not None
-        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return isinstance(value, dt.date) or dt.datetime.fromisoformat(value) is not None
-        if isinstance(kind, T.BooleanType):
-            return isinstance(value, bool) or str(value).lower() in ("true", "false")
-    except (TypeError, ValueError, OverflowError):
-        return False
-    return True
-
-
 def _fits(bound: Any, kind: T.DataType) -> bool:
     number = isinstance(bound, Number) and not isinstance(bound, bool)
     if isinstance(kind, T.NumericType):
@@ -163,10 +148,10 @@ def failing(rule: Rule, kind: T.DataType) -> Column:
         above = F.lit(False) if high is None else against(high) > F.lit(high)
         return below | above
     if rule.rule_type == "accepted_values":
-        fit = [F.lit(v) for v in rule.accepted if _converts(v, kind)]
+        fit = [v for v in (listed_value(v, kind) for v in rule.accepted) if v is not None]
         if rule.accepted and not fit:
             return column.isNotNull()
-        return ~column.isin([v.cast(kind) for v in fit])
+        return ~column.isin(fit)
     raise ValueError(f"{rule.rule_type} does not judge single rows")
 
 

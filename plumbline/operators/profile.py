@@ -26,7 +26,12 @@ _PARTS = {
 
 
 def profiled_columns(df: DataFrame, exclude: Sequence[str] = AUDIT_COLUMNS) -> list[str]:
-    return [f.name for f in df.schema.fields if f.name not in exclude and comparable(f.dataType)]
+    return [f.name for f in df.schema.fields if f.name not in exclude]
+
+
+def counted_columns(df: DataFrame, exclude: Sequence[str] = AUDIT_COLUMNS) -> list[str]:
+    """Profiled columns whose values can be told apart; maps and variants only have rows and nulls."""
+    return [c for c in profiled_columns(df, exclude) if comparable(df.schema[c].dataType)]
 
 
 def _text_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -56,7 +61,7 @@ def column_statistics(
             }
         if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             wanted |= {"first_day": f"min({column})", "last_day": f"max({column})"}
-        if approx_distinct:
+        if approx_distinct and comparable(kind):
             wanted["distinct_count"] = (
                 f"approx_count_distinct({column}) + coalesce(max(int({column} IS NULL)), 0)"
             )
@@ -126,7 +131,9 @@ def distinct_counts(
             SELECT count(*) AS distinct_count, coalesce(sum(rows), 0) AS rows FROM {_counts(name)}
         ) WHERE rows >= 0"""
 
-    branches = [of(name) for name in profiled_columns(df, exclude)]
+    branches = [of(name) for name in counted_columns(df, exclude)]
+    if not branches:
+        return df.sparkSession.createDataFrame([], "column string, distinct_count bigint")
     return df.sparkSession.sql("\nUNION ALL\n".join(branches), df=df)
 
 
@@ -170,7 +177,7 @@ def profile(
     # The joined sides have one row per column of the schema.
     if not approx_distinct:
         distinct = distinct_counts(df, exclude=exclude, counted=texts)
-        result = result.join(F.broadcast(distinct), "column")
+        result = result.join(F.broadcast(distinct), "column", "left")
     if texts:
         ranked = F.array_sort(F.collect_list(F.struct("rank", "value")))
         best = top_values(df, top_k, columns=texts).groupBy("column").agg(

@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import RULES
+from ..session import work_path
+from ..sources.layers import write_layer
 from .checks import Rule
-from .profile import profile
+from .profile import profile, top_values
 
-# A text column with at most this many distinct values is taken for a list.
-MAX_LISTED = 20
+# A text column is taken for a list if its distinct values are at most this share of its rows,
+LISTED_SHARE = 0.01
+# and as many as a rule, which is one row and one condition, can hold.
+MAX_LISTED = 10_000
 
 
 def _rule(rule_type: str, reasoning: Column, **parameters: Column) -> Column:
@@ -24,12 +28,18 @@ def _rule(rule_type: str, reasoning: Column, **parameters: Column) -> Column:
     return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in RULES.fields])
 
 
-def suggest_from_profile(profiled: DataFrame, *, max_listed: int = MAX_LISTED) -> DataFrame:
+def _few(distinct: Column, total: Column, share: float, most: int) -> Column:
+    return (distinct <= share * total) & (distinct <= most)
+
+
+def suggest_from_profile(
+    profiled: DataFrame, *, listed_share: float = LISTED_SHARE, max_listed: int = MAX_LISTED
+) -> DataFrame:
     """Rules that the profiled data fulfils, as rows of the rule schema.
 
-    A list of values is only proposed where the profile holds all of them and there
-    are at most ``max_listed``. All heuristics look at the same profile row, so
-    the profile is computed once.
+    A list of values is only proposed where the profile holds all of them, they are at most
+    ``listed_share`` of the rows, and no more than ``max_listed``. All heuristics look at the
+    same profile row, so the profile is computed once.
     """
     total, nulls = F.col("total_rows"), F.col("null_count")
     distinct, listed = F.col("distinct_count"), F.filter("top_values", lambda v: v.isNotNull())
@@ -60,7 +70,7 @@ def suggest_from_profile(profiled: DataFrame, *, max_listed: int = MAX_LISTED) -
             ),
         ),
         F.when(
-            complete & (distinct <= max_listed) & (F.size(listed) > 0),
+            complete & _few(distinct, total, listed_share, max_listed) & (F.size(listed) > 0),
             _rule(
                 "accepted_values",
                 F.concat(distinct.cast("string"), F.lit(" distinct values in "), count),
@@ -72,13 +82,32 @@ def suggest_from_profile(profiled: DataFrame, *, max_listed: int = MAX_LISTED) -
     return profiled.filter(total > 0).select("position", F.inline(rules))
 
 
-def suggest_rules(df: DataFrame, *, max_listed: int = MAX_LISTED) -> DataFrame:
-    """Profile a frame and suggest rules for it."""
-    return suggest_from_profile(profile(df, top_k=max_listed), max_listed=max_listed)
+def suggest_rules(df: DataFrame, *, listed_share: float = LISTED_SHARE, max_listed: int = MAX_LISTED) -> DataFrame:
+    """Profile a frame and suggest rules for it.
+
+    The profile is stored first. It tells which columns may be lists, and only their
+    values are looked up.
+    """
+    stored = write_layer(profile(df, top_k=0), work_path(df.sparkSession, "suggest-profile"))
+    few = _few(F.col("distinct_count"), F.col("total_rows"), listed_share, max_listed)
+    texts = stored.filter((F.col("data_type") == "string") & few).select("column", "distinct_count").collect()  # of the schema
+    if texts:
+        ranked = F.array_sort(F.collect_list(F.struct("rank", "value")))
+        most = max(row["distinct_count"] for row in texts)
+        values = top_values(df, most, columns=[row["column"] for row in texts]).groupBy("column").agg(
+            F.transform(ranked, lambda r: r["value"]).alias("top_values")
+        )
+        stored = stored.drop("top_values").join(values, "column", "left")
+    return suggest_from_profile(stored, listed_share=listed_share, max_listed=max_listed)
 
 
 def rules_from_frame(rules: DataFrame) -> list[Rule]:
-    """The rules of one suite, at most a handful per column, for ``run_suite``."""
+    """The rules of one suite, at most a handful per column, for ``run_suite``.
+
+    Rows with a ``problem`` (quarantined answers) are no rules and are refused.
+    """
+    if "problem" in rules.columns and not rules.filter(F.col("problem").isNotNull()).isEmpty():
+        raise ValueError("rows with a problem are no rules; keep good_rules() of them")
     return [
         Rule(
             row["rule_type"],

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 
 import pytest
 
@@ -80,6 +81,46 @@ def test_numbers_accepted_in_a_text_column(spark):
     assert outcome(df, accepted_values("t", [1, 2])) == (False, 0.5, 0.0)
 
 
+@pytest.mark.parametrize(
+    "kind,held,listed,failing,noted",
+    [
+        ("int", "1", ["1.0", "2"], 0, None),
+        ("int", "1", ["1e0"], 0, None),
+        ("int", "100", [1.0, 2.0, 1e2], 0, None),
+        ("int", "1", [1.5, "1_0", "x", True, "nan"], 1, "1.5"),
+        ("tinyint", "44", [300, 44], 0, "300"),
+        ("tinyint", "44", [300], 1, "300"),
+        ("bigint", "9223372036854775807", ["9223372036854775807"], 0, None),
+        ("bigint", "9223372036854775807", [2**63], 1, str(2**63)),
+        ("double", "15", ["1_5", "1e400", "15"], 0, "'1_5'"),
+        ("double", "0.1", [decimal.Decimal("0.1")], 0, None),
+        ("double", "'NaN'", ["nan"], 0, None),
+        ("decimal(10,2)", "1.50", [1.504, 2.5], 1, "1.504"),
+        ("decimal(10,2)", "1.50", ["1.500", 2], 0, None),
+        ("decimal(3,2)", "1.50", [10**8, "1e-999999"], 1, "100000000"),
+        ("decimal(38,0)", "10000000000000000000000000000000000001", ["10000000000000000000000000000000000001"], 0, None),
+        ("date", "'2024-01-01'", ["20240101"], 0, None),
+        ("date", "'2024-01-01'", ["2024-1-1"], 0, None),
+        ("date", "'2024-01-01'", ["2024-13-01", "soon", 5, dt.datetime(2024, 1, 1, 5)], 1, "'2024-13-01'"),
+        ("timestamp", "'2024-01-01 10:00:00'", ["2024-01-01T12:00:00+02:00"], 0, None),
+        ("timestamp_ntz", "'2024-01-01 10:00:00'", [dt.datetime(2024, 1, 1, 10)], 0, None),
+        ("timestamp_ntz", "'2024-01-01 10:00:00'", ["2024-01-01T12:00:00+02:00"], 1, "'2024-01-01T12:00:00+02:00'"),
+        ("boolean", "true", ["TRUE", "maybe"], 0, "'maybe'"),
+    ],
+)
+def test_listed_values_never_break_a_suite_nor_pass_by_rounding(spark, kind, held, listed, failing, noted):
+    df = spark.sql(f"SELECT CAST({held} AS {kind}) AS v")
+    rows = run_suite(df, [accepted_values("v", listed), not_null("v")]).orderBy("rule_no").collect()
+    assert [r["metric_value"] for r in rows] == [float(failing), 0.0] and rows[1]["success"]
+    assert rows[0]["message"] == (noted and f"accepted value {noted} does not fit type {df.schema['v'].dataType.simpleString()}")
+
+
+def test_types_without_lists_are_reported(spark):
+    df = spark.sql("SELECT interval 1 day AS i, X'00' AS x, 1 AS n")
+    rows = run_suite(df, [accepted_values("i", ["1"]), accepted_values("x", ["a"]), not_null("n")]).orderBy("rule_no").collect()
+    assert [r["success"] for r in rows] == [False, False, True] and all(r["message"] for r in rows[:2])
+
+
 def test_rules_that_do_not_fit_a_type_are_reported(spark):
     df = spark.sql("select date'2024-01-01' as d, map(1, 2) as m, 5 as n, 'a' as t, true as b")
     unfit = [value_range("d", 0), value_range("n", "a"), unique("m"), accepted_values("m", ["x"]), value_range("b", 0, 1)]

@@ -168,14 +168,20 @@ def test_report_and_prompt(drifting):
     rules = order_suite()
     results = run_suite(drifting, rules, by=["batch_id"])
     failures = failure_severity(batch_drift(results, first_day=FIRST_BATCH_DAY))
-    report = root_cause_report(failures, failing_segments(drifting, rules, DIMENSIONS[:2], by=["batch_id"]))
+    segments = failing_segments(drifting, rules, DIMENSIONS[:2], by=["batch_id"])
+    report = root_cause_report(failures, segments)
     row = report.filter("batch_id = 3 and column = 'payment_method'").collect()[0]
     assert row["explanation"].startswith("failing share of payment_method went from 1.00% to 34.00%; ")
     assert row["severity"] == "HIGH" and row["marker"] == "🔴" and 0 < row["confidence"] <= 1
     assert row["recommended_investigation"].startswith("check the load of 2001-12-30 for ")
     assert report.count() == failures.count()
     repeated = report.filter("column = 'order_id' and batch_id = 0").collect()[0]
-    assert repeated["explanation"] == "distinct share of order_id is 98.00% in the first batch"
+    own = [r for r in segments.filter("batch_id = 0 and rule_no = 2").collect()]
+    top = min(own, key=lambda r: (-r["lift"], -r["failing_rows"], r["dimension"], r["value"]))
+    assert repeated["explanation"] == (
+        "distinct share of order_id is 98.00% in the first batch; "
+        f"{top['dimension']} {top['value']} holds {100 * top['share']:.2f}% of the failing rows"
+    )
     prompt = root_cause_prompt(failures).filter("batch_id = 3 and column = 'payment_method'").collect()[0]["prompt"]
     assert '"metric":0.01' in prompt and '"metric":0.34' in prompt and "2001-12-29" in prompt
 

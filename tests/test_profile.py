@@ -75,7 +75,8 @@ def test_columns_with_odd_names_and_huge_values(spark):
 def test_nested_columns(spark):
     df = spark.sql("select array(1, 2) as a, map('k', 1) as m, struct(1 as x) as s, array(map(1, 2)) as am")
     found = by_column(profile(df))
-    assert set(found) == {"a", "s"} and found["a"]["distinct_count"] == 1
+    assert set(found) == {"a", "m", "s", "am"} and found["a"]["distinct_count"] == 1
+    assert found["m"]["distinct_count"] is None and found["am"]["null_count"] == 0
 
 
 def test_approximate_profile_is_close_and_has_no_value_shuffle(spark, sf_dir):
@@ -119,6 +120,33 @@ def test_suggested_rules_hold_on_any_table(spark, sf_dir, table):
     assert run_suite(df, rules).filter(~F.col("success")).count() == 0
 
 
+def test_a_list_is_a_share_of_the_rows(spark):
+    """21 values in 21,000 rows are a list, 25 in 25 are none; a rule's own limit is a parameter."""
+    df = spark.range(21_000).selectExpr("concat('v', id % 21) AS t", "concat('u', id) AS u")
+    rules = {(r["column"], r["rule_type"]): r for r in suggest_rules(df).collect()}
+    assert len(rules["t", "accepted_values"]["accepted"]) == 21 and ("u", "accepted_values") not in rules
+    assert suggest_rules(df, max_listed=20).filter("rule_type = 'accepted_values'").count() == 0
+    assert suggest_rules(df.limit(25)).filter("rule_type = 'accepted_values'").count() == 0
+
+
+def test_columns_that_cannot_be_compared_have_rows_and_nulls(spark):
+    df = spark.sql("SELECT * FROM VALUES (map(1, 2), 1, parse_json('1')), (NULL, 2, NULL), (map(3, 4), NULL, NULL) AS t(m, k, v)")
+    for options in ({}, {"approx_distinct": True}, {"top_k": 0}):
+        found = {r["column"]: r for r in profile(df, **options).collect()}
+        assert [(found[c]["total_rows"], found[c]["null_count"]) for c in "mkv"] == [(3, 1), (3, 1), (3, 2)]
+        assert [found[c]["distinct_count"] for c in "mkv"] == [None, 3, None]
+    only = profile(df.select("m")).collect()
+    assert [(r["column"], r["null_count"], r["distinct_count"]) for r in only] == [("m", 1, None)]
+    assert {(r["column"], r["rule_type"]) for r in suggest_rules(df).collect()} >= {("m", "null_rate"), ("v", "null_rate")}
+
+
+def test_quarantined_rows_are_no_rules(spark):
+    rules = suggest_rules(spark.range(3).toDF("n")).withColumn("problem", F.lit("not JSON"))
+    with pytest.raises(ValueError):
+        rules_from_frame(rules)
+    assert rules_from_frame(rules.withColumn("problem", F.lit(None).cast("string")))
+
+
 def test_no_rules_for_no_rows(spark):
     assert suggest_rules(spark.createDataFrame([], "x double, t string")).count() == 0
     nulls = spark.createDataFrame([(None,), (None,)], "t string")
