@@ -465,6 +465,24 @@ CAUSE_PROMPTS = f"""WITH {DRIFT} SELECT batch_id, check_name, "column",
  'Answer with one JSON object with the fields failed_check, column, explanation, confidence (0 to 1), ' ||
  'recommended_investigation and severity (HIGH, MEDIUM, LOW).' AS prompt FROM failures"""
 
+def column_drift(source: str, columns: dict[str, str], batch: str) -> str:
+    """Rows, NULL share and mean of every column and batch beside the batch before."""
+    selects = []
+    for column, kind in columns.items():
+        number = f"CAST({column} AS DOUBLE)" if kind == "number" else "CAST(NULL AS DOUBLE)"
+        selects.append(
+            f"""SELECT {batch}, '{column}' AS "column", count(*) AS rows, {rate(f"count(*) FILTER (WHERE {column} IS NULL)", "count(*)")} AS null_rate,
+ avg({number}) AS mean, stddev_pop({number}) AS spread FROM {source} GROUP BY {batch}"""
+        )
+    return f"""levels AS ({' UNION ALL '.join(selects)}),
+before AS (SELECT *, lag(rows) OVER w AS previous_rows, lag(null_rate) OVER w AS previous_null_rate,
+ lag(mean) OVER w AS previous_mean, lag(spread) OVER w AS previous_spread FROM levels
+ WINDOW w AS (PARTITION BY "column" ORDER BY {batch}))
+SELECT {batch}, "column", rows, previous_rows, null_rate, previous_null_rate, {rounded('null_rate - previous_null_rate', 4)} AS null_rate_change,
+ {rounded('mean', 2)} AS mean, {rounded('previous_mean', 2)} AS previous_mean, {rounded('(mean - previous_mean) / previous_spread', 2)} AS shift
+FROM before"""
+
+
 # --- dedup across batches: the first batch holding an id keeps it ---
 
 STRADDLING = f"""{CLEAN}, {_faulty('dirty0', "(43 * src_key) % 100 < 15")},
@@ -582,6 +600,10 @@ SELECT order_id, order_date, CAST(CAST(order_amount AS DECIMAL(18,2)) AS DOUBLE)
         "dedup_by_customer": f"""WITH {CLEAN} SELECT {TRACKED} FROM (SELECT *, row_number() OVER (
  PARTITION BY customer_id ORDER BY order_date DESC, order_amount DESC, src_key) AS rn FROM clean) WHERE rn = 1""",
         "profile_silver": f"WITH {SILVER}, {profile('silver', ORDER_KINDS)}, {tops('silver', 5)} {PROFILE_ROWS}",
+        "profile_from_snapshots": f"""WITH {SILVER}, {profile('silver', ORDER_KINDS)}
+SELECT "column", total_rows, null_count, null_rate, min, max, mean, stddev, first_day, last_day FROM profile""",
+        "distinct_from_snapshots": f"""WITH {DIRTY}, {profile('dirty', ORDER_KINDS)} SELECT "column", distinct_count, true AS within_error FROM profile""",
+        "drift_from_snapshots": f"WITH {DRIFTING}, {column_drift('drifting', ORDER_KINDS, 'batch_id')}",
         "profile_raw": f"WITH {PROFILED} {PROFILE_ROWS}",
         "profile_lineitem": table_profile("lineitem", LINE_KINDS),
         "profile_texts": table_profile("documents", DOCUMENT_KINDS),

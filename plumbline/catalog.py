@@ -24,13 +24,14 @@ from .operators.faults import (
 )
 from .operators.lattice import failing_combinations
 from .operators.gold import daily_orders, revenue_by_category
-from .operators.profile import column_statistics, profile, top_values
+from .operators.profile import column_statistics, distinct_counts, profile, top_values
 from .operators.silver import (
     deduplicate_orders,
     reject_rate,
     reject_reasons,
     to_silver,
 )
+from .operators.snapshots import merge_snapshots, profile_of_snapshot, sketch_error, snapshot, snapshot_drift
 from .operators.responses import good_rules, parse_rule_sets
 from .operators.suggest import rules_from_frame, rules_to_json, suggest_rules
 from .plans.medallion import run_medallion
@@ -282,6 +283,37 @@ def profile_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_values(_orders(spark, sf_dir), 5)
 
 
+def _snapshots(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Snapshots of the batches, each stored once."""
+    return write_layer(snapshot(df, "batch_id"), work_path(spark, "snapshots"), mode="append")
+
+
+@query()
+def profile_from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the silver layer from what its batches added, without reading it."""
+    silver = _stored_silver(spark, sf_dir).select(*ORDER_COLUMNS, "batch_id")
+    merged = merge_snapshots(_snapshots(spark, silver))
+    return profile_of_snapshot(merged).select(*[c for c in PROFILE_COLUMNS if c != "distinct_count"])
+
+
+@query()
+def distinct_from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the merged sketches are within their stated error of the exact counts."""
+    raw = write_layer(dirty_orders(spark, sf_dir).select(*ORDER_COLUMNS, "batch_id"), work_path(spark, "raw"))
+    merged = profile_of_snapshot(merge_snapshots(_snapshots(spark, raw))).withColumnRenamed("distinct_count", "sketched")
+    exact = distinct_counts(raw.drop("batch_id"))
+    off = F.abs(F.col("sketched") - F.col("distinct_count")) / F.col("distinct_count")
+    return merged.join(F.broadcast(exact), "column").select(  # one row per column
+        "column", "distinct_count", (off <= sketch_error()).alias("within_error")
+    )
+
+
+@query()
+def drift_from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of every batch beside the batch before, from snapshots only."""
+    return snapshot_drift(_snapshots(spark, drifting_orders(spark, sf_dir).select(*ORDER_COLUMNS, "batch_id")), "batch_id")
+
+
 # --- checks ---
 
 
