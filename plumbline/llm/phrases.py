@@ -9,6 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -29,6 +30,9 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09]] = True
 
 COUNTS = "lang string, size int, phrase string, n long"
+#: What tasks hand on: phrase and language in one text, parted by a mark that no phrase holds.
+KEYED = "key string, n long"
+MARK = "\n"
 
 
 class PhraseFilter:
@@ -160,40 +164,35 @@ class _Held:
     def code(self, lang: str) -> int:
         return self.langs.setdefault(lang, len(self.langs))
 
-    def add(self, size: int, hashes: np.ndarray, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    def add(self, hashes: np.ndarray, codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         order, cuts = _equal(hashes)
         first = order[cuts[:-1]]
         texts = texts_between(data, starts[first], ends[first])
-        self.parts.append((hashes[first], np.diff(cuts), codes[first], np.full(len(first), size, np.int32), texts))
+        self.parts.append((hashes[first], np.diff(cuts), codes[first], texts))
         self.rows += len(first)
 
     def drain(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        hashes, counts, codes, sizes = (np.concatenate([p[i] for p in self.parts]) for i in range(4))
-        texts = pa.chunked_array([p[4] for p in self.parts])
+        hashes, counts, codes = (np.concatenate([p[i] for p in self.parts]) for i in range(3))
+        texts = pa.chunked_array([p[3] for p in self.parts])
         self.parts, self.rows = [], 0
         # Lengths are told apart by their hashes as well: a phrase of k words hashes as k words.
         order, cuts = _equal(hashes)
         first, sums = order[cuts[:-1]], np.add.reduceat(counts[order], cuts[:-1])
-        yield self._batch(codes[first], sizes[first], texts.take(pa.array(first)).combine_chunks(), sums)
+        yield self._batch(codes[first], texts.take(pa.array(first)).combine_chunks(), sums)
 
     def totals(self) -> Iterator[pa.RecordBatch]:
         """Words per language, as phrases of no words."""
         if self.words:
             codes = np.array(list(self.words), np.int64)
-            yield self._batch(codes, np.zeros(len(codes), np.int32), pa.array([""] * len(codes), pa.large_string()), np.array(list(self.words.values()), np.int64))
+            none = pa.array([""] * len(codes), pa.large_string())
+            yield self._batch(codes, none, np.array(list(self.words.values()), np.int64))
 
-    def _batch(self, codes, sizes, texts, counts) -> pa.RecordBatch:
-        names = pa.array(list(self.langs), pa.string())
-        return pa.RecordBatch.from_pydict(
-            {
-                "lang": names.take(pa.array(codes)),
-                "size": pa.array(sizes, pa.int32()),
-                "phrase": texts.cast(pa.string()),
-                "n": pa.array(counts, pa.int64()),
-            }
-        )
+    def _batch(self, codes: np.ndarray, texts: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        names = pa.array(list(self.langs), pa.large_string())
+        keys = pc.binary_join_element_wise(texts, names.take(pa.array(codes)), pa.scalar(MARK, pa.large_string()))
+        return pa.RecordBatch.from_pydict({"key": keys.cast(pa.string()), "n": pa.array(counts, pa.int64())})
 
 
 def _counts(passes: Broadcast, longest: int, words: bool, sizes: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -221,7 +220,7 @@ def _counts(passes: Broadcast, longest: int, words: bool, sizes: Sequence[int])
                         held.words[int(c)] = held.words.get(int(c), 0) + int(n)
                 for size, first in wanted.items():
                     if size in sizes and len(first):
-                        held.add(size, pieces.hashes(first, size), code[first], block, pieces.starts[first], pieces.ends[first + size - 1])
+                        held.add(pieces.hashes(first, size), code[first], block, pieces.starts[first], pieces.ends[first + size - 1])
                 if held.rows >= HELD:
                     yield from held.drain()
         yield from held.drain()
@@ -241,17 +240,28 @@ def _shared(spark: SparkSession, passes: Sequence[Filters]) -> Iterator[Broadcas
         held.destroy()
 
 
-def count_phrases(docs: DataFrame, passes: Broadcast, longest: int, *, words: bool, sizes: Sequence[int]) -> DataFrame:
-    """Exact counts over all of ``docs`` (lang, text) of what a pass with these filters counts.
+def count_phrases(
+    docs: DataFrame, passes: Broadcast, longest: int, least: int, *, words: bool, sizes: Sequence[int]
+) -> DataFrame:
+    """Exact counts over all of ``docs`` (lang, text) of what a pass with these filters counts, from ``least`` on.
 
     Tasks have merged equal phrases when they hand them on, so they are dealt out as they are;
     merging them in the JVM once more before the shuffle costs more than it saves.
     """
-    return (
-        docs.mapInArrow(_counts(passes, longest, words, sizes), COUNTS)
-        .repartition("lang", "phrase")
-        .groupBy("lang", "size", "phrase")
+    counts = (
+        docs.mapInArrow(_counts(passes, longest, words, sizes), KEYED)
+        .repartition("key")
+        .groupBy("key")
         .agg(F.sum("n").alias("n"))
+        .filter((F.col("n") >= least) | F.col("key").startswith(MARK))
+        .withColumn("phrase", F.substring_index("key", MARK, 1))
+    )
+    blanks = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
+    return counts.select(
+        F.expr("substring(key, length(phrase) + 2)").alias("lang"),
+        F.when(F.col("phrase") == "", 0).otherwise(blanks + 1).alias("size"),
+        "phrase",
+        "n",
     )
 
 
@@ -352,14 +362,14 @@ def frequent_phrases(
     proposed: Filters = {}
     for size in range(1, longest):
         with _shared(spark, [proposed]) as shared:
-            counts = count_phrases(part, shared, size, words=size == 1, sizes=[size])
-            proposed |= phrase_filters(counts.filter((F.col("size") == size) & (F.col("n") >= lowered)), log_bits)
+            counts = count_phrases(part, shared, size, lowered, words=size == 1, sizes=[size])
+            proposed |= phrase_filters(counts.filter(F.col("size") == size), log_bits)
     passes, tables = [proposed], []
     while True:
         first = len(passes) == 1
         with _shared(spark, passes) as shared:
-            counts = count_phrases(read, shared, longest, words=first, sizes=range(1 if first else 2, longest + 1))
-            tables.append(stored(counts.filter((F.col("size") == 0) | (F.col("n") >= min_count)), "phrase-counts"))
+            sizes = range(1 if first else 2, longest + 1)
+            tables.append(stored(count_phrases(read, shared, longest, min_count, words=first, sizes=sizes), "phrase-counts"))
             known = reduce(DataFrame.union, tables)
             inner = known.filter((F.col("size") > 0) & (F.col("size") < longest))
             # A further pass looks beyond all that it counts.
