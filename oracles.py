@@ -66,6 +66,13 @@ def _silver_of(source: str) -> str:
  FROM {source} WHERE {" AND ".join(CONDITIONS.values())})"""
 
 
+def _judged(source: str, more: str = "") -> str:
+    reasons = ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN '{n}' END" for n, c in CONDITIONS.items())
+    valid = " AND ".join(f"coalesce({c}, false)" for c in CONDITIONS.values())
+    return f"""SELECT {TRACKED.replace("order_amount", f"CASE WHEN {valid} THEN CAST(CAST(order_amount AS DECIMAL(18,2)) AS DOUBLE) ELSE order_amount END AS order_amount")},
+ concat_ws('|', {reasons}) AS reasons{more} FROM {source}"""
+
+
 SILVER = f"{DIRTY},\n{UNIQUE},\n{_silver_of('deduplicated')}"
 
 MONEY = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)"
@@ -558,6 +565,7 @@ def sql() -> dict[str, str]:
         "bronze_audit_stamp": f"WITH {DIRTY} SELECT count(*) AS bronze_rows, count(*) AS stamped_rows, true AS one_stamp FROM dirty",
         "silver_dedup": f"WITH {DIRTY}, {UNIQUE} SELECT {TRACKED} FROM deduplicated",
         "silver_orders": f"WITH {SILVER} SELECT {TRACKED} FROM silver",
+        "silver_rejects": f"WITH {DIRTY}, {UNIQUE} {_judged('deduplicated')}",
         "silver_reject_rate": f"""WITH {SILVER}, counts AS (
  SELECT (SELECT count(*) FROM dirty) AS bronze_rows, (SELECT count(*) FROM silver) AS silver_rows)
 SELECT bronze_rows, silver_rows, {rate('bronze_rows - silver_rows', 'bronze_rows')} AS reject_rate FROM counts""",
@@ -736,6 +744,14 @@ FROM results GROUP BY dataset_name, batch_id""",
         "stream_gold": f"WITH {SILVER} {REVENUE}",
         "stream_daily_orders": f"WITH {SILVER} {DAILY} ORDER BY order_date",
         "stream_dedup_across_batches": f"WITH {STRADDLING} SELECT {TRACKED}, batch_id AS epoch FROM silver",
+        "stream_uniqueness": f"""WITH {STRADDLING},
+per_epoch AS (SELECT batch_id AS epoch, count(*) AS rows FROM dirty GROUP BY ALL),
+fresh AS (SELECT batch_id AS epoch, count(*) AS new_keys FROM deduplicated GROUP BY ALL)
+SELECT 'order_id' AS "column", epoch, rows, new_keys, CAST(sum(rows) OVER w AS BIGINT) AS all_rows, CAST(sum(new_keys) OVER w AS BIGINT) AS all_keys,
+ sum(rows) OVER w = sum(new_keys) OVER w AS success FROM per_epoch JOIN fresh USING (epoch) WINDOW w AS (ORDER BY epoch)""",
+        "stream_rejects": f"""WITH {STRADDLING} SELECT * FROM ({_judged('deduplicated', ', batch_id AS epoch')}) WHERE reasons <> ''""",
+        "stream_profile": f"""WITH {DIRTY}, {profile('dirty', ORDER_KINDS)}
+SELECT "column", total_rows, null_count, null_rate, min, max, mean, stddev, first_day, last_day FROM profile""",
         "stream_whole_run": f"""WITH {DRIFT},
 unique_ids AS (SELECT * EXCLUDE (rn) FROM (
  SELECT *, row_number() OVER (PARTITION BY order_id {SURVIVORS}) AS rn FROM drifting) WHERE rn = 1),

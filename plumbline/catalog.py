@@ -26,10 +26,14 @@ from .operators.lattice import failing_combinations
 from .operators.gold import daily_orders, revenue_by_category
 from .operators.profile import column_statistics, distinct_counts, profile, top_values
 from .operators.silver import (
+    accepted,
     deduplicate_orders,
+    judge_orders,
     reject_rate,
     reject_reasons,
+    rejected,
     to_silver,
+    write_verdicts,
 )
 from .operators.snapshots import merge_snapshots, profile_of_snapshot, sketch_error, snapshot, snapshot_drift
 from .operators.responses import good_rules, parse_rule_sets
@@ -133,6 +137,15 @@ def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)
 
 
+@query()
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All deduplicated orders as stored by verdict, the rejected ones with their reasons."""
+    judged = judge_orders(deduplicate_orders(dirty_orders(spark, sf_dir)), as_of=AS_OF)
+    stored = write_verdicts(judged, work_path(spark, "verdicts")).drop(TRANSFORMED_AT)
+    kept = accepted(stored).withColumn("reasons", F.lit(""))
+    return kept.unionByName(rejected(stored).withColumn("reasons", F.array_join("reasons", "|")))
+
+
 @query()
 def silver_reject_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_rate(dirty_orders(spark, sf_dir), _silver(spark, sf_dir))
@@ -705,6 +718,11 @@ def _layered_stream(spark: SparkSession, df: DataFrame, rules: Iterable[checks.R
     return root
 
 
+def _straddling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.pmod("src_key", F.lit(50)) == 49, F.pmod(F.col("batch_id") + 2, F.lit(BATCHES)))
+    return dirty_orders(spark, sf_dir).withColumn("batch_id", F.coalesce(moved, "batch_id"))
+
+
 @query()
 def stream_check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _checked_stream(spark, dirty_orders(spark, sf_dir))
@@ -732,9 +750,7 @@ def stream_daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def stream_dedup_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated ids whose copies arrive in different batches: the first batch wins."""
-    moved = F.when(F.pmod("src_key", F.lit(50)) == 49, F.pmod(F.col("batch_id") + 2, F.lit(BATCHES)))
-    straddling = dirty_orders(spark, sf_dir).withColumn("batch_id", F.coalesce(moved, "batch_id"))
-    root = _layered_stream(spark, straddling)
+    root = _layered_stream(spark, _straddling(spark, sf_dir))
     return ep.stored_silver(spark, root)
 
 
@@ -770,6 +786,28 @@ def stream_run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def stream_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key's uniqueness over all history after every epoch; ids repeat across batches."""
+    root = _layered_stream(spark, _straddling(spark, sf_dir))
+    return ep.committed(spark, root, "uniqueness")
+
+
+@query()
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _layered_stream(spark, _straddling(spark, sf_dir))
+    return ep.stored_rejects(spark, root).withColumn("reasons", F.array_join("reasons", "|"))
+
+
+@query()
+def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of all that has arrived, merged from the snapshots of the epochs."""
+    root = _layered_stream(spark, dirty_orders(spark, sf_dir))
+    merged = merge_snapshots(ep.committed(spark, root, "snapshots"))
+    shown = profile_of_snapshot(merged).filter(~F.col("column").isin("src_key", "batch_id"))
+    return shown.select(*[c for c in PROFILE_COLUMNS if c != "distinct_count"])
+
+
 @query()
 def stream_running_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per epoch as the running query reports them, and as the manifest has them."""

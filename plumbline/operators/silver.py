@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import rate
 from ..schemas import (
@@ -19,6 +20,9 @@ from ..schemas import (
 )
 from .dedup import keep_any, keep_first, total_order
 
+VERDICT, REASONS = "verdict", "reasons"
+ACCEPTED, REJECTED = "accepted", "rejected"
+
 
 def survivor_order(df: DataFrame) -> list[Column]:
     """A total order over the copies of one order, largest amount first.
@@ -90,6 +94,46 @@ def to_silver(
     return valid_orders(unique, as_of=as_of)
 
 
+def judge_orders(deduplicated: DataFrame, *, as_of: dt.date | None = None) -> DataFrame:
+    """Every deduplicated order with its ``verdict`` and the ``reasons`` it was rejected for, in the order of the conditions.
+
+    Accepted orders are those of ``valid_orders``, rounded as there; rejected ones stay as they came.
+    """
+    failed = [
+        F.when(~F.coalesce(condition, F.lit(False)), F.lit(name)) for name, condition in silver_conditions(as_of).items()
+    ]
+    judged = deduplicated.withColumn(REASONS, F.array_compact(F.array(*failed)))
+    accepted = F.size(REASONS) == 0
+    return judged.withColumns(
+        {
+            VERDICT: F.when(accepted, ACCEPTED).otherwise(REJECTED),
+            "order_amount": F.when(accepted, F.round("order_amount", 2)).otherwise(F.col("order_amount")),
+            TRANSFORMED_AT: F.current_timestamp(),
+        }
+    )
+
+
+def write_verdicts(judged: DataFrame, path: str) -> DataFrame:
+    """Store judged orders once, in a folder per verdict, and go on from the stored files.
+
+    Both outputs come from one pass; ``accepted`` and ``rejected`` read their own folder only.
+    """
+    judged.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    columns = [f for f in judged.schema.fields if f.name != VERDICT]
+    schema = T.StructType([*columns, T.StructField(VERDICT, T.StringType())])
+    return judged.sparkSession.read.schema(schema).parquet(path)
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """The silver layer of judged orders."""
+    return judged.filter(F.col(VERDICT) == ACCEPTED).drop(VERDICT, REASONS)
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    """The rejected orders, each with its reasons."""
+    return judged.filter(F.col(VERDICT) == REJECTED).drop(VERDICT)
+
+
 def reject_rate(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Row counts of both layers and the rejected share, as one row."""
     counts = bronze.agg(F.count("*").alias("bronze_rows"), F.lit(0).cast("bigint").alias("silver_rows"))

@@ -25,7 +25,8 @@ from ..operators.checks import Rule, run_suite
 from ..operators.drift import batch_drift, failure_severity
 from ..operators.gold import merge_daily_orders, merge_revenue_by_category, revenue_parts
 from ..operators.monitor import to_history
-from ..operators.silver import deduplicate_orders, valid_orders
+from ..operators.silver import VERDICT, accepted, deduplicate_orders, judge_orders, rejected, write_verdicts
+from ..operators.snapshots import snapshot
 from ..schemas import INGESTED_AT, TRANSFORMED_AT, struct_of
 from ..sources.layers import stamp, write_layer
 from .micro_batches import EPOCH, read_arrivals, read_epochs, store_epoch
@@ -33,6 +34,14 @@ from .micro_batches import EPOCH, read_arrivals, read_epochs, store_epoch
 GOLD_KEYS = ("product_category", "order_date")
 MANIFEST = "manifest"
 _MANIFEST = struct_of(files=T.LongType(), bronze_rows=T.LongType(), silver_rows=T.LongType())
+_UNIQUENESS = struct_of(
+    column=T.StringType(),
+    rows=T.LongType(),
+    new_keys=T.LongType(),
+    all_rows=T.LongType(),
+    all_keys=T.LongType(),
+    success=T.BooleanType(),
+)
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -133,6 +142,24 @@ def _alerts(spark: SparkSession, root: str, results: DataFrame, epoch: int, keep
     return graded.filter((F.col(EPOCH) == epoch) & F.col("severity").isin(*keep.severities)).drop(EPOCH)
 
 
+def store_verdicts(judged: DataFrame, root: str, epoch: int) -> DataFrame:
+    """Store the new rows of an epoch by verdict; a repeat replaces them."""
+    return write_verdicts(judged, f"{root}/judged/{EPOCH}={epoch}")
+
+
+def _uniqueness(spark: SparkSession, root: str, rows: int, new: int, epoch: int, keep: Keep) -> DataFrame:
+    """Rows and distinct keys of the epoch, and of all epochs up to it.
+
+    A key is counted where it is new, so the totals are those of the epoch before plus what is
+    new here: the uniqueness check over all history, from one row of it.
+    """
+    all_rows, all_keys = rows, new
+    if epoch > 0:
+        before = spark.read.schema(_UNIQUENESS).parquet(f"{root}/uniqueness/{EPOCH}={epoch - 1}").first()
+        all_rows, all_keys = before["all_rows"] + rows, before["all_keys"] + new
+    return spark.createDataFrame([(keep.key, rows, new, all_rows, all_keys, all_rows == all_keys)], _UNIQUENESS)
+
+
 def _store(spark: SparkSession, landing: Landing, root: str, touched: DataFrame, epoch: int, keep: Keep) -> None:
     """All tables of an epoch, and the manifest row that shows them."""
     # Read more than once below; a repeated epoch finds the same state and replaces it.
@@ -140,10 +167,12 @@ def _store(spark: SparkSession, landing: Landing, root: str, touched: DataFrame,
     touched = spark.read.schema(touched.schema).parquet(f"{root}/touched")
     files = [row["file"] for row in touched.filter("is_file").select("file").collect()]  # what one micro-batch takes
     bronze = store_epoch(stamp(landing.rows_of(spark, files), INGESTED_AT), root, "bronze", epoch)
-    fresh = _new_rows(bronze, touched, keep.key)
-    silver = store_epoch(valid_orders(fresh, as_of=keep.as_of), root, "silver", epoch)
+    judged = judge_orders(_new_rows(bronze, touched, keep.key), as_of=keep.as_of)
+    judged = store_verdicts(judged, root, epoch)
     # At most one row per category and day; both gold tables merge these.
-    store_epoch(revenue_parts(silver, *GOLD_KEYS), root, "gold", epoch)
+    store_epoch(revenue_parts(accepted(judged), *GOLD_KEYS), root, "gold", epoch)
+    store_epoch(_uniqueness(spark, root, bronze.count(), judged.count(), epoch, keep), root, "uniqueness", epoch)
+    store_epoch(snapshot(bronze), root, "snapshots", epoch)
     if keep.rules:
         by = [keep.batch] if keep.batch else []
         results = run_suite(bronze, keep.rules, dataset_name=keep.dataset_name, by=by)
@@ -151,23 +180,24 @@ def _store(spark: SparkSession, landing: Landing, root: str, touched: DataFrame,
         numbered = results if keep.batch else results.withColumn(EPOCH, F.lit(epoch))
         store_epoch(to_history(numbered, batch=keep.batch_column), root, "history", epoch)
         store_epoch(_alerts(spark, root, results, epoch, keep), root, "alerts", epoch)
-    counts = [(len(files), bronze.count(), silver.count())]
+    counts = [(len(files), bronze.count(), accepted(judged).count())]
     store_epoch(spark.createDataFrame(counts, _MANIFEST), root, MANIFEST, epoch)
 
 
 def start_run(spark: SparkSession, landing: Landing, root: str, keep: Keep = Keep(), *, every: str | None = None) -> StreamingQuery:
     """Keep layers, check results, history and alerts below ``root`` up to date with the arriving files.
 
-    Per epoch: ``bronze`` (the rows with their time of arrival), ``silver`` (the valid ones of the
-    rows whose key is new, whether an earlier copy was valid or not), ``gold`` (mergeable
-    parts), and with rules ``results``, ``history`` and ``alerts``. ``manifest`` gets a row
+    Per epoch: ``bronze`` (the rows with their time of arrival), ``judged`` (of the rows whose key is
+    new, whether an earlier copy was valid or not, the valid ones and, apart, the rejected ones with their
+    reasons), ``gold`` (mergeable parts), ``uniqueness`` (of the key over all history), ``snapshots`` (a
+    mergeable profile), and with rules ``results``, ``history`` and ``alerts``. ``manifest`` gets a row
     when all of them are written; readers (``committed``) show an epoch only then.
     An epoch that broke off is repeated from the same files and the same state, and replaces what it
     had written.
 
     Whether a key is new is read from the query's own keyed state, which holds one count per key
     in RocksDB and is looked up for the keys of the epoch only. No table of an earlier epoch is
-    read, but for the results just before. ``every`` (``"1 minute"``) keeps the query
+    read, but for the results and the totals just before. ``every`` (``"1 minute"``) keeps the query
     running with that trigger; without it the query takes what has arrived and ends.
     """
     write_layer(spark.createDataFrame([], _MANIFEST), f"{root}/{MANIFEST}/{EPOCH}=-1", mode="ignore")
@@ -265,7 +295,15 @@ def committed(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def stored_silver(spark: SparkSession, root: str) -> DataFrame:
-    return committed(spark, root, "silver").drop(INGESTED_AT, TRANSFORMED_AT)
+    return accepted(_judged(spark, root)).drop(INGESTED_AT, TRANSFORMED_AT)
+
+
+def stored_rejects(spark: SparkSession, root: str) -> DataFrame:
+    return rejected(_judged(spark, root)).drop(INGESTED_AT, TRANSFORMED_AT)
+
+
+def _judged(spark: SparkSession, root: str) -> DataFrame:
+    return committed(spark, root, "judged").withColumn(VERDICT, F.col(VERDICT).cast("string"))
 
 
 def stored_revenue_by_category(spark: SparkSession, root: str) -> DataFrame:
