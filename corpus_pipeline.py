@@ -21,17 +21,21 @@ from plumbline.llm.token_files import encode_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+SURE = 0.5
 WINDOW = 10
 MIX_WEIGHTS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Null texts and texts without letters go. No prediction or score rejects a text with letters."""
+    """Texts whose language cannot be told go: null, without letters, or no surer than a coin at some duel.
+
+    A score is the weakest duel won, times levels, so below ``SURE`` one of them was a draw at best.
+    """
     model = learn(docs)
     if not model.families:  # all are undetermined then, which says nothing about a text
         return docs.filter(has_letters(F.col("text")))
-    found = identify_languages(docs, model, marked=True).filter(F.col("lang_pred") == UNDETERMINED)
-    return _without(docs, found)
+    found = identify_languages(docs, model, marked=True)
+    return _without(docs, found.filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < SURE)))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import itertools
+import json
 import re
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager, contextmanager
 from urllib.parse import urlparse
 
 import numpy as np
@@ -19,7 +22,8 @@ from plumbline.session import work_path
 from .storage import ship_package
 
 BYTE_BPE = "byte_bpe_50k.json"
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 1_000_000
+IDLE_SECONDS = 1.0  # after which a worker that writes no tokens drops what it remembers
 ROWS_A_SLICE = 512
 BYTE_SPACE = "\u0120"  # how a byte-level vocabulary writes a space
 LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
@@ -162,14 +166,64 @@ def _with_care(text: str) -> list[str]:
     return [MARK + part for part in out if part]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+class _Kept:
+    """A worker's encoders, kept from task to task while token tasks follow each other.
 
+    A worker process outlives its stage, and what it remembers would lie beside the memory of all
+    later stages: it is dropped when no task has asked for it for a while.
+    """
 
-def _encoder(path: str) -> Encoder:
-    """One per worker process, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    def __init__(self):
+        self.encoders: dict[str, Encoder] = {}
+        self.users = 0
+        self.lock = threading.Lock()
+        self.timer: threading.Timer | None = None
+
+    @contextmanager
+    def encoder(self, path: str) -> Iterator[Encoder]:
+        with self.lock:
+            self.users += 1
+            if self.timer:
+                self.timer.cancel()
+            if path not in self.encoders:
+                self.encoders[path] = Encoder(path)
+            encoder = self.encoders[path]
+        try:
+            yield encoder
+        finally:
+            with self.lock:
+                self.users -= 1
+                self.timer = threading.Timer(IDLE_SECONDS, self.drop)
+                self.timer.daemon = True
+                self.timer.start()
+
+    def drop(self) -> None:
+        with self.lock:
+            if not self.users:
+                self.encoders.clear()
+
+
+_KEPT = _Kept()
+
+
+def _encoder(path: str) -> AbstractContextManager[Encoder]:
+    """The worker's encoder, held while it is used."""
+    return _KEPT.encoder(path)
+
+
+def check_tokenizer(path: str, width: int) -> None:
+    """Refuse a vocabulary whose ids do not fit ``width`` bytes, or one that is not cut into pieces at spaces."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    vocabulary = described["model"].get("vocab", {})
+    numbers = vocabulary.values() if isinstance(vocabulary, dict) else range(len(vocabulary))
+    largest = max([*numbers, *[t["id"] for t in described.get("added_tokens") or []]], default=0)
+    if largest >= 1 << 8 * width:
+        raise ValueError(f"id {largest} does not fit {width} bytes")
+    cutter = described.get("pre_tokenizer") or {}
+    kinds = {cutter.get("type"), *[c.get("type") for c in cutter.get("pretokenizers", [])]}
+    if "ByteLevel" not in kinds or described.get("normalizer"):
+        raise ValueError("only byte-level tokenizers without a normalizer cut texts at spaces")
 
 
 def _write(folder: str, path: str, end_id: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -178,10 +232,13 @@ def _write(folder: str, path: str, end_id: int, width: int) -> Callable[[Iterato
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = _encoder(path)
+        with _encoder(path) as encoder:
+            yield from written(batches, encoder, TaskContext.get().partitionId())
+
+    def written(batches, encoder, number):
         files, base = open_folder(folder)
         # A name of this attempt's own: only names in the committed manifest count.
-        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
+        name = f"part-{number:06d}-{uuid.uuid4().hex}"
         offsets, ids, valid, documents, tokens = [np.zeros(1, np.uint64)], [], [], 0, 0
         out = None
         for batch in batches:
@@ -212,7 +269,7 @@ def _write(folder: str, path: str, end_id: int, width: int) -> Callable[[Iterato
                 other.write(values.tobytes())
         yield pa.RecordBatch.from_pydict(
             {
-                "part": pa.array([TaskContext.get().partitionId()], pa.int32()),
+                "part": pa.array([number], pa.int32()),
                 "name": [name],
                 "documents": pa.array([documents], pa.int64()),
                 "tokens": pa.array([tokens], pa.int64()),
@@ -242,16 +299,19 @@ def write_tokens(
 
     Null texts are empty: they hold the end id alone. Null ids come first. Rows
     that repeat an id follow each other, ordered by text. Other columns are not
-    read. An empty table gives an empty manifest.
+    read. An empty table gives an empty manifest. A vocabulary with ids beyond ``width``
+    bytes, or one that is not byte-level, is refused.
     """
     spark = docs.sparkSession
+    tokenizer = tokenizer or tokenizer_path()
+    check_tokenizer(tokenizer, width)
     ship_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     placed = rows.repartitionByRange("id").sortWithinPartitions(F.asc_nulls_first("id"), "text")
     files, base = open_folder(folder)
     files.create_dir(f"{base}/tokens", recursive=True)
     manifest = placed.mapInArrow(
-        _write(f"{folder}/tokens", tokenizer or tokenizer_path(), end_id, width), MANIFEST
+        _write(f"{folder}/tokens", tokenizer, end_id, width), MANIFEST
     )
     manifest.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import json
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -387,3 +389,37 @@ def test_sliding_least():
     for n, width in itertools.product((0, 1, 5, 40), (1, 2, 3, 7, 8, 39, 60)):
         x = rng.integers(0, 50, n)
         assert K.sliding_least(x, width).tolist() == [min(x[i : i + width]) for i in range(n - width + 1)]
+
+
+def test_tokenizers_that_cannot_be_used_are_refused(tmp_path):
+    """Ids beyond the width, pieces that are not cut at spaces, texts that are changed first."""
+    from plumbline.llm.token_files import check_tokenizer
+
+    def described(**more):
+        base = {"model": {"vocab": {"a": 0, "b": 65536}}, "pre_tokenizer": {"type": "ByteLevel"}, "normalizer": None}
+        (tmp_path / "t.json").write_text(json.dumps(base | more))
+        return str(tmp_path / "t.json")
+
+    check_tokenizer(tokenizer_path(), 2)
+    check_tokenizer(described(), 4)
+    check_tokenizer(described(pre_tokenizer={"type": "Sequence", "pretokenizers": [{"type": "ByteLevel"}]}), 4)
+    for path, width in ((described, 2),):
+        with pytest.raises(ValueError):
+            check_tokenizer(path(), width)
+    for wrong in ({"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None}, {"normalizer": {"type": "NFC"}}, {"added_tokens": [{"id": 1 << 32}]}):
+        with pytest.raises(ValueError):
+            check_tokenizer(described(**wrong), 4)
+
+
+def test_a_worker_forgets_its_encoder_when_idle(monkeypatch):
+    from plumbline.llm import token_files
+
+    monkeypatch.setattr(token_files, "IDLE_SECONDS", 0.2)
+    kept = token_files._Kept()
+    with kept.encoder(tokenizer_path()) as first:
+        time.sleep(0.4)
+        assert kept.encoders
+    with kept.encoder(tokenizer_path()) as second:
+        assert second is first
+    time.sleep(0.6)
+    assert not kept.encoders
