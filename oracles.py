@@ -691,6 +691,9 @@ FROM ({suite('dirty', [_null_rate('payment_method', 0.2)])})""",
         + f""" UNION ALL SELECT 'repeated_id', count(*) - count(DISTINCT order_id), count(*),
  {rate('count(*) - count(DISTINCT order_id)', 'count(*)')} FROM dirty""",
         "seeded_sample": f"WITH {CLEAN} SELECT {TRACKED} FROM clean WHERE CAST('0x' || substr(md5(concat(src_key, ':42')), 1, 8) AS BIGINT) % 10000 < 1500",
+        "exact_sample": f"""WITH {CLEAN}, placed AS (
+ SELECT *, row_number() OVER (ORDER BY md5(concat(src_key, ':42'))) AS place, count(*) OVER () AS total FROM clean)
+SELECT {TRACKED} FROM placed WHERE place <= floor(total * 125 / 1000.0 + 0.5)""",
         "suggest_rules": f"""WITH {DIRTY}, {suggested('dirty')}
 SELECT position, "column", rule_type, min_value, max_value, accepted, max_null_rate, reasoning FROM suggested""",
         "rules_to_json": f"""WITH {DIRTY}, {suggested('dirty')} SELECT 'orders' AS dataset_name,

@@ -25,6 +25,7 @@ from .operators.faults import (
 from .operators.lattice import failing_combinations
 from .operators.gold import daily_orders, revenue_by_category
 from .operators.profile import column_statistics, distinct_counts, profile, top_values
+from .operators.sampling import exact_sample
 from .operators.silver import (
     accepted,
     deduplicate_orders,
@@ -482,6 +483,11 @@ def sampled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeded_sample(clean_orders(spark, sf_dir), "src_key", percent=15, seed=42)
 
 
+@query("exact_sample")
+def exactly_sampled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_sample(clean_orders(spark, sf_dir), "src_key", percent=12.5, seed=42)
+
+
 # --- rule suggestion, prompts, answers ---
 
 
