@@ -90,13 +90,51 @@ def column_statistics(
     )
 
 
-def _counts(name: str) -> str:
+# Bytes up to which a text is its own key when values are counted; longer ones go by their SHA-256.
+KEY_BYTES = 64
+# Characters at the front of a text that settle most ties between equally frequent ones.
+FRONT = 32
+
+
+def _counts(name: str, text: bool = False) -> str:
     """How often each value of one column occurs.
 
     Only this column is read. Rows are counted before the shuffle, so a value
-    held by a third of all rows is one row per task. NULL is a value.
+    held by a third of all rows is one row per task. NULL is a value. Texts are counted by a
+    short ``key``, so whole ones are not shuffled; ``place`` sorts them as far as their front does,
+    NULL last.
+    """
+    column = _plain(quoted(name))
+    if not text:
+        return f"(SELECT {column} AS value, count(*) AS rows FROM {{df}} GROUP BY ALL)"
+    return f"""(SELECT {_key(column)} AS key, {_place(column)} AS place, count(*) AS rows FROM {{df}} GROUP BY ALL)"""
+
+
+def _key(column: str) -> str:
+    short = f"octet_length({column}) <= {KEY_BYTES}"
+    return f"CASE WHEN {short} THEN concat('v', {column}) WHEN {column} IS NOT NULL THEN concat('d', sha2({column}, 256)) END"
+
+
+def _place(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '1' ELSE concat('0', left({column}, {FRONT})) END"
+
+
+def _best(name: str, k: int) -> str:
+    """The ``k`` most frequent values of a text column, and how often they occur.
+
+    The worst of the first ``k`` by number and front says which keys can be among them: those
+    before it, and those that tie with it in both. Whole texts are looked up for these alone, where the key
+    is not the text itself.
     """
-    return f"(SELECT {_plain(quoted(name))} AS value, count(*) AS rows FROM {{df}} GROUP BY ALL)"
+    column, counts = _plain(quoted(name)), _counts(name, text=True)
+    worst = f"(SELECT max(struct(-rows AS fewer, place)) FROM (SELECT * FROM {counts} ORDER BY rows DESC, place LIMIT {int(k)}))"
+    near = f"(SELECT key, rows FROM {counts} WHERE struct(-rows AS fewer, place) <= {worst})"
+    long = f"(SELECT {column} AS value, {_key(column)} AS key FROM {{df}} WHERE octet_length({column}) > {KEY_BYTES})"
+    return f"""SELECT value, rows FROM (
+        SELECT substring(key, 2) AS value, rows FROM {near} WHERE key IS NULL OR startswith(key, 'v')
+        UNION ALL
+        SELECT min(value) AS value, max(rows) AS rows FROM {long} JOIN {near} USING (key) GROUP BY key
+    ) ORDER BY rows DESC, value NULLS LAST LIMIT {int(k)}"""
 
 
 def _plain(text: str) -> str:
@@ -128,7 +166,7 @@ def distinct_counts(
             return f"SELECT {_label(name)}, count(*) AS distinct_count FROM {distinct}"
         # Summing the rows keeps them in the plan, as the top values need them.
         return f"""SELECT {_label(name)}, distinct_count FROM (
-            SELECT count(*) AS distinct_count, coalesce(sum(rows), 0) AS rows FROM {_counts(name)}
+            SELECT count(*) AS distinct_count, coalesce(sum(rows), 0) AS rows FROM {_counts(name, text=True)}
         ) WHERE rows >= 0"""
 
     branches = [of(name) for name in counted_columns(df, exclude)]
@@ -141,16 +179,15 @@ def top_values(df: DataFrame, k: int = 5, *, columns: Sequence[str] | None = Non
     """The ``k`` most frequent values of each text column: ``column, rank, value, rows``.
 
     Equally frequent values are ranked in value order, NULL last. Every task
-    keeps its best ``k`` values in a heap; only these are brought together.
+    keeps its best ``k`` keys in a heap; only these are brought together, and long texts
+    are looked up for the keys that come into question.
     """
     names = _text_columns(df, profiled_columns(df)) if columns is None else columns
     if not names:
         empty = "column string, rank int, value string, rows bigint"
         return df.sparkSession.createDataFrame([], empty)
     branches = [
-        f"""(SELECT {_label(name)}, CAST(value AS STRING) AS value, rows FROM {_counts(name)}
-            ORDER BY rows DESC, value NULLS LAST LIMIT {int(k)})"""
-        for name in names
+        f"(SELECT {_label(name)}, value, rows FROM ({_best(name, k)}))" for name in names
     ]
     # At most k rows per column are left to be ranked.
     best = "\nUNION ALL\n".join(branches)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import collections
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +122,28 @@ def test_suggested_rules_hold_on_any_table(spark, sf_dir, table):
     assert run_suite(df, rules).filter(~F.col("success")).count() == 0
 
 
+@pytest.mark.parametrize("k", [1, 3, 8, 40])
+def test_top_values_of_long_texts(spark, k):
+    """Long and short texts, equal fronts, ties at the last place, NULL, empty: as counting whole texts gives."""
+    front = "the same front of many texts, longer than sixty-four bytes in all of them "
+    values = [front + str(i % 9) for i in range(60)] + [front] * 7 + [None] * 7 + [""] * 7 + ["é" * 40] * 7
+    values += ["short"] * 7 + [f"u{i}" for i in range(30)] + [front + "x" * 2000] * 25 + ["v" * 64] * 7 + ["d" * 65] * 7
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    counted = collections.Counter(values)
+    best = sorted(counted.items(), key=lambda x: (-x[1], x[0] is None, (x[0] or "").encode()))[:k]
+    found = top_values(df, k).orderBy("rank").collect()
+    assert [(r["value"], r["rows"]) for r in found] == best
+    whole = profile(df, top_k=k).collect()[0]
+    assert list(whole["top_values"]) == [v for v, _ in best] and whole["distinct_count"] == len(counted)
+
+
+def test_whole_texts_are_no_shuffle_key(spark, sf_dir):
+    df = top_values(read_table(spark, sf_dir, "documents").select("text"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\((text|value)#", plan) and "hashpartitioning(key#" in plan
+
+
 def test_a_list_is_a_share_of_the_rows(spark):
     """21 values in 21,000 rows are a list, 25 in 25 are none; a rule's own limit is a parameter."""
     df = spark.range(21_000).selectExpr("concat('v', id % 21) AS t", "concat('u', id) AS u")
