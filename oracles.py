@@ -674,6 +674,15 @@ FROM ({suite('dirty', [_null_rate('payment_method', 0.2)])})""",
             "events",
             by="day",
         ),
+        "schema_drift": f"""WITH {DIRTY}, counts AS (SELECT batch_id AS batch, count(*) AS rows FROM dirty GROUP BY ALL),
+changes(batch, version, "column", change, from_type, to_type) AS (VALUES
+ (1::BIGINT, 2::BIGINT, 'coupon', 'appeared', NULL, 'string'),
+ (3, 3, 'coupon', 'vanished', 'string', NULL), (3, 3, 'delivery_status', 'vanished', 'string', NULL),
+ (3, 3, 'order_amount', 'retyped', 'double', 'string'), (3, 3, 'customer_age', 'retyped', 'int', 'bigint'),
+ (4, 4, 'delivery_status', 'appeared', NULL, 'string'), (4, 4, 'order_amount', 'retyped', 'string', 'double'),
+ (4, 4, 'customer_age', 'retyped', 'bigint', 'int'), (4, 4, 'order_id', 'moved', 'string', 'string'),
+ (4, 4, 'customer_id', 'moved', 'string', 'string'))
+SELECT batch, version, rows, "column", change, from_type, to_type FROM changes JOIN counts USING (batch)""",
         "check_schema_contract": f"WITH {DIRTY} {CONTRACT}",
         "inject_faults": f"""WITH {CLEAN} SELECT src_key,
  CASE WHEN src_key % 50 = 49 THEN CAST(src_key - 1 AS VARCHAR) ELSE order_id END AS order_id, customer_id,

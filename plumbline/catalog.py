@@ -26,6 +26,7 @@ from .operators.lattice import failing_combinations
 from .operators.gold import daily_orders, revenue_by_category
 from .operators.profile import column_statistics, distinct_counts, profile, top_values
 from .operators.sampling import exact_sample
+from .operators.schema_history import read_schema_snapshots, schema_changes, write_schema_snapshot
 from .operators.silver import (
     accepted,
     deduplicate_orders,
@@ -458,6 +459,28 @@ def check_schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check_schema(sent, ORDERS)
 
 
+@query()
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches in which a column appears, vanishes, comes back, moves and changes its type."""
+    root, orders = work_path(spark, "schema-drift"), _orders_by_batch(spark, sf_dir)
+    amount = F.col("order_amount").cast("decimal(18,2)").cast("string")
+    sent = [
+        orders[0],
+        orders[1].withColumn("coupon", F.lit("none")),
+        orders[2].withColumn("coupon", F.lit("none")),
+        orders[3].drop("delivery_status").withColumns({"order_amount": amount, "customer_age": F.col("customer_age").cast("bigint")}),
+        orders[4].select("customer_id", *[c for c in ORDER_COLUMNS if c != "customer_id"]),
+    ]
+    for batch, df in enumerate(sent):
+        write_schema_snapshot(write_layer(df, f"{root}/sent-{batch}"), batch, f"{root}/schemas")
+    return schema_changes(read_schema_snapshots(spark, f"{root}/schemas"))
+
+
+def _orders_by_batch(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    dirty = dirty_orders(spark, sf_dir)
+    return [dirty.filter(F.col("batch_id") == b).select(*ORDER_COLUMNS) for b in range(BATCHES)]
+
+
 # --- faults ---
 
 
