@@ -736,14 +736,16 @@ def _landed(spark: SparkSession, df: DataFrame, root: str) -> ep.Landing:
     return landing
 
 
-def _keep(rules: Iterable[checks.Rule] = ()) -> ep.Keep:
-    return ep.Keep(tuple(rules), as_of=AS_OF, dataset_name=DATASET, batch="batch_id", first_day=FIRST_BATCH_DAY)
+def _keep(rules: Iterable[checks.Rule] = (), profiled: bool = False) -> ep.Keep:
+    return ep.Keep(
+        tuple(rules), as_of=AS_OF, dataset_name=DATASET, batch="batch_id", first_day=FIRST_BATCH_DAY, profiled=profiled
+    )
 
 
-def _layered_stream(spark: SparkSession, df: DataFrame, rules: Iterable[checks.Rule] = ()) -> str:
+def _layered_stream(spark: SparkSession, df: DataFrame, **kept) -> str:
     """One run over five micro-batches."""
     root = work_path(spark, "stream-layers")
-    ep.run_available(spark, _landed(spark, df, root), root, _keep(rules))
+    ep.run_available(spark, _landed(spark, df, root), root, _keep(**kept))
     return root
 
 
@@ -786,7 +788,7 @@ def stream_dedup_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def stream_whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What one run keeps per epoch: rows of the layers, revenue, checks of the history, alerts."""
-    root = _layered_stream(spark, drifting_orders(spark, sf_dir), checks.order_suite())
+    root = _layered_stream(spark, drifting_orders(spark, sf_dir), rules=checks.order_suite())
     gold = ep.committed(spark, root, "gold").groupBy(mb.EPOCH).agg(
         (F.sum("cents").cast("decimal(38,0)").cast("double") / 100).alias("revenue")
     )
@@ -803,13 +805,13 @@ def stream_whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def stream_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _layered_stream(spark, dirty_orders(spark, sf_dir), checks.order_suite())
+    root = _layered_stream(spark, dirty_orders(spark, sf_dir), rules=checks.order_suite())
     return ep.committed(spark, root, "history").drop("timestamp")
 
 
 @query()
 def stream_run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _layered_stream(spark, drifting_orders(spark, sf_dir), checks.order_suite())
+    root = _layered_stream(spark, drifting_orders(spark, sf_dir), rules=checks.order_suite())
     return ep.committed(spark, root, "alerts").select(
         "batch_id", "rule_no", "check_name", "column", "level", "previous_level", "change", "severity"
     )
@@ -831,7 +833,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile of all that has arrived, merged from the snapshots of the epochs."""
-    root = _layered_stream(spark, dirty_orders(spark, sf_dir))
+    root = _layered_stream(spark, dirty_orders(spark, sf_dir), profiled=True)
     merged = merge_snapshots(ep.committed(spark, root, "snapshots"))
     shown = profile_of_snapshot(merged).filter(~F.col("column").isin("src_key", "batch_id"))
     return shown.select(*[c for c in PROFILE_COLUMNS if c != "distinct_count"])

@@ -12,7 +12,7 @@ import re
 import time
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +25,7 @@ from ..operators.checks import Rule, run_suite
 from ..operators.drift import batch_drift, failure_severity
 from ..operators.gold import merge_daily_orders, merge_revenue_by_category, revenue_parts
 from ..operators.monitor import to_history
-from ..operators.silver import VERDICT, accepted, deduplicate_orders, judge_orders, rejected, write_verdicts
+from ..operators.silver import ACCEPTED, VERDICT, accepted, deduplicate_orders, judge_orders, rejected, write_verdicts
 from ..operators.snapshots import snapshot
 from ..schemas import INGESTED_AT, TRANSFORMED_AT, struct_of
 from ..sources.layers import stamp, write_layer
@@ -69,7 +69,7 @@ class Landing:
 
 @dataclass(frozen=True)
 class Keep:
-    """What a run keeps per epoch: layers always, checks and alerts where rules are given.
+    """What a run keeps per epoch: layers always, checks and alerts where rules are given, snapshots if profiled.
 
     ``batch`` names the column whose values are the batches that checks are reported and
     compared by; without one an epoch is a batch. A batch arrives in one epoch.
@@ -81,7 +81,8 @@ class Keep:
     dataset_name: str = "orders"
     batch: str | None = None
     first_day: dt.date = dt.date(1970, 1, 1)
-    severities: Sequence[str] = field(default=("HIGH", "MEDIUM", "LOW"))
+    severities: Sequence[str] = ("HIGH", "MEDIUM", "LOW")
+    profiled: bool = False
 
     @property
     def batch_column(self) -> str:
@@ -171,8 +172,11 @@ def _store(spark: SparkSession, landing: Landing, root: str, touched: DataFrame,
     judged = store_verdicts(judged, root, epoch)
     # At most one row per category and day; both gold tables merge these.
     store_epoch(revenue_parts(accepted(judged), *GOLD_KEYS), root, "gold", epoch)
-    store_epoch(_uniqueness(spark, root, bronze.count(), judged.count(), epoch, keep), root, "uniqueness", epoch)
-    store_epoch(snapshot(bronze), root, "snapshots", epoch)
+    rows, by_verdict = bronze.count(), dict(judged.groupBy(VERDICT).count().collect())
+    new = sum(by_verdict.values())
+    store_epoch(_uniqueness(spark, root, rows, new, epoch, keep), root, "uniqueness", epoch)
+    if keep.profiled:
+        store_epoch(snapshot(bronze), root, "snapshots", epoch)
     if keep.rules:
         by = [keep.batch] if keep.batch else []
         results = run_suite(bronze, keep.rules, dataset_name=keep.dataset_name, by=by)
@@ -180,7 +184,7 @@ def _store(spark: SparkSession, landing: Landing, root: str, touched: DataFrame,
         numbered = results if keep.batch else results.withColumn(EPOCH, F.lit(epoch))
         store_epoch(to_history(numbered, batch=keep.batch_column), root, "history", epoch)
         store_epoch(_alerts(spark, root, results, epoch, keep), root, "alerts", epoch)
-    counts = [(len(files), bronze.count(), accepted(judged).count())]
+    counts = [(len(files), rows, by_verdict.get(ACCEPTED, 0))]
     store_epoch(spark.createDataFrame(counts, _MANIFEST), root, MANIFEST, epoch)
 
 
@@ -189,9 +193,9 @@ def start_run(spark: SparkSession, landing: Landing, root: str, keep: Keep = Kee
 
     Per epoch: ``bronze`` (the rows with their time of arrival), ``judged`` (of the rows whose key is
     new, whether an earlier copy was valid or not, the valid ones and, apart, the rejected ones with their
-    reasons), ``gold`` (mergeable parts), ``uniqueness`` (of the key over all history), ``snapshots`` (a
-    mergeable profile), and with rules ``results``, ``history`` and ``alerts``. ``manifest`` gets a row
-    when all of them are written; readers (``committed``) show an epoch only then.
+    reasons), ``gold`` (mergeable parts), ``uniqueness`` (of the key over all history), if profiled
+    ``snapshots`` (a mergeable profile), and with rules ``results``, ``history`` and ``alerts``. ``manifest``
+    gets a row when all of them are written; readers (``committed``) show an epoch only then.
     An epoch that broke off is repeated from the same files and the same state, and replaces what it
     had written.
 

@@ -25,7 +25,7 @@ def landing(root, **options):
 
 
 def keep(**options):
-    return ep.Keep(order_suite(), as_of=AS_OF, batch="batch_id", first_day=FIRST_BATCH_DAY, **options)
+    return ep.Keep(order_suite(), as_of=AS_OF, batch="batch_id", first_day=FIRST_BATCH_DAY, profiled=True, **options)
 
 
 @pytest.fixture
