@@ -716,6 +716,14 @@ FROM suggested""",
  chr(10) || 'SAMPLE ROWS' || chr(10) || (SELECT string_agg(row_json, chr(10) ORDER BY pick) FROM sample_docs) AS prompt""",
         "parse_ruleset_json": RULE_SETS,
         "parse_root_cause_json": ROOT_CAUSES,
+        "parse_rules_over_texts": """SELECT doc_id, CASE WHEN good THEN source END AS dataset_name, CASE WHEN good THEN 1 END AS rule_no,
+ CASE WHEN good THEN sha256(text) END AS reasoning_sha256, CASE WHEN good THEN sha256(text) END AS accepted_sha256,
+ CASE WHEN NOT good THEN 'not JSON' END AS problem FROM (SELECT *, doc_id % 4 < 2 AS good FROM documents)""",
+        "parse_causes_over_texts": """SELECT doc_id, CASE WHEN problem IS NULL THEN lang END AS "column",
+ CASE WHEN problem IS NULL THEN sha256(text) END AS explanation_sha256, CASE WHEN problem IS NULL THEN confidence END AS confidence,
+ CASE WHEN problem IS NULL THEN severity END AS severity, problem
+FROM (SELECT *, CASE WHEN doc_id % 4 > 1 THEN 'not JSON' WHEN confidence > 1 THEN 'confidence' WHEN severity = 'URGENT' THEN 'severity' END AS problem
+ FROM (SELECT *, CAST(n_chars % 125 AS DOUBLE) / 100 AS confidence, ['HIGH', 'MEDIUM', 'LOW', 'URGENT'][(doc_id // 4) % 4 + 1] AS severity FROM documents))""",
         "batch_drift": f"WITH {DRIFT} SELECT {result_columns} FROM drift",
         "failure_severity": f"""WITH {DRIFT} SELECT batch_id, rule_no, check_name, "column", level, change, severity, {MARKER} AS marker FROM failures""",
         "failure_attribution": f"""WITH {DRIFTING}, {segments('drifting', {1: 'payment_method IS NULL'}, ['product_category', 'delivery_status', 'batch_id'])}

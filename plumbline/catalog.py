@@ -564,6 +564,57 @@ def parsed_root_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _text_answers(documents: DataFrame, answer: Column) -> DataFrame:
+    """Answers that carry whole texts: sound, fenced, with words around them, and broken off half way."""
+    kind = F.pmod("doc_id", F.lit(4))
+    response = (
+        F.when(kind == 0, answer)
+        .when(kind == 1, F.concat(F.lit("```json\n"), answer, F.lit("\n```")))
+        .when(kind == 2, F.concat(F.lit("Here it is: "), answer))
+        .otherwise(F.expr("left(answer, length(answer) div 2)"))
+    )
+    return documents.withColumn("answer", answer).select("doc_id", response.alias("response"))
+
+
+@query()
+def parse_rules_over_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule sets written by a JSON writer around whole documents, read back."""
+    documents = read_table(spark, sf_dir, "documents")
+    listed = F.struct(F.array("lang", "text").alias("accepted"))
+    rules = F.array(
+        F.struct(F.lit("text").alias("column"), F.lit("accepted_values").alias("rule_type"), listed.alias("parameters"), F.col("text").alias("reasoning"))
+    )
+    answer = F.to_json(F.struct(F.col("source").alias("dataset_name"), rules.alias("rules"), F.col("text").alias("summary")))
+    parsed = responses.parse_rule_sets(_text_answers(documents, answer), "doc_id", "response")
+    return parsed.select(
+        "doc_id",
+        "dataset_name",
+        "rule_no",
+        F.sha2("reasoning", 256).alias("reasoning_sha256"),
+        F.sha2(F.get("accepted", 1), 256).alias("accepted_sha256"),
+        "problem",
+    )
+
+
+@query()
+def parse_causes_over_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root causes written by a JSON writer around whole documents, read back."""
+    documents = read_table(spark, sf_dir, "documents")
+    severity = F.element_at(F.array(*map(F.lit, ("HIGH", "MEDIUM", "LOW", "URGENT"))), (F.pmod(F.expr("doc_id div 4"), F.lit(4)) + 1).cast("int"))
+    answer = F.to_json(
+        F.struct(
+            F.lit("expect_not_null").alias("failed_check"),
+            F.col("lang").alias("column"),
+            F.col("text").alias("explanation"),
+            (F.pmod("n_chars", F.lit(125)) / 100).alias("confidence"),
+            F.col("source").alias("recommended_investigation"),
+            severity.alias("severity"),
+        )
+    )
+    parsed = responses.parse_root_causes(_text_answers(documents, answer), "doc_id", "response")
+    return parsed.select("doc_id", "column", F.sha2("explanation", 256).alias("explanation_sha256"), "confidence", "severity", "problem")
+
+
 # --- drift and root cause ---
 
 
