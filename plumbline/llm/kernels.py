@@ -7,14 +7,15 @@ sums, so the hash of any span is one subtraction and one multiplication.
 
 from __future__ import annotations
 
+import ctypes
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 19  # of text worked on at a time; what is held beside it is a multiple of it
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -46,6 +47,27 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give memory that is free, but still held by the allocators, back to the system."""
+    _powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same work, after which a worker keeps no free memory: workers outlive their stage beside later ones."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of fewer, to bound what a task holds."""
     for batch in batches:

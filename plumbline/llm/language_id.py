@@ -183,7 +183,7 @@ def learn(
         .dropDuplicates(["lang", "id", "mark"])
         .select("lang", "text")
     )
-    x = stored(sample.repartition(8).mapInArrow(_featured, "lang string, x binary"), "language-features")
+    x = stored(sample.repartition(8).mapInArrow(K.tidy(_featured), "lang string, x binary"), "language-features")
     languages = sorted(r.lang for r in x.select("lang").distinct().collect())  # as many as languages
     families = sorted({family_of(n) for n in languages})
     duels = []  # level, first, second, language, whether it is of the first
@@ -263,5 +263,5 @@ def identify_languages(
         has_letters(F.col(text_col)).alias("letters"),
         F.col(text_col).alias("text"),
     )
-    found = rows.mapInArrow(_predict(model), "doc_id long, mark long, held_out boolean, lang_pred string, score double")
+    found = rows.mapInArrow(K.tidy(_predict(model)), "doc_id long, mark long, held_out boolean, lang_pred string, score double")
     return found if marked else found.drop("mark")

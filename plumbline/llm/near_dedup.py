@@ -219,7 +219,7 @@ def near_duplicates(
     bits = _bit_columns(bands, rows)
     sketched = stored(
         read.mapInArrow(
-            _sketch(k, bands, rows),
+            K.tidy(_sketch(k, bands, rows)),
             "id long, mark long, n_shingles long, node long, bands array<long>, "
             + ", ".join(f"{name} long" for name in bits),
         ),
@@ -259,7 +259,7 @@ def near_duplicates(
     sets = stored(
         read.join(small_side(sources), ["id", "mark"])
         .select("node", "text")
-        .mapInArrow(_sets(k), "node long, shingles array<long>")
+        .mapInArrow(K.tidy(_sets(k)), "node long, shingles array<long>")
         .dropDuplicates(["node"]),
         "sets",
     )

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from plumbline.session import work_path
 
+from . import kernels as K
 from .storage import ship_package
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -201,6 +202,7 @@ class _Kept:
         with self.lock:
             if not self.users:
                 self.encoders.clear()
+                K.release()
 
 
 _KEPT = _Kept()
