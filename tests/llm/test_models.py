@@ -238,5 +238,16 @@ def test_stages_remove_rows_and_not_ids(spark, documents):
 
 def test_entry_lists_the_operators():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
+
+
+def test_unsure_languages_go_and_held_out_documents_stay(spark):
+    """The score rule of the language stage rejects junk of a few letters, and next to no held-out document."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = identify_languages(docs).collect()
+    held = [r for r in found if r.held_out]
+    assert held and sum(r.score < corpus_pipeline.SURE for r in held) <= 0.01 * len(held)
+    kept = corpus_pipeline.language(spark, docs, SF).select("doc_id").collect()
+    unsure = {r.doc_id for r in found if r.lang_pred == "und" or r.score < corpus_pipeline.SURE}
+    assert {r.doc_id for r in kept} == {r.doc_id for r in found} - unsure
