@@ -325,3 +325,74 @@ FROM counted"""
 @query
 def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(_table(spark, sf_dir, "documents"), k=3, bits=3)
+
+
+# XXH64 with seed 42 in 128-bit arithmetic. Fixed values of the hash function.
+_P1, _P2, _P3 = 11400714785074694791, 14029467366897019727, 1609587929392839161
+_P4, _P5, _SEED = 9650029242287828579, 2870177450012600261, 42
+_MOD = "18446744073709551616::UHUGEINT"
+
+
+def _times(value: str, factor: int) -> str:
+    return f"(({value}) * {factor}::UHUGEINT % {_MOD})"
+
+
+def _plus(value: str, more: str) -> str:
+    return f"(({value}) + {more}) % {_MOD}"
+
+
+def _turned(value: str, bits: int) -> str:
+    return f"(({value}) * {1 << bits}::UHUGEINT % {_MOD} + ({value}) // {1 << 64 - bits}::UHUGEINT)"
+
+
+def _number(at: str, size: int) -> str:
+    """The little-endian number of ``size`` bytes at byte ``at`` of the hexadecimal text ``x``."""
+    pairs = " || ".join(f"substr(x, 2 * ({at}) + {2 * i + 1}, 2)" for i in reversed(range(size)))
+    return f"CAST('0x' || {pairs} AS UBIGINT)::UHUGEINT"
+
+
+_STARTS = ", ".join(f"{x % 2**64}::UHUGEINT" for x in (_SEED + _P1 + _P2, _SEED + _P2, _SEED, _SEED - _P1))
+#: From the distinct texts ``g`` of the CTE ``s`` to ``hashed`` (g, h): stripes of 32 bytes, words of 8, of 4, bytes, final mix.
+_XXH64 = f"""lanes AS (
+ SELECT g, x, n, n // 32 AS stripes, [{_times(_number('8 * i', 8), _P2)} FOR i IN range(n // 8)] AS k
+ FROM (SELECT g, hex(encode(g)) AS x, strlen(g)::BIGINT AS n FROM (SELECT DISTINCT g FROM s))),
+striped AS (
+ SELECT *, [list_reduce(list_prepend(v0, [k[4 * t + j] FOR t IN range(stripes)]),
+  lambda v, a: {_times(_turned("(v + a) % " + _MOD, 31), _P1)}) FOR v0, j IN [{_STARTS}]] AS v FROM lanes),
+merged AS (
+ SELECT *, CASE WHEN stripes = 0 THEN {(_SEED + _P5) % 2**64}::UHUGEINT ELSE list_reduce(list_prepend(
+  ({_turned('v[1]', 1)} + {_turned('v[2]', 7)} + {_turned('v[3]', 12)} + {_turned('v[4]', 18)}) % {_MOD},
+  [{_times(_turned('a', 31), _P1)} FOR a IN [{_times('b', _P2)} FOR b IN v]]),
+  lambda h, a: {_plus(_times('xor(h, a)', _P1), f'{_P4}::UHUGEINT')}) END AS h0 FROM striped),
+worded AS (
+ SELECT g, x, n, list_reduce(list_prepend({_plus('h0', 'n::UHUGEINT')}, [{_times(_turned('a', 31), _P1)} FOR a IN k[4 * stripes + 1:]]),
+  lambda h, a: {_plus(_times(_turned('xor(h, a)', 27), _P1), f'{_P4}::UHUGEINT')}) AS h FROM merged),
+halved AS (
+ SELECT g, x, n, CASE WHEN n % 8 >= 4 THEN {_plus(_times(_turned('xor(h, four)', 23), _P2), f'{_P3}::UHUGEINT')} ELSE h END AS h
+ FROM (SELECT *, CASE WHEN n % 8 >= 4 THEN {_times(_number('8 * (n // 8)', 4), _P1)} END AS four FROM worded)),
+ended AS (
+ SELECT g, list_reduce(list_prepend(h, [{_times(_number('i', 1), _P5)} FOR i IN range(4 * (n // 4), n)]),
+  lambda h, a: {_times(_turned('xor(h, a)', 11), _P1)}) AS h FROM halved),
+mixed AS (SELECT g, {_times(f'xor(h, h // {1 << 33}::UHUGEINT)', _P2)} AS h FROM ended),
+mixed_again AS (SELECT g, {_times(f'xor(h, h // {1 << 29}::UHUGEINT)', _P3)} AS h FROM mixed),
+hashed AS MATERIALIZED (SELECT g, xor(h, h // {1 << 32}::UHUGEINT)::UBIGINT AS h FROM mixed_again)"""
+
+_SET_BITS = ", ".join(f"sum((h >> {b}) & 1) AS b{b}" for b in range(64))
+_MAJORITY = " + ".join(f"CASE WHEN 2 * b{b} > n THEN {1 << b}::UBIGINT ELSE 0 END" for b in range(64))
+ORACLE["op13_simhash_dedup"] = rf"""
+WITH RECURSIVE d AS (
+ SELECT doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+ FROM documents),
+s AS MATERIALIZED (
+ SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+ FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+{_XXH64},
+counted AS (SELECT doc_id, count(*) AS n, {_SET_BITS} FROM s JOIN hashed USING (g) GROUP BY doc_id),
+prints AS MATERIALIZED (
+ SELECT doc_id, coalesce(p, 0)::UBIGINT AS p FROM d LEFT JOIN (SELECT doc_id, {_MAJORITY} AS p FROM counted) USING (doc_id)),
+nodes AS MATERIALIZED (SELECT p, min(doc_id) AS least FROM prints GROUP BY p),
+links AS MATERIALIZED (SELECT a.p AS x, b.p AS y FROM nodes a, nodes b WHERE bit_count(xor(a.p, b.p)) BETWEEN 1 AND 3),
+reached AS (SELECT p AS x, p AS y FROM nodes UNION SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+component AS (SELECT x AS p, min(least) AS component_id FROM reached JOIN nodes ON nodes.p = reached.y GROUP BY x)
+SELECT doc_id, format('{{:016x}}', p) AS fingerprint, component_id FROM prints JOIN component USING (p)"""
