@@ -674,6 +674,12 @@ FROM ({suite('dirty', [_null_rate('payment_method', 0.2)])})""",
             "events",
             by="day",
         ),
+        "check_result_times": f"""WITH {DIRTY}, {BATCH_RESULTS}
+SELECT batch_id, dataset_name, count(*) AS results, count(*) AS timed_results, true AS one_time FROM results GROUP BY ALL""",
+        "literal_rates_applied": f"""WITH {CLEAN}, rates(product_category, percent) AS (VALUES ('Electronics', 18), ('Clothing', 5), ('Books', NULL))
+SELECT product_category, count(*) AS orders, max(percent) AS percent,
+ CAST(sum(CAST(order_amount AS DECIMAL(18,2)) * coalesce(percent, 0)) AS DOUBLE) AS percents_due
+FROM clean LEFT JOIN rates USING (product_category) GROUP BY ALL""",
         "schema_drift": f"""WITH {DIRTY}, counts AS (SELECT batch_id AS batch, count(*) AS rows FROM dirty GROUP BY ALL),
 changes(batch, version, "column", change, from_type, to_type) AS (VALUES
  (1::BIGINT, 2::BIGINT, 'coupon', 'appeared', NULL, 'string'),

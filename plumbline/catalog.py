@@ -69,6 +69,7 @@ QUERIES: dict[str, Query] = {}
 DATASET = "orders"
 SAMPLES = 20
 DIMENSIONS = ("product_category", "delivery_status", "batch_id")
+CATEGORY_RATES = [("Electronics", 18), ("Clothing", 5), ("Books", None)]
 ORDER_COLUMNS = [f.name for f in ORDERS.fields]
 
 
@@ -432,6 +433,32 @@ def check_suite_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_results(dirty_orders(spark, sf_dir)).drop("checked_at")
 
 
+@query()
+def check_result_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every result carries the time of its run, one for all of them."""
+    results = _batch_results(dirty_orders(spark, sf_dir))
+    newest = results.agg(F.max("checked_at").alias("newest"))  # one row
+    first, last = F.min("checked_at"), F.max("checked_at")
+    timed = results.groupBy("batch_id", "dataset_name").agg(
+        F.count("*").alias("results"),
+        F.count("checked_at").alias("timed_results"),
+        (first == last).alias("one_time"),
+        last.alias("at"),
+    )
+    return timed.join(F.broadcast(newest), F.col("at") == F.col("newest")).drop("at", "newest")
+
+
+@query()
+def literal_rates_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows given in the program as a table, joined with the orders they describe."""
+    rates = spark.createDataFrame(CATEGORY_RATES, "product_category string, percent int")
+    amounts = clean_orders(spark, sf_dir).join(F.broadcast(rates), "product_category", "left")  # a row per category
+    cents = F.col("order_amount").cast("decimal(18,2)") * F.coalesce("percent", F.lit(0))
+    return amounts.groupBy("product_category").agg(
+        F.count("*").alias("orders"), F.max("percent").alias("percent"), F.sum(cents).cast("double").alias("percents_due")
+    )
+
+
 @query()
 def check_events_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
