@@ -14,11 +14,18 @@ from plumbline.session import work_path
 
 BROADCAST_BYTES = 32 << 20
 
+#: Rows that travel to a Python worker at a time, where the session leaves Spark's default of 10,000: with
+#: texts of a few kilobytes that fills tens of megabytes on both sides of the pipe, for every task.
+BATCH_ROWS = 1024
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Spark send this package to its Python workers, once per application."""
+    """Let Spark send this package to its Python workers, once per application, and texts in small batches."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         root = Path(plumbline.__file__).parent
