@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -266,7 +266,7 @@ def near_duplicates(
     compared = stored(_compared(star_pairs, sets), "star-compared")
     links = _linked(compared, percent)
     roots = connected_components(links)
-    rest = _across(members, roots, compared, nodes.select("node", *bits), percent, bands * rows)
+    rest = _across(members, roots, compared, sets, nodes.select("node", *bits), percent, bands * rows)
     more = stored(_linked(_compared(rest, sets), percent), "links-across")
     of_node = nodes.join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     if not more.isEmpty():
@@ -306,23 +306,31 @@ def _with_centres(members: DataFrame) -> DataFrame:
 
 
 def _across(
-    members: DataFrame, roots: DataFrame, compared: DataFrame, estimates: DataFrame, percent: int, bins: int
+    members: DataFrame,
+    roots: DataFrame,
+    compared: DataFrame,
+    sets: DataFrame,
+    estimates: DataFrame,
+    percent: int,
+    bins: int,
 ) -> DataFrame:
-    """Pairs of a bucket that lie in different components and that no star has compared.
-
-    Only buckets with several components are opened, and only nodes outside their
-    largest component meet the others. What two nodes share is at most what both share with
-    the centre, plus what both have beside it; pairs that this rules out are left out. So are
-    pairs whose similarity, estimated from the bits kept of all bins, lies more than DEVIATIONS
-    standard deviations below the threshold (a chance of about 1e-9 for a pair at the threshold).
+    """Pairs of a bucket that lie in different components, that no star has compared, and that may be linked.
+
+    Only buckets with several components are opened. Two nodes share at most what both share with the
+    centre, plus what both have beside it. So they are linked only if what they share with the centre is
+    enough by itself, which few nodes' sizes allow without a link to the centre, or if they have a shingle
+    in common that the centre lacks: these meet at that shingle. Near copies that each differ from
+    the centre in their own way meet nowhere, however many they are. Pairs whose similarity, estimated
+    from the bits kept of all bins, lies more than DEVIATIONS standard deviations below the threshold (a
+    chance of about 1e-9 for a pair at the threshold) are left out as well.
     """
-    bits = [c for c in estimates.columns if c != "node"]
     known = compared.select(F.col("a").alias("centre"), F.col("b").alias("node"), "shared")
     placed = (
         members.join(roots, "node", "left")
         .join(known, ["centre", "node"], "left")
         .select(
             "band",
+            "centre",
             "node",
             "n",
             F.coalesce("root", "node").alias("root"),
@@ -338,33 +346,67 @@ def _across(
         .filter("components > 1")
         .select("band", F.col("top.root").alias("main"))
     )
-    opened = placed.join(largest, "band").join(estimates, "node")
+    opened = stored(placed.join(largest, "band"), "buckets-opened")
+    # Nodes that do not fit the centre in size have not met it yet.
+    unmet = opened.filter("inside IS NULL").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    met = _compared(unmet, sets).select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("shared").alias("met"))
+    opened = opened.join(stored(met, "centres-met"), ["centre", "node"], "left").withColumn(
+        "inside", F.coalesce("inside", "met")
+    )
+    opened = stored(opened.drop("met"), "buckets-met")
+    share = F.least("inside_x", "inside_y")
+    beside = F.least(F.col("n_x") - F.col("inside_x"), F.col("n_y") - F.col("inside_y"))
 
-    def side(x: str) -> DataFrame:
-        return opened.select("band", "main", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "root", "inside", *bits)])
+    def enough(most: Column) -> Column:
+        return 100 * most >= percent * (F.col("n_x") + F.col("n_y") - most)
 
-    share = F.least("inside_x", "inside_y") + F.least(
-        F.col("n_x") - F.col("inside_x"), F.col("n_y") - F.col("inside_y")
-    )
-    # least() skips nulls, so an unknown share with the centre must not count as one.
-    most = F.when(F.col("inside_x").isNull() | F.col("inside_y").isNull(), F.least("n_x", "n_y")).otherwise(share)
-    outside = side("x").filter("root_x != main").drop("main")
-    possible = 100 * most >= percent * (F.col("n_x") + F.col("n_y") - most)
-    unlike = F.lit(0)
-    for b in bits:
-        unlike = unlike + F.bit_count(F.col(f"{b}_x").bitwiseXOR(F.col(f"{b}_y")))
-    # Bits of unequal bins differ in half of the cases.
-    estimate = 1 - 2 * unlike / (bins * BITS)
-    level = percent / 100
-    spread = F.sqrt(level * (1 - level) / F.least(F.lit(bins), "n_x", "n_y") + (1 - level) / (bins * BITS))
-    likely = estimate >= level - DEVIATIONS * spread
-    # Of two nodes outside the main component, one order is enough.
+    def side(rows: DataFrame, x: str, at: list[str]) -> DataFrame:
+        return rows.select(*at, *[F.col(c).alias(f"{c}_{x}") for c in rows.columns if c not in at])
+
+    # What is shared with the centre can only be enough for a node that has most of its set there.
+    mostly = opened.filter(100 * F.col("inside") >= percent * F.col("n")).drop("centre")
+    at = ["band", "main"]
     once = (F.col("root_y") == F.col("main")) | (F.col("node_x") < F.col("node_y"))
+    through_centre = (
+        side(mostly.filter("root != main"), "x", at)
+        .join(side(mostly, "y", at), at)
+        .filter((F.col("root_x") != F.col("root_y")) & once & enough(share))
+    )
+    star = opened.select("centre", "node", "n", "root", "inside").distinct().filter("inside < n")
+    of_centre = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("of_centre"))
+    own = (
+        star.join(sets, "node")
+        .join(of_centre, "centre")
+        .withColumn("shingle", F.explode(F.array_except("shingles", "of_centre")))
+        .drop("shingles", "of_centre")
+    )
+    own = stored(own, "shingles-beside-centres")
+    at = ["centre", "shingle"]
+    beside_centre = (
+        side(own, "x", at)
+        .join(side(own, "y", at), at)
+        .filter((F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")) & enough(share + beside))
+    )
     pairs = (
-        outside.join(side("y"), "band")
-        .filter((F.col("root_x") != F.col("root_y")) & once & possible & likely)
-        .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+        through_centre.select("node_x", "n_x", "node_y", "n_y")
+        .union(beside_centre.select("node_x", "n_x", "node_y", "n_y"))
+        .select(
+            F.least("node_x", "node_y").alias("a"),
+            F.greatest("node_x", "node_y").alias("b"),
+            F.least("n_x", "n_y").alias("smaller"),
+        )
         .distinct()
     )
     tested = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs-across")
+    pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs-possible")
+    bits = [c for c in estimates.columns if c != "node"]
+    for x in "ab":
+        pairs = pairs.join(estimates.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in bits]), x)
+    unlike = F.lit(0)
+    for c in bits:
+        unlike = unlike + F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")))
+    # Bits of unequal bins differ in half of the cases.
+    estimate = 1 - 2 * unlike / (bins * BITS)
+    level = percent / 100
+    spread = F.sqrt(level * (1 - level) / F.least(F.lit(bins), "smaller") + (1 - level) / (bins * BITS))
+    return stored(pairs.filter(estimate >= level - DEVIATIONS * spread).select("a", "b"), "pairs-across")
