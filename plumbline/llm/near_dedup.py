@@ -355,7 +355,6 @@ def _across(
     )
     opened = stored(opened.drop("met"), "buckets-met")
     share = F.least("inside_x", "inside_y")
-    beside = F.least(F.col("n_x") - F.col("inside_x"), F.col("n_y") - F.col("inside_y"))
 
     def enough(most: Column) -> Column:
         return 100 * most >= percent * (F.col("n_x") + F.col("n_y") - most)
@@ -377,15 +376,18 @@ def _across(
     own = (
         star.join(sets, "node")
         .join(of_centre, "centre")
-        .withColumn("shingle", F.explode(F.array_except("shingles", "of_centre")))
-        .drop("shingles", "of_centre")
+        .withColumn("beside", F.sort_array(F.array_except("shingles", "of_centre")))
+        .select("*", F.posexplode("beside").alias("place", "shingle"))
+        # So many from here on: at the first shingle that two nodes share, they share no more than these.
+        .withColumn("after", F.size("beside") - F.col("place"))
+        .drop("shingles", "of_centre", "beside", "place")
     )
     own = stored(own, "shingles-beside-centres")
     at = ["centre", "shingle"]
     beside_centre = (
         side(own, "x", at)
         .join(side(own, "y", at), at)
-        .filter((F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")) & enough(share + beside))
+        .filter((F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")) & enough(share + F.least("after_x", "after_y")))
     )
     pairs = (
         through_centre.select("node_x", "n_x", "node_y", "n_y")
