@@ -95,6 +95,25 @@ def test_an_id_of_an_earlier_batch_is_a_duplicate_even_if_it_was_rejected(spark,
     assert (unique[-1]["all_rows"], unique[-1]["all_keys"], unique[-1]["new_keys"]) == (12, 4, 0)
 
 
+def test_new_rows_are_dealt_once(spark, order_rows):
+    """Rows, their counts and the state are shuffled by the key, none of them again for a join."""
+    some = order_rows({"order_id": "old"}, {"order_id": "new"}, {"order_id": None}, {"order_id": None})
+    bronze = spark.createDataFrame([(k, *row, 0) for k, row in enumerate(some)], TRACKED_ORDERS)
+    known = [(False, "old", None, 2), (False, "new", None, 1), (False, None, None, 2), (True, None, "f", 4)]
+    touched = spark.createDataFrame(known, "is_file boolean, key string, file string, times long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as with many keys
+    try:
+        new = ep._new_rows(bronze, touched, "order_id")
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3, plan
+        assert [r["order_id"] for r in new.collect()] == ["new"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for times, kept in ((2, ["new", None]), (3, ["new"])):
+        assert [r["order_id"] for r in ep._new_rows(bronze, touched, "order_id", times).collect()] == kept
+
+
 def test_twenty_batches_cost_the_same_each(spark, orders, monkeypatch):
     """An epoch looks up its own keys and reads its own tables and the results before, whatever is stored."""
     root, read, load = work_path(spark, "t"), [], DataFrameReader.load
