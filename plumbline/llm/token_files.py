@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 import json
-import re
 import threading
 import uuid
 from collections.abc import Callable, Iterator
@@ -25,15 +24,16 @@ from .storage import ship_package
 BYTE_BPE = "byte_bpe_50k.json"
 CACHED_WORDS = 1_000_000
 IDLE_SECONDS = 1.0  # after which a worker that writes no tokens drops what it remembers
-ROWS_A_SLICE = 512
+SLICE_BYTES = 4 << 20  # of text encoded at a time; the larger, the fewer lookups
 BYTE_SPACE = "\u0120"  # how a byte-level vocabulary writes a space
-LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-#: Here the pre-tokenizer always cuts, whatever stands around: between a letter and a stop or line
-#: end, and after a line end that no other white space precedes.
-STEM_EDGE = re.compile(
-    f"(?<=[{LETTER}])(?=[.,;:!?\n])|(?<=[.,;:!?])(?=[{LETTER}])|(?<=\\S\n)(?=[{LETTER}])"
-)
-MARK = "\ue000"  # of parts that were cut with care; texts that hold it are cut so too
+IS_LETTER = np.zeros(256, bool)  # of ASCII
+IS_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+IS_STOP = np.zeros(256, bool)
+IS_STOP[list(b".,;:!?\n")] = True
+IS_VISIBLE = np.zeros(256, bool)  # of ASCII
+IS_VISIBLE[0x21:0x7F] = True
+IS_LEAD = np.zeros(256, bool)  # first bytes of blocks without white space
+IS_LEAD[[*range(0xC3, 0xE1), *range(0xE4, 0xF5)]] = True
 MANIFEST = "part int, name string, documents long, tokens long"
 
 
@@ -55,11 +55,10 @@ def tokenizer_path(name: str = BYTE_BPE) -> str:
 class Encoder:
     """Encodes texts piece by piece and remembers the ids of pieces it has seen.
 
-    A text is cut before every space that a character other than white space
-    follows. The byte-level pre-tokenizer begins a new piece at such a space
-    whatever comes before, so the ids of the parts, one after another, are those
-    of the whole text. Parts that start with white space themselves are not such
-    places, and their text is cut more carefully.
+    Texts are cut where the byte-level pre-tokenizer begins a new piece whatever stands around
+    (``_cuts``), so the ids of the pieces, one after another, are those of the whole text. A place
+    that is not sure is no cut, and makes a longer piece. Arrow tells the distinct pieces apart;
+    each is looked up once per call and encoded once.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
@@ -78,55 +77,43 @@ class Encoder:
         self.begin = np.zeros(1 << 18, np.int64)
         self.used, self.filled = 0, 0
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of ids of each."""
         if len(self.index) > self.limit:
             self.clear()
-        cut = [_at_spaces(text) for text in texts]
-        distinct = dict.fromkeys(itertools.chain.from_iterable(cut))
-        unknown = [p for p in distinct if p not in self.index]
-        white = {p for p in unknown if p[0] == " " and (len(p) == 1 or p[1].isspace())}
-        if white:
-            cut = [parts if white.isdisjoint(parts) else _with_care(text) for text, parts in zip(texts, cut)]
-            distinct = dict.fromkeys(itertools.chain.from_iterable(cut))
-            unknown = [p for p in distinct if p not in self.index]
-        self._learn(unknown)
-        # Through the few distinct pieces of this slice: the large index is asked once for each.
-        known = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
-        number = dict(zip(distinct, range(len(distinct))))
-        counts = [len(parts) for parts in cut]
-        pieces = itertools.chain.from_iterable(cut)
-        at = known[np.fromiter(map(number.__getitem__, pieces), np.int64, sum(counts))]
-        ids, sizes = self._ids_at(at)
+        data, places = K.text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        cuts = _cuts(data, places)
+        coded = pa.LargeStringArray.from_buffers(
+            len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))
+        ).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = np.fromiter((self.index.get(p, -1) for p in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            unknown = [distinct[i] for i in new.tolist()]
+            self._learn(unknown)
+            known[new] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(new))
+        ids, sizes = self._ids_at(known[coded.indices.to_numpy()])
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        edges = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return ids, np.diff(edges)
+        return ids, np.diff(ends[np.searchsorted(cuts, places)])
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces: their stems and marks apart, then put together."""
-        cut = [[p] if p[0] == MARK or p[1:].isalpha() else STEM_EDGE.split(p) for p in pieces]
-        new = set().union(*cut).difference(self.index)
-        words = [p for p in new if p[0] == " " and len(p) > 1]
+        """Encode new pieces: words with their space many at a time, others one by one."""
+        words, others = [], []
+        for p in pieces:
+            plain = len(p) > 1 and p[0] == " " and not p[1].isspace() and p.rfind(" ") == 0
+            (words if plain else others).append(p)
         for i in range(0, len(words), 512):
             part = words[i : i + 512]
             # Each word starts with the only space in it, so ids that start with one start a word.
             ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, np.uint32)
             begin = np.flatnonzero(self.starts_with_space[ids])
             self._store(part, ids, np.diff(begin, append=len(ids)))
-        others = [p for p in new if p[0] != " " or len(p) == 1]
-        found = [
-            e.ids
-            for e in self.tokenizer.encode_batch_fast(
-                [p[1:] if p[0] == MARK else p for p in others], add_special_tokens=False
-            )
-        ]
-        self._store(others, np.array([x for ids in found for x in ids], np.uint32), np.array([len(x) for x in found], np.int64))
-        joined = [(p, c) for p, c in zip(pieces, cut) if len(c) > 1]
-        if joined:
-            at = np.array([self.index[x] for _, c in joined for x in c])
-            ids, sizes = self._ids_at(at)
-            first = np.concatenate([[0], np.cumsum([len(c) for _, c in joined])[:-1]])
-            self._store([p for p, _ in joined], ids, np.add.reduceat(sizes, first))
+        for i in range(0, len(others), 4096):
+            part = others[i : i + 4096]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+            self._store(part, flat, np.fromiter(map(len, found), np.int64, len(found)))
 
     def _store(self, pieces: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
         while self.filled + len(flat) > len(self.ids):
@@ -146,25 +133,45 @@ class Encoder:
         return self.ids[np.arange(sizes.sum()) + np.repeat(self.begin[at] - before, sizes)], sizes
 
 
-def _at_spaces(text: str) -> list[str]:
-    """The parts of a text, cut before every space."""
-    if MARK in text:
-        return _with_care(text)
-    parts = text.replace(" ", MARK + " ").split(MARK)
-    return parts if parts[0] else parts[1:]
+def _cuts(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Where pieces begin in the UTF-8 bytes of texts that begin at ``places``, and the end of all.
+
+    Every text begins a piece. Within one, the pre-tokenizer cuts, whatever stands around, before a
+    space that a character other than white space follows, between a letter and a stop or line end,
+    and between a letter and a line end before it, if a visible character precedes that.
+    """
+    size = len(data)
+    whole = np.zeros(size + 4, np.uint8)  # two bytes on either side can be looked at
+    whole[2:-2] = data
+    cut = np.zeros(size + 1, bool)
+    cut[places] = True
+    at = np.flatnonzero(data == 0x20)
+    at = at[~cut[at + 1]]  # else the text ends after the space
+    spaces = at[_visible(whole[at + 3], whole[at + 4])]
+    at = np.flatnonzero(IS_STOP[data])
+    after = _letter(whole[at + 3], whole[at + 4])
+    before = _letter_ends(whole[at], whole[at + 1])
+    visible = before | IS_VISIBLE[whole[at + 1]]
+    cut[spaces] = True
+    cut[at[before]] = True
+    cut[at[after & ((data[at] != 0x0A) | visible)] + 1] = True
+    return np.append(np.flatnonzero(cut[:size]), size).astype(np.int64)
+
+
+def _letter(byte: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Whether a letter of ASCII or Latin-1 begins with the byte."""
+    return IS_LETTER[byte] | (byte == 0xC3) & (following != 0x97) & (following != 0xB7)
+
+
+def _letter_ends(preceding: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """Whether a letter of ASCII or Latin-1 ends with the byte."""
+    return IS_LETTER[byte] | (preceding == 0xC3) & (byte != 0x97) & (byte != 0xB7)
 
 
-def _with_care(text: str) -> list[str]:
-    """Cut only before spaces that something else than white space follows; the parts are marked."""
-    out = [""]
-    for number, part in enumerate(text.split(" ")):
-        if not number:
-            out[0] = part
-        elif not part or part[0].isspace():
-            out[-1] += " " + part
-        else:
-            out.append(" " + part)
-    return [MARK + part for part in out if part]
+def _visible(byte: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Whether a character begins with the byte that is neither white space nor a control, as far as two bytes tell."""
+    wide = (byte == 0xE1) & (following != 0x9A) | (byte == 0xE2) & (following > 0x81) | (byte == 0xE3) & (following != 0x80)
+    return IS_VISIBLE[byte] | IS_LEAD[byte] | wide
 
 
 class _Kept:
@@ -244,9 +251,9 @@ def _write(folder: str, path: str, end_id: int, width: int) -> Callable[[Iterato
         offsets, ids, valid, documents, tokens = [np.zeros(1, np.uint64)], [], [], 0, 0
         out = None
         for batch in batches:
-            for i in range(0, batch.num_rows, ROWS_A_SLICE):
-                part = batch.slice(i, ROWS_A_SLICE)
-                flat, sizes = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+            for i, j in K.blocks(K.text_bytes(batch.column("text"))[1], SLICE_BYTES):
+                part = batch.slice(i, j - i)
+                flat, sizes = encoder.encode(part.column("text"))
                 ends = np.cumsum(sizes + 1)
                 whole = np.empty(len(flat) + len(sizes), kind)
                 last = np.zeros(len(whole), bool)

@@ -311,6 +311,34 @@ def test_encoder_equals_the_tokenizer_on_whole_texts():
         assert sizes.tolist() == [len(ids) for ids in expected]
 
 
+def test_encoder_cuts_at_stops_and_wide_characters():
+    """Also where a text ends or begins at a cut, in arrays with nulls that don't begin at their first value."""
+    from tokenizers import Tokenizer
+
+    import pyarrow as pa
+
+    plain, encoder = Tokenizer.from_file(tokenizer_path()), Encoder(tokenizer_path(), limit=2000)
+    rng = random.Random(2)
+    pieces = ["ab", "Z", "é", "Ñ", "×", "÷", "ß", " ", " ", "\n", "\r", ".", ",", ":", "'", "'s", "7", "#", "\u00a0", "\u2003", "\u1680", "\u3000", "\u2014", "か", "ქ", "я", "𝒳", "\ue000", "\0", "<|endoftext|>"]
+    texts = [rng.choice([None, ""]) if rng.random() < 0.1 else "".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))) for _ in range(20000)]
+    whole = pa.array(texts, pa.string())
+    for i in range(0, len(texts), 500):
+        flat, sizes = encoder.encode(whole.slice(i, 500))
+        expected = [plain.encode(t or "", add_special_tokens=False).ids for t in texts[i : i + 500]]
+        assert flat.tolist() == [x for ids in expected for x in ids]
+        assert sizes.tolist() == [len(ids) for ids in expected]
+    for nothing in ([], ["", ""], pa.array([None], pa.string())):
+        flat, sizes = encoder.encode(nothing)
+        assert flat.tolist() == [] and sizes.tolist() == [0] * len(nothing)
+
+
+def test_encoder_remembers_words_without_what_stands_beside_them():
+    words = ["".join(w) for w in itertools.product("abc", repeat=3)]
+    encoder = Encoder(tokenizer_path())
+    encoder.encode([f"{a} {b}.\n{c}, {a}" for a, b, c in itertools.product(words, repeat=3)])
+    assert len(encoder.index) <= 3 * len(words) + 3  # with a space before, without, and the stops
+
+
 def test_token_files(spark, rows):
     from tokenizers import Tokenizer
 
