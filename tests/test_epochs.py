@@ -114,6 +114,31 @@ def test_new_rows_are_dealt_once(spark, order_rows):
         assert [r["order_id"] for r in ep._new_rows(bronze, touched, "order_id", times).collect()] == kept
 
 
+def test_a_key_is_looked_up_once_an_epoch(spark, order_rows):
+    """The state does not count its rows by a second look; the epochs count the keys."""
+    root = work_path(spark, "t")
+    for ids in (["a", "b", "b", None], ["b", "c"], ["a", "c", None]):
+        some = order_rows(*[{"order_id": i} for i in ids])
+        mb.land(spark.createDataFrame([(k, *row, 0) for k, row in enumerate(some)], TRACKED_ORDERS).coalesce(1), f"{root}/landing")
+    told = ep.run_available(spark, landing(root, files_per_batch=1), root, ep.Keep(as_of=AS_OF))
+    # A row per key, and one for the file.
+    assert [p["state_lookups"] for p in told] == [4, 3, 4]
+    assert [p["state_rows"] for p in told] == [3, 4, 4]
+    assert spark.conf.get(ep._COUNTED, None) is None
+
+
+def test_keys_that_came_once_are_not_compared(spark, order_rows):
+    """Only keys that came more than once can be old: the others are not joined with the rows."""
+    some = order_rows(*[{"order_id": i} for i in ("old", "twice", "twice", "once")])
+    bronze = spark.createDataFrame([(k, *row, 0) for k, row in enumerate(some)], TRACKED_ORDERS)
+    known = [(False, "old", None, 2), (False, "twice", None, 2), (False, "once", None, 1), (True, None, "f", 4)]
+    touched = spark.createDataFrame(known, "is_file boolean, key string, file string, times long")
+    new = ep._new_rows(bronze, touched, "order_id")
+    assert sorted(r["order_id"] for r in new.collect()) == ["once", "twice"]
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "> 1" in plan, plan
+
+
 def test_twenty_batches_cost_the_same_each(spark, orders, monkeypatch):
     """An epoch looks up its own keys and reads its own tables and the results before, whatever is stored."""
     root, read, load = work_path(spark, "t"), [], DataFrameReader.load
