@@ -58,8 +58,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of what is left, read back."""
-    return encode_documents(docs)
+    """Token files of what is left, read back; workers remember less than they could, executors are full by then."""
+    return encode_documents(docs, limit=60_000, slice_bytes=512 << 10)
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ GRAM = 5
 ITEM_BLOCK_BYTES = 16 << 20
 
 FOUND = "id long, mark long, n_words long, spans binary, items binary"
+COVERED = "doc_id long, mark long, n_words long, n_hit long, items array<string>, spans array<struct<start: int, end: int>>"
 
 
 def winnow(hashes: np.ndarray, span: int) -> np.ndarray:
@@ -153,6 +154,29 @@ def _find(items: Items) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
+def _find_and_cover(items: Items, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Both steps in one worker, for items that all are in block 0: two steps in a row take two workers a task."""
+    find, cover = _find(items), _covered([names])
+    head = (0).to_bytes(4, "little")
+
+    def listed(batches):
+        for batch in find(batches):
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "id": batch.column("id"),
+                    "mark": batch.column("mark"),
+                    "n_words": batch.column("n_words"),
+                    "spans": pa.array([[x] for x in batch.column("spans").to_pylist()], pa.list_(pa.binary())),
+                    "items": pa.array([[head + x] for x in batch.column("items").to_pylist()], pa.list_(pa.binary())),
+                }
+            )
+
+    def run(batches):
+        return cover(listed(batches))
+
+    return run
+
+
 def _covered(names: list[list[str]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Merge a document's spans and name its items; names are given by block."""
 
@@ -235,28 +259,25 @@ def decontaminate(
         part = given.filter(F.pmod(F.xxhash64("name", "text"), F.lit(count)) == block).collect()
         names.append([r.name for r in part])
         items = Items([r.text.encode() for r in part], window, gram)
-        found = rows.mapInArrow(_find(items), FOUND)
+        if count == 1:
+            covered = rows.mapInArrow(K.tidy(_find_and_cover(items, names[0])), COVERED)
+            return covered if marked else covered.drop("mark")
+        found = rows.mapInArrow(K.tidy(_find(items)), FOUND)
         head = F.lit(block.to_bytes(4, "little"))
         passes.append(
             found.select("id", "mark", "n_words", "spans", F.concat(head, F.col("items")).alias("items"))
         )
-    if count == 1:
-        merged = passes[0].withColumns({"spans": F.array("spans"), "items": F.array("items")})
-    else:
-        first, hits = passes[0], passes[0]
-        for more in passes[1:]:
-            hits = hits.unionByName(more)
-        hits = (
-            hits.filter(F.octet_length("spans") > 0)
-            .groupBy("id", "mark")
-            .agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
-        )
-        keyed = first.select("id", "mark", "n_words")
-        merged = keyed.join(hits, keyed.id.eqNullSafe(hits.id) & (keyed.mark == hits.mark), "left").select(
-            keyed.id, keyed.mark, "n_words", "spans", "items"
-        )
-    covered = merged.select("id", "mark", "n_words", "spans", "items").mapInArrow(
-        _covered(names),
-        "doc_id long, mark long, n_words long, n_hit long, items array<string>, spans array<struct<start: int, end: int>>",
+    first, hits = passes[0], passes[0]
+    for more in passes[1:]:
+        hits = hits.unionByName(more)
+    hits = (
+        hits.filter(F.octet_length("spans") > 0)
+        .groupBy("id", "mark")
+        .agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
+    )
+    keyed = first.select("id", "mark", "n_words")
+    merged = keyed.join(hits, keyed.id.eqNullSafe(hits.id) & (keyed.mark == hits.mark), "left").select(
+        keyed.id, keyed.mark, "n_words", "spans", "items"
     )
+    covered = merged.select("id", "mark", "n_words", "spans", "items").mapInArrow(K.tidy(_covered(names)), COVERED)
     return covered if marked else covered.drop("mark")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
 import threading
 import uuid
 from collections.abc import Callable, Iterator
@@ -58,10 +59,13 @@ class Encoder:
     Texts are cut where the byte-level pre-tokenizer begins a new piece whatever stands around
     (``_cuts``), so the ids of the pieces, one after another, are those of the whole text. A place
     that is not sure is no cut, and makes a longer piece. Arrow tells the distinct pieces apart;
-    each is looked up once per call and encoded once.
+    each is looked up once per call and encoded once. Beyond ``limit`` pieces those go that came in
+    one call only, which most pieces are.
     """
 
     def __init__(self, path: str, limit: int = CACHED_WORDS):
+        # Spark runs a task per core; the tokenizer's own threads would each hold memory beside it.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -75,12 +79,24 @@ class Encoder:
         self.index: dict[str, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.begin = np.zeros(1 << 18, np.int64)
+        self.calls = np.zeros(1 << 18, np.int32)  # in which a piece came
         self.used, self.filled = 0, 0
 
+    def _forget(self) -> None:
+        """Go on with the pieces that came in most calls, half as many as the limit at most."""
+        calls = self.calls[: self.used]
+        kept = np.flatnonzero(calls > 1)
+        if len(kept) > self.limit // 2:
+            kept = kept[np.argsort(-calls[kept], kind="stable")[: self.limit // 2]]
+        pieces = list(self.index)  # in the order of their numbers
+        ids, sizes = self._ids_at(kept)
+        self.clear()
+        self._store([pieces[i] for i in kept.tolist()], ids, sizes)
+
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of ids of each."""
         if len(self.index) > self.limit:
-            self.clear()
+            self._forget()
         data, places = K.text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         cuts = _cuts(data, places)
         coded = pa.LargeStringArray.from_buffers(
@@ -93,6 +109,7 @@ class Encoder:
             unknown = [distinct[i] for i in new.tolist()]
             self._learn(unknown)
             known[new] = np.fromiter(map(self.index.__getitem__, unknown), np.int64, len(new))
+        self.calls[known] += 1  # each piece once
         ids, sizes = self._ids_at(known[coded.indices.to_numpy()])
         ends = np.concatenate([[0], np.cumsum(sizes)])
         return ids, np.diff(ends[np.searchsorted(cuts, places)])
@@ -120,6 +137,7 @@ class Encoder:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.used + len(pieces) + 1 > len(self.begin):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.calls = np.concatenate([self.calls, np.zeros_like(self.calls)])
         self.ids[self.filled : self.filled + len(flat)] = flat
         self.begin[self.used + 1 : self.used + len(pieces) + 1] = self.filled + np.cumsum(sizes)
         self.index.update(zip(pieces, range(self.used, self.used + len(pieces))))
@@ -182,20 +200,20 @@ class _Kept:
     """
 
     def __init__(self):
-        self.encoders: dict[str, Encoder] = {}
+        self.encoders: dict[tuple[str, int], Encoder] = {}
         self.users = 0
         self.lock = threading.Lock()
         self.timer: threading.Timer | None = None
 
     @contextmanager
-    def encoder(self, path: str) -> Iterator[Encoder]:
+    def encoder(self, path: str, limit: int = CACHED_WORDS) -> Iterator[Encoder]:
         with self.lock:
             self.users += 1
             if self.timer:
                 self.timer.cancel()
-            if path not in self.encoders:
-                self.encoders[path] = Encoder(path)
-            encoder = self.encoders[path]
+            if (path, limit) not in self.encoders:
+                self.encoders[path, limit] = Encoder(path, limit)
+            encoder = self.encoders[path, limit]
         try:
             yield encoder
         finally:
@@ -215,9 +233,9 @@ class _Kept:
 _KEPT = _Kept()
 
 
-def _encoder(path: str) -> AbstractContextManager[Encoder]:
+def _encoder(path: str, limit: int = CACHED_WORDS) -> AbstractContextManager[Encoder]:
     """The worker's encoder, held while it is used."""
-    return _KEPT.encoder(path)
+    return _KEPT.encoder(path, limit)
 
 
 def check_tokenizer(path: str, width: int) -> None:
@@ -235,13 +253,15 @@ def check_tokenizer(path: str, width: int) -> None:
         raise ValueError("only byte-level tokenizers without a normalizer cut texts at spaces")
 
 
-def _write(folder: str, path: str, end_id: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _write(
+    folder: str, path: str, end_id: int, width: int, limit: int, slice_bytes: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     kind = np.dtype(f"<u{width}")
 
     def run(batches):
         from pyspark import TaskContext
 
-        with _encoder(path) as encoder:
+        with _encoder(path, limit) as encoder:
             yield from written(batches, encoder, TaskContext.get().partitionId())
 
     def written(batches, encoder, number):
@@ -251,7 +271,7 @@ def _write(folder: str, path: str, end_id: int, width: int) -> Callable[[Iterato
         offsets, ids, valid, documents, tokens = [np.zeros(1, np.uint64)], [], [], 0, 0
         out = None
         for batch in batches:
-            for i, j in K.blocks(K.text_bytes(batch.column("text"))[1], SLICE_BYTES):
+            for i, j in K.blocks(K.text_bytes(batch.column("text"))[1], slice_bytes):
                 part = batch.slice(i, j - i)
                 flat, sizes = encoder.encode(part.column("text"))
                 ends = np.cumsum(sizes + 1)
@@ -296,6 +316,8 @@ def write_tokens(
     width: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
+    limit: int = CACHED_WORDS,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Write documents as token ids in ascending id order and return the manifest of the files.
 
@@ -309,7 +331,8 @@ def write_tokens(
     Null texts are empty: they hold the end id alone. Null ids come first. Rows
     that repeat an id follow each other, ordered by text. Other columns are not
     read. An empty table gives an empty manifest. A vocabulary with ids beyond ``width``
-    bytes, or one that is not byte-level, is refused.
+    bytes, or one that is not byte-level, is refused. ``limit`` (pieces remembered) and ``slice_bytes``
+    (text encoded at a time) trade a worker's memory for time, with the same files.
     """
     spark = docs.sparkSession
     tokenizer = tokenizer or tokenizer_path()
@@ -320,7 +343,7 @@ def write_tokens(
     files, base = open_folder(folder)
     files.create_dir(f"{base}/tokens", recursive=True)
     manifest = placed.mapInArrow(
-        _write(f"{folder}/tokens", tokenizer, end_id, width), MANIFEST
+        _write(f"{folder}/tokens", tokenizer, end_id, width, limit, slice_bytes), MANIFEST
     )
     manifest.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
@@ -382,8 +405,10 @@ def read_tokens(spark: SparkSession, folder: str, width: int = 2) -> DataFrame:
     )
 
 
-def encode_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, tokenizer: str | None = None, limit: int = CACHED_WORDS, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Write documents to files of token ids in a fresh shared folder and read them back."""
     folder = work_path(docs.sparkSession, "tokens")
-    write_tokens(docs, folder, tokenizer)
+    write_tokens(docs, folder, tokenizer, limit=limit, slice_bytes=slice_bytes)
     return read_tokens(docs.sparkSession, folder)

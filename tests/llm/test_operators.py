@@ -9,6 +9,7 @@ import json
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import pytest
@@ -211,6 +212,12 @@ def test_decontaminate(spark, rows, monkeypatch):
             assert result(found.select("doc_id", "n_words", "n_hit", "items")) == expected
 
 
+def test_decontaminate_takes_one_python_worker_a_task(spark, rows):
+    benchmark = spark.createDataFrame([(1, "of the")], "item_id long, text string")
+    plan = decontaminate(frame(spark, rows), benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def jaccard_components(rows, k, percent):
     sets = []
     for i, t in rows:
@@ -297,6 +304,28 @@ def test_merged_transforms_find_repeated_windows(monkeypatch):
         assert [x.tolist() for x in repeated_starts(segments, window, symbol)] == expected
 
 
+def test_merging_holds_a_bounded_multiple_of_the_segments():
+    rng = random.Random(3)
+    segments = [rng.randbytes(464) for _ in range(1500)]
+    repeated_starts(segments[:10], 400, 50)  # what is computed once
+    tracemalloc.start()
+    try:
+        assert not any(len(x) for x in repeated_starts(segments, 400, 50))
+        assert tracemalloc.get_traced_memory()[1] < 90 * 464 * 1500
+    finally:
+        tracemalloc.stop()
+
+
+def test_encoder_forgets_pieces_that_came_once(monkeypatch):
+    encoder, learned = Encoder(tokenizer_path(), limit=100), collections.Counter()
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda pieces: (learned.update(pieces), learn(pieces)))
+    for i in range(0, 4000, 40):
+        encoder.encode(["often seen words " + " ".join(f"w{i + j}x" for j in range(40))])
+        assert len(encoder.index) <= 200
+    assert learned[" seen"] == 1
+
+
 def test_encoder_equals_the_tokenizer_on_whole_texts():
     from tokenizers import Tokenizer
 
