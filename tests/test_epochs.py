@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
@@ -139,6 +141,54 @@ def test_keys_that_came_once_are_not_compared(spark, order_rows):
     assert "LeftAnti" in plan and "> 1" in plan, plan
 
 
+def test_rows_of_keys_that_came_once_are_not_dealt(spark, order_rows):
+    """Only rows of keys that came more than once, if few, are shuffled; the result is that of dealing all rows."""
+    some = order_rows(*[{"order_id": i} for i in ("old", "twice", "twice", "once", "here", "here", None, None)])
+    bronze = spark.createDataFrame([(k, *row, 0) for k, row in enumerate(some)], TRACKED_ORDERS)
+    known = [(False, "old", None, 2), (False, "twice", None, 3), (False, "here", None, 2), (False, None, None, 2), (True, None, "f", 8)]
+    touched = spark.createDataFrame(known, "is_file boolean, key string, file string, times long")
+    assert ep._few(touched)
+    for nameless in (2, 3, 0):
+        dealt = ep._new_rows(bronze, touched, "order_id", nameless)
+        some_dealt = ep._new_rows(bronze, touched, "order_id", nameless, True)
+        assert sorted(some_dealt.collect(), key=str) == sorted(dealt.collect(), key=str)
+        assert {r["order_id"] for r in some_dealt.collect()} == {"once", "here"} | ({None} if nameless == 2 else set())
+    plan = ep._new_rows(bronze, touched, "order_id", 0, True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan, plan
+
+
+def test_many_repeated_keys_are_not_sent(spark, monkeypatch):
+    known = [(False, str(k), None, 2) for k in range(100)]
+    touched = spark.createDataFrame(known, "is_file boolean, key string, file string, times long")
+    monkeypatch.setattr(ep, "_KEYS_SENT", 100 * ep._KEY_BYTES + 190)
+    assert ep._few(touched)
+    monkeypatch.setattr(ep, "_KEYS_SENT", 100 * ep._KEY_BYTES + 189)
+    assert not ep._few(touched)
+    assert ep._few(touched.filter("times > 2"))
+
+
+@pytest.mark.parametrize("sent", [ep._KEYS_SENT, -1])
+def test_an_epoch_stores_repeated_keys_and_a_quarter_of_the_partitions(spark, order_rows, monkeypatch, sent):
+    """Of the keys only repeated ones are stored beside the state, and the state has fewer partitions than rows have."""
+    monkeypatch.setattr(ep, "_KEYS_SENT", sent)
+    root, partitions = work_path(spark, "t"), spark.conf.get("spark.sql.shuffle.partitions")
+    for n, ids in enumerate((["a", "b", "b", None], ["b", "c", "a", "d", "d"])):
+        some = order_rows(*[{"order_id": i} for i in ids])
+        mb.land(spark.createDataFrame([(10 * n + k, *row, 0) for k, row in enumerate(some)], TRACKED_ORDERS).coalesce(1), f"{root}/landing")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(cores + 8))
+    try:
+        ep.run_available(spark, landing(root, files_per_batch=1), root, ep.Keep(as_of=AS_OF))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(cores + 8)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    stored = spark.read.parquet(f"{root}/touched").filter("not is_file")
+    assert sorted((r["key"], r["times"]) for r in stored.collect()) == [("a", 2), ("b", 3), ("d", 2)]
+    assert len([x for x in os.listdir(f"{root}/checkpoint/state/0") if x.isdigit()]) == max((cores + 8) // 4, cores)
+    kept = [("a", 0), ("b", 0), (None, 0), ("c", 1), ("d", 1)]
+    assert rows(ep.committed(spark, root, "judged").select("order_id", "epoch")) == sorted(kept, key=repr)
+
+
 def test_twenty_batches_cost_the_same_each(spark, orders, monkeypatch):
     """An epoch looks up its own keys and reads its own tables and the results before, whatever is stored."""
     root, read, load = work_path(spark, "t"), [], DataFrameReader.load
